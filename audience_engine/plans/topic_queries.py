@@ -79,7 +79,7 @@ HINT_MAP = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in {**voc.VERTICAL_HINTS
     f"""SELECT doc_id, CASE WHEN len(terms) = 0 THEN concat('topic_', CAST(doc_id AS VARCHAR))
       WHEN len(hinted) > 0 THEN array_to_string(list_concat([map_extract({HINT_MAP}, hinted[1])[1]], plain[1:2]), ' / ')
       ELSE array_to_string(list_transform(string_split(array_to_string(terms[1:3], ' '), ' '),
-        lambda w: concat(upper(substr(w, 1, 1)), substr(w, 2))), ' ') END AS label
+        lambda w: concat(replace(upper(substr(w, 1, 1)), 'ẞ', 'Ss'), substr(w, 2))), ' ') END AS label
     FROM (SELECT *, list_filter(terms, lambda w: w IN ({sql_list(HINTED)})) AS hinted,
         list_filter(terms, lambda w: w NOT IN ({sql_list(HINTED)})) AS plain
       FROM (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN [] WHEN doc_id % 3 = 0 THEN ws[1:5]

@@ -53,3 +53,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return df.checkpoint(eager=True)
+
+
+def use_all_cores(df: DataFrame) -> DataFrame:
+    """Spread a table read from fewer splits than there are cores, ahead of iterative work.
+
+    A large table has far more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
