@@ -72,3 +72,21 @@ def unit_hash(*parts: Column) -> Column:
     """A repeatable number in [0, 1) from the md5 of the parts, in place of a random draw."""
     head = F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8)
     return F.conv(head, 16, 10).cast("double") / F.lit(4294967296.0)
+
+
+def magnitude_bin(value: Column) -> Column:
+    """A whole number's bin: exact up to 1023, then 1024 bins per power of two. Bins keep the order of the values.
+
+    There are at most about 110,000 bins over all 64-bit numbers; null goes to bin 0.
+    """
+
+    def bin_of(v: Column) -> Column:
+        power = F.length(F.bin(v)) - 1
+        shift = F.greatest(power - 10, F.lit(0))
+        leading = F.call_function("shiftright", v, shift)
+        return F.when(power < 10, v).otherwise((power - 9).cast("long") * 1024 + leading - 1024)
+
+    value = value.cast("long")
+    signed = F.when(value >= 0, bin_of(value)).otherwise(F.lit(-1).cast("long") - bin_of(F.bitwise_not(value)))
+    # never null, so that a join on the bin adds no filter and both sides can share one shuffle
+    return F.coalesce(signed, F.lit(0).cast("long"))

@@ -115,7 +115,8 @@ def not_removed(text: Column | str) -> Column:
 
 def coalesce_text(*cols: Column | str) -> Column:
     """The first column that is neither null nor empty, else an empty string."""
-    return F.coalesce(*[F.nullif(_col(c).cast("string"), F.lit("")) for c in cols], F.lit(""))
+    texts = [_col(c).cast("string") for c in cols]
+    return F.coalesce(*[F.when(t != "", t) for t in texts], F.lit(""))
 
 
 def to_text(value: Column | str) -> Column:

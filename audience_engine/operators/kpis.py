@@ -157,13 +157,13 @@ def weekly_rollup(
             F.transform("top", lambda t: F.concat(t["Name"], F.lit(" ("), (-t["down"]).cast("string"), F.lit(")"))), "; "
         ).alias("top5"),
     )
-    week = F.lit(start.date().isoformat())
-    return totals.withColumn("week_start", week).join(listed.withColumn("week_start", week), "week_start").select(
-        "week_start",
+    top = listed.select(F.struct("top5", "names")).scalar()
+    return totals.withColumn("_top", top).select(
+        F.lit(start.date().isoformat()).alias("week_start"),
         "total",
         "pos",
         (F.col("total") - F.col("pos") - F.col("neg")).alias("neu"),
         "neg",
-        "top5",
-        "names",
+        F.col("_top.top5").alias("top5"),
+        F.col("_top.names").alias("names"),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from audience_engine.functions.clock import event_time, instant
+from audience_engine.functions.scoring import magnitude_bin
 from audience_engine.functions.text import coalesce_text
 from audience_engine.operators.joining import lookup_join, top_per_group
 
@@ -78,22 +79,6 @@ def attach_video_meta(comments: DataFrame, videos: DataFrame, key: str = "video_
     ).drop("_category", "_region", "_title", "_views", "_likes")
 
 
-def magnitude_bin(value: Column) -> Column:
-    """A whole number's bin: exact up to 1023, then 1024 bins per power of two. Bins keep the order of the values.
-
-    There are at most about 110,000 bins over all 64-bit numbers.
-    """
-
-    def bin_of(v: Column) -> Column:
-        power = F.length(F.bin(v)) - 1
-        shift = F.greatest(power - 10, F.lit(0))
-        leading = F.call_function("shiftright", v, shift)
-        return F.when(power < 10, v).otherwise((power - 9).cast("long") * 1024 + leading - 1024)
-
-    value = value.cast("long")
-    return F.when(value >= 0, bin_of(value)).otherwise(F.lit(-1).cast("long") - bin_of(F.bitwise_not(value)))
-
-
 def score_threshold(df: DataFrame, group: str, p: float = 0.75, score: str = "score", exact: bool = True) -> DataFrame:
     """Per group, the score at place ``floor(p * n)`` (at least the first) of its ascending scores.
 
@@ -105,6 +90,7 @@ def score_threshold(df: DataFrame, group: str, p: float = 0.75, score: str = "sc
         return df.groupBy(group).agg(F.percentile_approx(score, p, 10_000).alias("threshold"))
     counts = (
         df.select(F.col(group), F.col(score).cast("long").alias("_score"))
+        .filter(F.col(group).isNotNull() & F.col("_score").isNotNull())
         .groupBy(group, "_score")
         .agg(F.count("*").alias("_n"))
         .withColumn("_bin", magnitude_bin(F.col("_score")))

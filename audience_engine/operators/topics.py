@@ -7,9 +7,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from audience_engine.functions.drafts import topic_label
-from audience_engine.functions.scoring import cosine_distance
+from audience_engine.functions.scoring import cosine_distance, magnitude_bin
 from audience_engine.functions.text import evaluate_once, normalise_text, not_removed, tokens, with_bigrams
 from audience_engine.operators.joining import lookup_join, top_per_group
 from audience_engine.session import cut_lineage, use_all_cores
@@ -58,10 +58,18 @@ def term_idf(
 
     Kept are the ``vocabulary`` most frequent terms in at least ``min_df`` documents and at most ``max_share`` of them.
     """
-    documents = df.select(F.lit(1)).agg(F.count("*")).scalar()
+    # a scalar that is never null adds no filter, so that both uses of the counts share one shuffle
+    zero = F.lit(0).cast("long")
+    documents = F.coalesce(df.select(F.lit(1)).agg(F.count("*")).scalar(), zero)
     counted = term_counts(df, terms).withColumn("_n", documents)
-    kept = counted.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_share) * F.col("_n")))
-    top = kept.orderBy(F.col("tf").desc(), "term").limit(vocabulary)
+    kept = counted.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_share) * F.col("_n"))).withColumn(
+        "_bin", magnitude_bin(F.col("tf"))
+    )
+    # the frequency that the last kept term reaches, found on bins: all terms below it drop out before the sort
+    upto = Window.orderBy(F.col("_bin").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    bins = kept.groupBy("_bin").agg(F.count("*").alias("_terms")).withColumn("_upto", F.sum("_terms").over(upto))
+    floor = F.coalesce(bins.filter(F.col("_upto") >= vocabulary).agg(F.max("_bin")).scalar(), zero)
+    top = kept.filter(F.col("_bin") >= floor).orderBy(F.col("tf").desc(), "term").limit(vocabulary)
     return top.select("term", "tf", "df", (F.log((F.col("_n") + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
 
 
@@ -132,19 +140,20 @@ class TfidfModel:
 
 
 def fit_tfidf(df: DataFrame, settings: Settings, terms: str = "terms", out: str = "tfidf") -> TfidfModel:
-    """Fit vocabulary and inverse document frequencies on a table with a ``terms`` array."""
-    counter = CountVectorizer(
-        inputCol=terms, outputCol="_counts", vocabSize=settings.topic_vocabulary, minDF=1.0,
-        maxDF=settings.max_document_share,
-    ).fit(df)
-    idf = IDF(inputCol="_counts", outputCol="_idf").fit(counter.transform(df))
-    # one is added to each weight, so that a term of every document still counts
+    """Fit vocabulary and inverse document frequencies on a table with a ``terms`` array.
+
+    Both come from one count of the terms; only the vocabulary, at most ``settings.topic_vocabulary`` terms, is
+    collected.
+    """
+    weights = term_idf(df, terms, 1, settings.max_document_share, settings.topic_vocabulary)
+    rows = weights.select("term", "idf").toPandas()
+    vocabulary = rows["term"].tolist()
+    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol=terms, outputCol="_counts")
     weigh = ElementwiseProduct(
-        scalingVec=Vectors.dense(np.asarray(idf.idf) + 1.0), inputCol="_counts", outputCol="_weighed"
+        scalingVec=Vectors.dense(rows["idf"].to_numpy()), inputCol="_counts", outputCol="_weighed"
     )
     unit = Normalizer(p=2.0, inputCol="_weighed", outputCol=out)
-    stages = Pipeline(stages=[counter, weigh, unit]).fit(df)
-    return TfidfModel(counter.vocabulary, stages)
+    return TfidfModel(vocabulary, PipelineModel(stages=[counter, weigh, unit]))
 
 
 def _gram_times(rows: DataFrame, basis: np.ndarray, block: int = 512) -> np.ndarray:

@@ -109,7 +109,7 @@ def candidates(df: DataFrame, n: int, order: Sequence[str] = ("created_utc", "va
     texts = [c for c in ("caption", "variant_text", "raw_text") if c in df.columns]
     names = [c for c in ("topic_name", "topic") if c in df.columns]
     by = [c for c in order if c in df.columns]
-    ids = F.nullif(to_text("variant_id"), F.lit(""))
+    ids = F.when(F.col("variant_id").cast("string") != "", F.col("variant_id").cast("string"))
     return (
         df.orderBy(*by)
         .limit(n)
