@@ -80,7 +80,8 @@ def dq_log(df: DataFrame, settings: Settings, platforms: Sequence[str], platform
     """Dropped rows per platform and reason, each counted among the rows that the earlier checks left."""
     reasons = voc.DQ_REASONS
     counted = (
-        df.select(F.col(platform).alias("platform"), first_fail(settings).alias("reason"))
+        # never null: a null-check on the join key would repeat every text check ahead of the count
+        df.select(F.col(platform).alias("platform"), F.coalesce(first_fail(settings), F.lit("kept")).alias("reason"))
         .groupBy("platform", "reason")
         .agg(F.count("*").alias("count"))
     )

@@ -77,7 +77,8 @@ def class_tfidf(df: DataFrame, label: str, terms: str = "terms", n: int | None =
     """Terms that set a class apart: ``tf * ln(1 + a / f)``, where ``f`` counts the term over all classes and ``a``
     is the mean number of words per class."""
     counted = (
-        df.select(label, F.explode(terms).alias("term"))
+        # sorted, so that equal terms of a document meet at once in the map-side count
+        df.select(label, F.explode(F.array_sort(terms)).alias("term"))
         .groupBy(label, "term")
         .agg(F.count("*").alias("tf"))
     )
@@ -279,7 +280,9 @@ def build_source_topics(df: DataFrame, source: str, key: str, text: str, setting
         F.col(text).alias("document"),
         *[c for c in ("created_utc",) if c in df.columns],
     )
-    termed = cut_lineage(document_terms(use_all_cores(kept), "document", settings.stop_words).select("doc_key", "terms"))
+    termed = use_all_cores(
+        cut_lineage(document_terms(kept, "document", settings.stop_words).select("doc_key", "terms"))
+    )
     count = termed.count()
     model = fit_tfidf(termed, settings)
     weighed = cut_lineage(model.transform(termed).select("doc_key", "tfidf"))
@@ -371,7 +374,7 @@ def embedding_topics(
     """
     if not 2 <= k <= MAX_CLUSTERS:
         raise ValueError(f"k is from 2 to {MAX_CLUSTERS}")
-    placed, centers = fit_clusters(cut_lineage(use_all_cores(df)), k, vec, seed, out="_cluster", cosine=False)
+    placed, centers = fit_clusters(use_all_cores(cut_lineage(df)), k, vec, seed, out="_cluster", cosine=False)
     measured = placed.withColumn("_distances", _center_distances(centers)(F.col(vec).cast("array<double>"))).withColumn(
         "_own", F.element_at("_distances", F.col("_cluster") + 1)
     )

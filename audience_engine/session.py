@@ -56,9 +56,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def use_all_cores(df: DataFrame) -> DataFrame:
-    """Spread a table read from fewer splits than there are cores, ahead of iterative work.
+    """Spread a stored table that has fewer splits than there are cores, ahead of heavy or iterative work.
 
-    A large table has far more splits than cores and is left as it is.
+    Call it right after a read or ``cut_lineage``: there, counting the splits costs no job. A large table has far
+    more splits than cores and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
