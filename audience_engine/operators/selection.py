@@ -52,9 +52,16 @@ def select_videos(df: DataFrame, per_channel: int = 2, n: int = 120, tie: str =
     return cap_per_channel(df, per_channel, tie).orderBy(*order).limit(n)
 
 
+def _comment_id(comments: DataFrame) -> list[str] | None:
+    """What to spread the comments of a hot video by: their id, where they have one."""
+    return ["comment_id"] if "comment_id" in comments.columns else None
+
+
 def only_selected(comments: DataFrame, selected: DataFrame, key: str = "video_id") -> DataFrame:
     """Comments of the selected videos."""
-    return lookup_join(comments, selected.select(key).distinct(), key, "left_semi", derived=True)
+    return lookup_join(
+        comments, selected.select(key).distinct(), key, "left_semi", _comment_id(comments), derived=True
+    )
 
 
 def attach_video_meta(comments: DataFrame, videos: DataFrame, key: str = "video_id") -> DataFrame:
@@ -67,7 +74,7 @@ def attach_video_meta(comments: DataFrame, videos: DataFrame, key: str = "video_
         F.col("view_count").alias("_views"),
         F.col("like_count").alias("_likes"),
     )
-    out = lookup_join(comments, meta, key, "left")
+    out = lookup_join(comments, meta, key, "left", _comment_id(comments))
     text = {"category": "_category", "region": "_region", "post_title": "_title"}
     numbers = {"view_count": "_views", "like_count": "_likes"}
     return out.withColumns(

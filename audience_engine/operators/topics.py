@@ -115,15 +115,10 @@ def cluster_sizes(df: DataFrame, label: str = "topic") -> DataFrame:
 
 
 def keep_clusters(sizes: DataFrame, min_size: int = 5, fallback: int = 10, label: str = "topic") -> DataFrame:
-    """Clusters of at least ``min_size`` members; if there is none, the ``fallback`` largest.
-
-    ``sizes`` has one row per cluster.
-    """
-    by_size = Window.orderBy(F.col("size").desc(), label)
-    largest = F.max("size").over(Window.partitionBy(F.lit(1)))
-    ranked = sizes.withColumn("_rank", F.row_number().over(by_size)).withColumn("_largest", largest)
-    kept = F.when(F.col("_largest") >= min_size, F.col("size") >= min_size).otherwise(F.col("_rank") <= fallback)
-    return ranked.filter(kept).drop("_rank", "_largest")
+    """Clusters of at least ``min_size`` members; if there is none, the ``fallback`` largest."""
+    largest = F.coalesce(sizes.agg(F.max("size")).scalar(), F.lit(0).cast("long"))
+    biggest = sizes.orderBy(F.col("size").desc(), label).limit(fallback)
+    return sizes.filter(F.col("size") >= min_size).unionByName(biggest.filter(largest < min_size))
 
 
 # --- models ----------------------------------------------------------------------------------------------------------
@@ -293,7 +288,8 @@ def build_source_topics(df: DataFrame, source: str, key: str, text: str, setting
     assigned, _ = fit_clusters(cut_lineage(placed), k, "lsa")
     assigned = cut_lineage(assigned)
 
-    sizes = keep_clusters(cluster_sizes(assigned), settings.topic_min_size, min(k, 10))
+    # at most k rows
+    sizes = keep_clusters(cut_lineage(cluster_sizes(assigned)), settings.topic_min_size, min(k, 10))
     words = pd.DataFrame({"index": range(len(model.vocabulary)), "term": model.vocabulary})
     vocabulary = spark.createDataFrame(words, "index int, term string")
     terms = top_terms(assigned, vocabulary, k=settings.topic_label_words)

@@ -32,13 +32,14 @@ def scratch_root(spark: SparkSession) -> str:
     A cluster names it in ``spark.checkpoint.dir``. Only a local session (tests) may fall back to a folder of its own.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named:
-        return named
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="audience-engine-"))
-    return context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="audience-engine-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
+    return root
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
@@ -47,12 +48,15 @@ def staging_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the shared folder, so that iterative readers survive a lost executor."""
-    root = scratch_root(df.sparkSession)
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(root)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to the shared folder and go on from there.
+
+    Iterative readers then survive a lost executor without recomputing what came before, and, the table being
+    columnar and compressed, each of them reads only its own columns.
+    """
+    spark = df.sparkSession
+    path = staging_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def use_all_cores(df: DataFrame) -> DataFrame:
