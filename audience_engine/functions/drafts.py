@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from audience_engine import vocabulary as voc
-from audience_engine.functions.text import coalesce_text, to_text, truncate
+from audience_engine.functions.text import coalesce_text, strip, to_text, truncate
 from audience_engine.schemas import APPROVAL, RANKING
 
 
@@ -63,7 +63,7 @@ def build_prompt(
 
 def _bare(text: Column) -> Column:
     """Outer blanks, then outer double quotes removed."""
-    return F.regexp_replace(F.regexp_replace(text, r"^\s+|\s+$", ""), r'^"+|"+$', "")
+    return F.btrim(strip(text), F.lit('"'))
 
 
 def split_caption_cta(text: Column | str) -> Column:
@@ -71,7 +71,7 @@ def split_caption_cta(text: Column | str) -> Column:
     text = to_text(text)
     parts = F.split(text, r"\|\|", 2)
     lines = F.filter(
-        F.transform(F.split(text, r"\r\n|\r|\n"), lambda line: F.regexp_replace(line, r"^\s+|\s+$", "")),
+        F.transform(F.split(text, r"\r\n|\r|\n"), strip),
         lambda line: line != "",
     )
     marked = F.contains(text, F.lit("||"))

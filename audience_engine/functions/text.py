@@ -17,6 +17,8 @@ NON_WORD = r"[^\p{L}\p{N}_]+"
 NUMERIC = r"^\p{N}+$"
 HASHTAG = r"#[\p{L}\p{N}_]+"
 WORD_BREAK = r"[^\p{L}\p{N}_']+"
+# every character that counts as white space, not only the blank
+SPACES = "".join(map(chr, (*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)))
 
 
 def _col(value: Column | str) -> Column:
@@ -108,9 +110,14 @@ def has_hashtag(text: Column | str) -> Column:
     return F.coalesce(_col(text).rlike(HASHTAG), F.lit(False))
 
 
+def strip(text: Column | str) -> Column:
+    """Text without outer white space of any kind."""
+    return F.btrim(_col(text), F.lit(SPACES))
+
+
 def not_removed(text: Column | str) -> Column:
     """False for null, blank and ``[removed]`` text."""
-    return F.coalesce(~F.lower(F.trim(_col(text))).isin("", "[removed]"), F.lit(False))
+    return F.coalesce(~F.lower(strip(text)).isin("", "[removed]"), F.lit(False))
 
 
 def coalesce_text(*cols: Column | str) -> Column:
@@ -164,7 +171,7 @@ def with_bigrams(words: Column | str) -> Column:
 def snippet(text: Column | str, n: int = 120) -> Column:
     """The first ``n`` characters, trimmed, with an ellipsis; shorter text as it is."""
     text = to_text(text)
-    return F.when(F.length(text) > n, F.concat(F.trim(F.substring(text, 1, n)), F.lit("..."))).otherwise(text)
+    return F.when(F.length(text) > n, F.concat(strip(F.substring(text, 1, n)), F.lit("..."))).otherwise(text)
 
 
 def fill_template(template: Column | str, value: Column | str) -> Column:
@@ -181,5 +188,5 @@ def json_arr(values: Column | str) -> Column:
 def parse_json_list(text: Column | str) -> Column:
     """JSON text to an array of strings; anything else gives an empty array."""
     text = _col(text)
-    parsed = F.when(F.startswith(F.trim(text), F.lit("[")), F.from_json(text, "array<string>"))
+    parsed = F.when(F.startswith(strip(text), F.lit("[")), F.from_json(text, "array<string>"))
     return F.coalesce(parsed, F.array().cast("array<string>"))

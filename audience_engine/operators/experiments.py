@@ -66,7 +66,7 @@ def pick_winner(log: DataFrame, by: str | None = None) -> DataFrame:
 def variant_averages(log: DataFrame) -> DataFrame:
     """Mean click rate, and mean likes cut to a whole number."""
     return log.agg(
-        F.round(F.avg("ctr"), 4).alias("avg_ctr"), F.floor(F.avg("likes")).cast("long").alias("avg_likes")
+        F.round(F.avg("ctr"), 4).alias("avg_ctr"), F.avg("likes").cast("long").alias("avg_likes")
     )
 
 

@@ -60,15 +60,17 @@ def clean(df: DataFrame, settings: Settings) -> DataFrame:
 
     The checks do not depend on each other, so they run cheapest first: numbers, byte lengths, then word searches.
     """
-    checks = _checks(settings)
-    passing = (
-        text.longer_than("text", settings.min_chars)
-        & ~checks["ed_lt_0.20"]
-        & ~checks["lang_other"]
-        & ~checks["toxicity_gt_0.30"]
-        & ~checks["no_signal_or_hashtag"]
-    )
-    return score(df.filter(passing), settings)
+
+    def passes(t: Column) -> Column:
+        return (
+            text.longer_than(t, settings.min_chars)
+            & text.is_english(t, settings.ascii_ratio)
+            & (text.toxicity(t, settings.toxic_words) <= settings.max_toxicity)
+            & (text.has_signal(t, settings.signal_phrases) | text.has_hashtag(t))
+        )
+
+    kept = df.filter((_density(settings) >= settings.min_density) & text.evaluate_once(F.col("text"), passes))
+    return score(kept, settings)
 
 
 def platform_spine(df: DataFrame, platforms: Sequence[str], name: str = "platform") -> DataFrame:

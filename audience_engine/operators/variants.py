@@ -104,9 +104,15 @@ def split_drafts(df: DataFrame, raw: str = "raw_text") -> DataFrame:
     ).drop("_d")
 
 
-def candidates(df: DataFrame, n: int, order: Sequence[str] = ("created_utc", "variant_id"), limit_text: int = 800) -> DataFrame:
-    """The first ``n`` drafts or variants as (variant_id, topic, variant_text)."""
-    texts = [c for c in ("caption", "variant_text", "raw_text") if c in df.columns]
+def candidates(
+    df: DataFrame,
+    n: int,
+    order: Sequence[str] = ("created_utc", "variant_id"),
+    limit_text: int = 800,
+    texts: Sequence[str] = ("caption", "variant_text", "raw_text"),
+) -> DataFrame:
+    """The first ``n`` drafts or variants as (variant_id, topic, variant_text), the text being the first one given."""
+    texts = [c for c in texts if c in df.columns]
     names = [c for c in ("topic_name", "topic") if c in df.columns]
     by = [c for c in order if c in df.columns]
     ids = F.when(F.col("variant_id").cast("string") != "", F.col("variant_id").cast("string"))

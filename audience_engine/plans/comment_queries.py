@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from audience_engine import vocabulary as voc
 from audience_engine.functions import clock, scoring, text
 from audience_engine.operators import conform, kpis, quality, selection
-from audience_engine.plans.registry import Inputs, any_in, query, sql_list
+from audience_engine.plans.registry import Inputs, any_in, query, sql_list, stripped
 from audience_engine.settings import Settings
 from audience_engine.sources import sinks
 
@@ -165,7 +165,7 @@ def engagement_density(t: Inputs):
 
 @query(
     "kept_texts",
-    "SELECT doc_id FROM documents WHERE length(text) > 400 AND lower(trim(text)) NOT IN ('', '[removed]')",
+    f"SELECT doc_id FROM documents WHERE length(text) > 400 AND lower({stripped('text')}) NOT IN ('', '[removed]')",
 )
 def kept_texts(t: Inputs):
     return t.documents.filter(text.longer_than("text", 400) & text.not_removed("text")).select("doc_id")

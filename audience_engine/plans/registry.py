@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from audience_engine.functions.text import SPACES
 from audience_engine.plans.views import duck_views, view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +41,11 @@ def sql_list(words: Iterable[str]) -> str:
     return ", ".join("'" + word.replace("'", "''") + "'" for word in words)
 
 
+def stripped(text: str) -> str:
+    """SQL: the text without outer white space."""
+    return f"trim({text}, concat({', '.join(f'chr({ord(c)})' for c in SPACES)}))"
+
+
 def any_in(text: str, words: Iterable[str]) -> str:
     """SQL: any of the words occurs in the text."""
     return "(" + " OR ".join(f"contains({text}, '{word}')" for word in words) + ")"

@@ -8,7 +8,7 @@ from audience_engine import vocabulary as voc
 from audience_engine.functions import drafts, scoring
 from audience_engine.operators import experiments, variants
 from audience_engine.operators.joining import top_per_group
-from audience_engine.plans.registry import Inputs, any_in, query
+from audience_engine.plans.registry import Inputs, any_in, query, stripped
 from audience_engine.settings import Settings
 from audience_engine.sources import readers
 from audience_engine.streaming.jobs import approvals as approval_rows
@@ -22,7 +22,7 @@ def comments(t: Inputs):
 
 # --- captions and drafts ---------------------------------------------------------------------------------------------
 
-SNIPPET = "CASE WHEN length(text) > 100 THEN concat(trim(substr(text, 1, 100)), '...') ELSE text END"
+SNIPPET = "CASE WHEN length(text) > 100 THEN concat(" + stripped("substr(text, 1, 100)") + ", '...') ELSE text END"
 TEMPLATES = ", ".join("'" + template.replace("'", "''") + "'" for template in voc.CAPTION_TEMPLATES)
 
 
@@ -37,23 +37,17 @@ def make_variants(t: Inputs):
     return variants.make_variants(comments(t)).withColumn("original_comment", F.md5("original_comment"))
 
 
-DRAFTED = r"""
-drafted AS (SELECT *, CASE WHEN contains(raw_text, '||') THEN bare(substr(raw_text, 1, strpos(raw_text, '||') - 1))
-    WHEN len(lines) >= 2 THEN lines[1] ELSE raw_text END AS caption,
-  CASE WHEN contains(raw_text, '||') THEN bare(substr(raw_text, strpos(raw_text, '||') + 2))
-    WHEN len(lines) >= 2 THEN lines[2] ELSE '' END AS cta FROM (
-  SELECT *, list_filter(list_transform(regexp_split_to_array(raw_text, '\r\n|\r|\n'),
-    lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS lines FROM llm_drafts))"""
-BARE = r"regexp_replace(regexp_replace(\1, '^\\s+|\\s+$', '', 'g'), '^\"+|\"+$', '', 'g')"
-
-
-def _with_bare(sql: str) -> str:
-    import re
+def bare(text: str) -> str:
+    return f"trim({stripped(text)}, '\"')"
 
-    return re.sub(r"bare\((substr\(.*?'\|\|'\) [-+] \d\)+?)\)", lambda m: BARE.replace(r"\1", m.group(1)).replace("\\\\", "\\").replace('\\"', '"'), sql)
 
-
-DRAFTED = _with_bare(DRAFTED)
+DRAFTED = f"""
+drafted AS (SELECT *, CASE WHEN contains(raw_text, '||') THEN {bare("substr(raw_text, 1, strpos(raw_text, '||') - 1)")}
+    WHEN len(lines) >= 2 THEN lines[1] ELSE raw_text END AS caption,
+  CASE WHEN contains(raw_text, '||') THEN {bare("substr(raw_text, strpos(raw_text, '||') + 2)")}
+    WHEN len(lines) >= 2 THEN lines[2] ELSE '' END AS cta FROM (
+  SELECT *, list_filter(list_transform(regexp_split_to_array(raw_text, '\\r\\n|\\r|\\n'),
+    lambda x: {stripped('x')}), lambda x: x <> '') AS lines FROM llm_drafts))"""
 
 
 @query("split_caption", "SELECT variant_id, caption, cta FROM drafted", ["llm_drafts"], DRAFTED)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from audience_engine.functions.clock import event_time, instant
-from audience_engine.functions.text import to_text
+from audience_engine.functions.text import is_english, to_text
 from audience_engine.schemas import COMMENT_PAGE, POPULAR_VIDEO_PAGE, SEARCH_VIDEO_PAGE
 
 
@@ -17,10 +17,17 @@ def _count(value: Column | str) -> Column:
     return F.coalesce(value.try_cast("long"), F.lit(0).cast("long"))
 
 
-def flatten_comment_threads(pages: DataFrame, collected: dt.datetime | None = None, payload: str = "payload") -> DataFrame:
-    """One raw comment row per item of the pages (video_id, payload); absent fields get empty text and zeros."""
+def flatten_comment_threads(
+    pages: DataFrame, collected: dt.datetime | None = None, payload: str = "payload", keep_english: bool = False
+) -> DataFrame:
+    """One raw comment row per item of the pages (video_id, payload); absent fields get empty text and zeros.
+
+    ``keep_english`` drops comments that are not English.
+    """
     items = pages.select("video_id", F.explode(F.from_json(payload, COMMENT_PAGE)["items"]).alias("it"))
     top = F.col("it.snippet.topLevelComment.snippet")
+    if keep_english:
+        items = items.filter(is_english(top["textDisplay"]))
     return items.select(
         F.lit("YouTube").alias("platform"),
         "video_id",

@@ -43,7 +43,7 @@ def test_signals_in_list_order(values):
 
 
 def test_not_removed(values):
-    assert values(text.not_removed, ["", "  ", "[Removed]", " [removed] ", None, "ok"]) == [False] * 5 + [True]
+    assert values(text.not_removed, ["", " \n", "[Removed]", " [removed] ", None, "ok"]) == [False] * 5 + [True]
 
 
 def test_coalesce_text_skips_empty(spark):
@@ -68,8 +68,9 @@ def test_tokens_and_bigrams(values):
 
 
 def test_snippet_and_template(values):
-    cases = ["x" * 100, "y" * 101, "z" * 99 + " end", None]
-    assert values(lambda c: text.snippet(c, 100), cases) == ["x" * 100, "y" * 100 + "...", "z" * 99 + "...", ""]
+    cases = ["x" * 100, "y" * 101, "z" * 99 + " end", "\n" + "w" * 98 + "\t\u00a0", None]
+    assert values(lambda c: text.snippet(c, 100), cases) == ["x" * 100, "y" * 100 + "...", "z" * 99 + "...", "w" * 98 + "...", ""]
+    assert values(text.strip, [" \n\t\u00a0a b\u3000\r\n", "", None]) == ["a b", "", None]
     assert values(lambda c: text.fill_template("[topic] {snippet} {x}", c), [r"a$1\b"]) == [r"[topic] a$1\b {x}"]
 
 
