@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from audience_engine.llm import language, line_dedup, mixing, quality_classifier, quality_rules
+from audience_engine.llm import language, line_dedup, mixing, pieces, quality_classifier, quality_rules, repeats, simhash, token_counts, vectors
 from audience_engine.plans.views import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,45 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("op10_mixing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "copies", "taken")
+
+
+@registered("op3_token_counts")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    built = token_counts.build(token_counts.with_scrubbing(docs)).withColumn("n_tokens_before", F.col("n_tokens"))
+    edited = token_counts.apply_edits(built)
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("edited_sha256")
+    return edited.select(
+        "doc_id", F.col("n_tokens_before").alias("n_tokens"), "n_pretokens", "n_edits", "n_encoded", F.col("n_tokens").alias("n_tokens_edited"), digest
+    )
+
+
+@registered("op5_simhash")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@registered("op6_pieces")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    second = F.element_at(F.col("pieces.alternatives"), 1)["score"]
+    plain = coded.select(
+        "doc_id", "text", F.size("pieces.ids").cast("long").alias("n_pieces"), F.col("pieces.score").alias("score"),
+        F.when(F.size("pieces.alternatives") > 0, second).alias("second_score"), F.xxhash64("pieces.ids").alias("ids_hash"), F.col("pieces.ids").alias("ids"),
+    )
+    carried = ("doc_id", "text", "n_pieces", "score", "second_score", "ids_hash")
+    back = pieces.decode(plain, "ids", carry=carried)
+    return back.select(*[c for c in carried if c != "text"], F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+@registered("op7_embeddings")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vectors.near_groups(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", F.col("component").cast("long").alias("component_id"), F.col("vec_id").eqNullSafe(F.col("component")).alias("kept"))
+
+
+@registered("op9_repeats")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
