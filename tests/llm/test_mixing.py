@@ -30,7 +30,7 @@ def rates_by_bisection(sizes, target, cap):
 def test_rates_and_copies(spark):
     draw = random.Random(6)
     rows = [(i, " ".join("w" * draw.choice([1, 2]) for _ in range(draw.choice([1, 5, 60, 60, 300]))), draw.choice(["a", "a", "b", "c", "d", None]), "x") for i in range(600)]
-    rows += [(1000 + i, "the same text", "a", "x") for i in range(300)] + [(5, None, "b", "x"), (5, "", "e", "x"), (5, " one ", "b", "x"), (None, "two words", "b", "x"), rows[9], rows[9]]
+    rows += [(1000 + i, "the same text", "a", "x") for i in range(300)] + [(5000, None, "b", "x"), (6000, "", "e", "x"), (5000, " one ", "b", "x"), (None, "two words", "b", "x"), rows[9], rows[9]]
     docs = docs_of(spark, rows)
     got = mixing.mix(docs).collect()
     assert len(got) == len(rows)

@@ -51,7 +51,7 @@ def test_verdicts_agree_with_plain_python(spark):
     own = lambda n: " ".join(f"w{draw.randrange(9999)}" for _ in range(n))
     rows = []
     for i in range(90):
-        lines = [own(draw.choice([3, 30]))] + draw.choice([[], ["Menu  Home", "menu home about " * 5], ["MENU home", own(4)]])
+        lines = [own(draw.choice([3, 30]))] + draw.choice([[], ["Menu  Home", "menu home " + " ".join(f"m{j}" for j in range(30))], ["MENU home", own(4)]])
         draw.shuffle(lines)
         rows.append((i, "\n".join(lines), draw.choice(["s0", "s0", "s1", None]), i))
     rows += [(200 + i, rows[1][1], "s0", i) for i in range(30)] + [(1, None, None, 0), (1, "", "s1", 0), (1, own(30), "s1", 1), (None, own(25), "s1", 2), rows[5], rows[5]]
