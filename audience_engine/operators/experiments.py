@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from audience_engine.functions import scoring
@@ -31,14 +31,19 @@ def enrol_variants(cands: DataFrame, as_of: dt.datetime) -> DataFrame:
 
 
 def record_metrics(log: DataFrame, updates: DataFrame, order: str = "ts") -> DataFrame:
-    """The log with the latest update of each post written to all its rows.
+    """The log with the updates of each post, applied in time order, written to all its rows.
 
-    Replies and likes are replaced (0 when not given); the click rate only when it is given.
+    Each update replaces replies and likes (0 when not given), and the click rate only when it gives one, so the last
+    given rate stays.
     """
-    last = top_per_group(
-        updates, ["post_id"], [F.col(c).desc_nulls_last() for c in (order, *METRICS)], 1
-    ).select("post_id", F.lit(True).alias("_new"), *[F.col(c).alias(f"_{c}") for c in METRICS])
-    joined = lookup_join(log, last, "post_id", "left", spread_by=["variant_id", "ts"], derived=True)
+    place = F.struct(order, *METRICS)
+    last = updates.groupBy("post_id").agg(
+        F.lit(True).alias("_new"),
+        F.max_by(F.struct("replies", "likes"), place).alias("_last"),
+        F.max_by("ctr", F.when(F.col("ctr").isNotNull(), place)).alias("_ctr"),
+    )
+    last = last.select("post_id", "_new", F.col("_last.replies").alias("_replies"), F.col("_last.likes").alias("_likes"), "_ctr")
+    joined = lookup_join(log, last, "post_id")
     new = F.col("_new").isNotNull()
     return joined.withColumns(
         {
@@ -79,7 +84,7 @@ def rank_candidates(cands: DataFrame, n: int | None = 5, text: str = "variant_te
 
 def lookup_variant(variants: DataFrame, ids: DataFrame) -> DataFrame:
     """The variants with the given ids."""
-    return lookup_join(variants, ids.select("variant_id").distinct(), "variant_id", "left_semi", derived=True)
+    return lookup_join(variants, ids.select("variant_id"), "variant_id", "left_semi")
 
 
 def log_prediction(cands: DataFrame, as_of: dt.datetime) -> DataFrame:
@@ -108,22 +113,22 @@ def assign_variants(
     """Epsilon-greedy choice of a variant for each event, repeatable for a seed.
 
     A share ``eps`` of the events explores: a hash of its key picks any variant. The others get the best-scored
-    variant. Without scores, or when the best id is not among the variants, every event explores.
+    variant; a missing or bad score counts as 0, the first id wins a tie. Without scores, or when the best id is not
+    among the variants, every event explores. Without variants the query fails.
     """
-    best_id = scores.orderBy(F.col("score").desc_nulls_last(), "variant_id").limit(1)
-    # one row at most
-    best = lookup_variant(variants, best_id).orderBy("variant_id").limit(1)
-    found = best.select(F.struct(*kept)).first()
-    draw = scoring.unit_hash(F.col(key).cast("string"), F.lit(str(seed)), F.lit("explore"))
-    explore = F.lit(True) if found is None else draw < F.lit(eps)
-    drawn = events.withColumn("explored", explore)
-
-    explorers = drawn.filter("explored")
-    indexed = dense_index(variants.select(*kept), "variant_id", "_index").persist()
-    size = indexed.agg(F.count("*").alias("n")).first()["n"]
-    pick = F.floor(scoring.unit_hash(F.col(key).cast("string"), F.lit(str(seed)), F.lit("pick")) * F.lit(size))
-    explored = lookup_join(explorers.withColumn("_index", pick), indexed, "_index", "inner", spread_by=[key]).drop("_index")
-    if found is None:
-        return explored
-    values = {name: F.lit(found[0][name]) for name in kept}
-    return drawn.filter(~F.col("explored")).withColumns(values).select(explored.columns).union(explored)
+    ranked = scores.orderBy(scoring.ctr_value("score").desc(), "variant_id").limit(1)
+    best = lookup_variant(variants, ranked).groupBy().agg(F.min(F.struct(*kept)).alias("best")).select("best").scalar()
+    size = variants.agg(F.count("*")).scalar()
+    some = F.when(size > 0, F.lit(True)).otherwise(F.raise_error(F.lit("there are no variants to assign")).cast("boolean"))
+
+    def draw(tag: str) -> Column:
+        return scoring.unit_hash(F.col(key).cast("string"), F.lit(str(seed)), F.lit(tag))
+
+    drawn = events.filter(some).withColumn("_best", best).withColumn("explored", F.col("_best").isNull() | (draw("explore") < F.lit(eps)))
+    # exploiters need no variant row: their negative places join nothing and are spread over all tasks
+    nowhere = F.lit(-1) - F.pmod(F.xxhash64(key), F.lit(1 << 20))
+    placed = drawn.withColumn("_index", F.when(F.col("explored"), F.floor(draw("pick") * size)).otherwise(nowhere))
+    numbered = dense_index(variants.select(*kept), "variant_id", "_index").withColumnsRenamed({c: f"_{c}" for c in kept})
+    joined = lookup_join(placed, numbered, "_index")
+    chosen = {c: F.when(F.col("explored"), F.col(f"_{c}")).otherwise(F.col("_best")[c]) for c in kept}
+    return joined.withColumns(chosen).select(*events.columns, "explored", *kept)

@@ -7,41 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 32
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """The size of a table as text, counted by Spark."""
-    row = df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("n")).first()
-    return int(row["n"])
-
-
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: str | Sequence[str],
-    how: str = "left",
-    spread_by: Sequence[str] | None = None,
-    max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
-    derived: bool = False,
-) -> DataFrame:
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
     """Join facts to a table with few rows per key (``how`` keeps the fact side: inner, left, left_semi, left_anti).
 
-    The lookup side is measured first. Up to ``max_bytes`` it is broadcast and the facts are not shuffled; beyond,
-    each hot key is split over ``salts`` partitions, with the lookup row copied to each. ``derived`` says that the
-    lookup is itself computed: it is then kept between measuring and joining.
+    Spark broadcasts the lookup if its size, from statistics or measured after a shuffle, is below the session's limit.
+    Otherwise both sides are shuffled by key and adaptive execution splits the partitions of hot keys.
     """
-    if derived:
-        lookup = lookup.persist()
-    keys = [on] if isinstance(on, str) else list(on)
-    if measured_bytes(lookup) <= max_bytes:
-        return facts.join(F.broadcast(lookup), keys, how)
-    spread = [c for c in (spread_by or facts.columns) if c not in keys] or keys
-    salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    salted_lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_facts.join(salted_lookup, [*keys, "_salt"], how).drop("_salt")
+    return facts.join(lookup, [on] if isinstance(on, str) else list(on), how)
 
 
 def top_per_group(

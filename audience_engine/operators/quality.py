@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -18,27 +20,27 @@ def _density(settings: Settings) -> Column:
     )
 
 
-def _checks(settings: Settings) -> dict[str, Column]:
-    """The failing condition of each logged reason, in the order in which they are applied."""
-    return dict(
-        zip(
-            voc.DQ_REASONS,
-            (
-                ~text.is_english("text", settings.ascii_ratio),
-                text.toxicity("text", settings.toxic_words) > settings.max_toxicity,
-                _density(settings) < settings.min_density,
-                ~(text.has_signal("text", settings.signal_phrases) | text.has_hashtag("text")),
-            ),
-        )
-    )
+#: Reasons that drop a row but are not logged.
+UNLOGGED = ("short_text", "ed_unknown")
+
+
+def _checks(settings: Settings, t: Column) -> dict[str, Column]:
+    """The failing condition of each reason on the text ``t``, never null, in the order in which they are applied."""
+    lang, toxic, density, signal = voc.DQ_REASONS
+    value = _density(settings)
+    return {
+        "short_text": ~text.longer_than(t, settings.min_chars),
+        lang: ~text.is_english(t, settings.ascii_ratio),
+        toxic: text.toxicity(t, settings.toxic_words) > settings.max_toxicity,
+        density: F.coalesce(value < settings.min_density, F.lit(False)),
+        "ed_unknown": F.isnull(value),
+        signal: ~(text.has_signal(t, settings.signal_phrases) | text.has_hashtag(t)),
+    }
 
 
 def first_fail(settings: Settings) -> Column:
-    """Why a row is dropped: its first failing check, ``short_text``, or null for a row that stays."""
-    out = F.when(~text.longer_than("text", settings.min_chars), F.lit("short_text"))
-    for reason, fails in _checks(settings).items():
-        out = out.when(fails, F.lit(reason))
-    return out
+    """Why a row is dropped: the reason of its first failing check, or null for a row that stays."""
+    return reduce(lambda out, check: out.when(check[1], F.lit(check[0])), _checks(settings, F.col("text")).items(), F.when(F.lit(False), F.lit("")))
 
 
 def score(df: DataFrame, settings: Settings) -> DataFrame:
@@ -58,19 +60,15 @@ def score(df: DataFrame, settings: Settings) -> DataFrame:
 def clean(df: DataFrame, settings: Settings) -> DataFrame:
     """The rows that pass every check, scored.
 
-    The checks do not depend on each other, so they run cheapest first: numbers, byte lengths, then word searches.
+    The checks do not depend on each other, so the ones on numbers run before those that search the text.
     """
 
-    def passes(t: Column) -> Column:
-        return (
-            text.longer_than(t, settings.min_chars)
-            & text.is_english(t, settings.ascii_ratio)
-            & (text.toxicity(t, settings.toxic_words) <= settings.max_toxicity)
-            & (text.has_signal(t, settings.signal_phrases) | text.has_hashtag(t))
-        )
+    def fails(t: Column, numbers: bool) -> Column:
+        on_numbers = (voc.DQ_REASONS[2], "ed_unknown")
+        return reduce(or_, [check for reason, check in _checks(settings, t).items() if (reason in on_numbers) == numbers])
 
-    kept = df.filter((_density(settings) >= settings.min_density) & text.evaluate_once(F.col("text"), passes))
-    return score(kept, settings)
+    kept = ~fails(F.col("text"), True) & text.evaluate_once(F.col("text"), lambda t: ~fails(t, False))
+    return score(df.filter(kept), settings)
 
 
 def platform_spine(df: DataFrame, platforms: Sequence[str], name: str = "platform") -> DataFrame:

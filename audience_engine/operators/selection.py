@@ -42,39 +42,40 @@ def cap_per_channel(df: DataFrame, n: int = 2, tie: str = "position") -> DataFra
     """At most ``n`` videos per channel, most commented first; videos without a channel are not capped."""
     channel = coalesce_text("channel_id")
     own_group = F.when(channel == "", F.col("video_id"))
-    order = [*(F.col(c).desc() for c in VIDEO_ORDER), F.col(tie)]
+    order = [*(F.col(c).desc() for c in VIDEO_ORDER), F.col(tie), F.col("video_id")]
     return top_per_group(df, [channel, own_group], order, n)
 
 
 def select_videos(df: DataFrame, per_channel: int = 2, n: int = 120, tie: str = "position") -> DataFrame:
     """The ``n`` most commented videos after the channel cap."""
-    order = [*(F.col(c).desc() for c in VIDEO_ORDER), F.col(tie)]
+    order = [*(F.col(c).desc() for c in VIDEO_ORDER), F.col(tie), F.col("video_id")]
     return cap_per_channel(df, per_channel, tie).orderBy(*order).limit(n)
 
 
-def _comment_id(comments: DataFrame) -> list[str] | None:
-    """What to spread the comments of a hot video by: their id, where they have one."""
-    return ["comment_id"] if "comment_id" in comments.columns else None
-
-
 def only_selected(comments: DataFrame, selected: DataFrame, key: str = "video_id") -> DataFrame:
     """Comments of the selected videos."""
-    return lookup_join(
-        comments, selected.select(key).distinct(), key, "left_semi", _comment_id(comments), derived=True
-    )
+    return lookup_join(comments, selected.select(key), key, "left_semi")
 
 
-def attach_video_meta(comments: DataFrame, videos: DataFrame, key: str = "video_id") -> DataFrame:
-    """Add category, region, title and counts of the video; unknown videos get empty text and zeros."""
-    meta = videos.select(
+def attach_video_meta(
+    comments: DataFrame, videos: DataFrame, key: str = "video_id", how: str = "left", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Add category, region, title and counts of the video, and its columns ``keep``; unknown videos get empty text and zeros.
+
+    A video that is listed twice counts once (its largest row), so comments stay one row each.
+    """
+    rest = [c for c in ("category", "region", "title", "view_count", "like_count", *keep)]
+    single = videos.groupBy(key).agg(F.max(F.struct(*rest)).alias("_v")).select(key, "_v.*")
+    meta = single.select(
         key,
+        *keep,
         F.col("category").alias("_category"),
         F.col("region").alias("_region"),
         F.col("title").alias("_title"),
         F.col("view_count").alias("_views"),
         F.col("like_count").alias("_likes"),
     )
-    out = lookup_join(comments, meta, key, "left", _comment_id(comments))
+    out = lookup_join(comments, meta, key, how)
     text = {"category": "_category", "region": "_region", "post_title": "_title"}
     numbers = {"view_count": "_views", "like_count": "_likes"}
     return out.withColumns(
@@ -87,7 +88,7 @@ def attach_video_meta(comments: DataFrame, videos: DataFrame, key: str = "video_
 
 
 def score_threshold(df: DataFrame, group: str, p: float = 0.75, score: str = "score", exact: bool = True) -> DataFrame:
-    """Per group, the score at place ``floor(p * n)`` (at least the first) of its ascending scores.
+    """Per group, the score at place ``floor(p * n)`` (at least the first) of its ascending scores; no score counts as 0.
 
     Scores are counted before the shuffle. The place is then found among the group's bins and, with a second small
     ranking, among the distinct scores of the one bin that holds it; no task ever sorts a whole group.
@@ -96,8 +97,8 @@ def score_threshold(df: DataFrame, group: str, p: float = 0.75, score: str = "sc
     if not exact:
         return df.groupBy(group).agg(F.percentile_approx(score, p, 10_000).alias("threshold"))
     counts = (
-        df.select(F.col(group), F.col(score).cast("long").alias("_score"))
-        .filter(F.col(group).isNotNull() & F.col("_score").isNotNull())
+        df.select(F.col(group), F.coalesce(F.col(score).cast("long"), F.lit(0)).alias("_score"))
+        .filter(F.col(group).isNotNull())
         .groupBy(group, "_score")
         .agg(F.count("*").alias("_n"))
         .withColumn("_bin", magnitude_bin(F.col("_score")))
@@ -127,7 +128,7 @@ def above_threshold(
 ) -> DataFrame:
     """Rows that reach their group's score threshold, with the threshold."""
     thresholds = score_threshold(df, group, p, score, exact)
-    return lookup_join(df, thresholds, group, "inner", derived=True).filter(F.col(score) >= F.col("threshold"))
+    return lookup_join(df, thresholds, group, "inner").filter(F.coalesce(F.col(score), F.lit(0)) >= F.col("threshold"))
 
 
 def pick_posts(
@@ -143,7 +144,7 @@ def pick_posts(
     if order not in ("listing", "score"):
         raise ValueError("order is 'listing' or 'score'")
     posts = top_per_group(df, [key], [F.col(position)], 1)
-    ranked = [F.col(position), F.col(key)] if order == "listing" else [F.col("score").desc(), F.col(position), F.col(key)]
+    ranked = [F.col(position), F.col(key)] if order == "listing" else [F.coalesce("score", F.lit(0)).desc(), F.col(position), F.col(key)]
     return cap_per_group(above_threshold(posts, group, p), group, n, ranked)
 
 

@@ -4,28 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from audience_engine.functions.drafts import topic_label
 from audience_engine.functions.scoring import cosine_distance, magnitude_bin
 from audience_engine.functions.text import evaluate_once, normalise_text, not_removed, tokens, with_bigrams
 from audience_engine.operators.joining import lookup_join, top_per_group
-from audience_engine.session import cut_lineage, use_all_cores
+from audience_engine.session import cut_lineage, laid_out
 from audience_engine.settings import Settings
 
-MAX_CLUSTERS = 1000
-
-
 # --- terms -----------------------------------------------------------------------------------------------------------
 
 
@@ -52,25 +51,41 @@ def term_counts(df: DataFrame, terms: str = "terms") -> DataFrame:
 
 
 def term_idf(
-    df: DataFrame, terms: str = "terms", min_df: int = 1, max_share: float = 0.98, vocabulary: int = 100_000
+    df: DataFrame, terms: str = "terms", min_df: int = 1, max_share: float = 0.98, vocabulary: int | None = None
 ) -> DataFrame:
-    """The vocabulary with its smoothed inverse document frequency, ``ln((1 + n) / (1 + df)) + 1``.
+    """The terms with their smoothed inverse document frequency, ``ln((1 + n) / (1 + df)) + 1``.
 
-    Kept are the ``vocabulary`` most frequent terms in at least ``min_df`` documents and at most ``max_share`` of them.
+    Kept are the terms in at least ``min_df`` documents and at most ``max_share`` of them; with ``vocabulary``, so many
+    of the most frequent ones (equal ones by the md5 of the term).
     """
-    # a scalar that is never null adds no filter, so that both uses of the counts share one shuffle
-    zero = F.lit(0).cast("long")
-    documents = F.coalesce(df.select(F.lit(1)).agg(F.count("*")).scalar(), zero)
+    # a scalar that is never null adds no filter
+    documents = F.coalesce(df.select(F.lit(1)).agg(F.count("*")).scalar(), F.lit(0).cast("long"))
     counted = term_counts(df, terms).withColumn("_n", documents)
-    kept = counted.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_share) * F.col("_n"))).withColumn(
-        "_bin", magnitude_bin(F.col("tf"))
-    )
-    # the frequency that the last kept term reaches, found on bins: all terms below it drop out before the sort
-    upto = Window.orderBy(F.col("_bin").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    bins = kept.groupBy("_bin").agg(F.count("*").alias("_terms")).withColumn("_upto", F.sum("_terms").over(upto))
-    floor = F.coalesce(bins.filter(F.col("_upto") >= vocabulary).agg(F.max("_bin")).scalar(), zero)
-    top = kept.filter(F.col("_bin") >= floor).orderBy(F.col("tf").desc(), "term").limit(vocabulary)
-    return top.select("term", "tf", "df", (F.log((F.col("_n") + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
+    kept = counted.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_share) * F.col("_n")))
+    if vocabulary is not None:
+        kept = most_frequent(cut_lineage(kept), vocabulary)
+    return kept.select("term", "tf", "df", (F.log((F.col("_n") + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
+
+
+def most_frequent(counted: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows with the largest (``tf``, then smallest md5 of ``term``) without sorting them all.
+
+    The place of the last kept row is narrowed down by counts: its magnitude, its frequency, the first digits of its md5;
+    only the terms that agree in all three, a few even among millions of ties, are sorted.
+    """
+    rows = counted.withColumns({"_bin": -magnitude_bin(F.col("tf")), "_down": -F.col("tf"), "_head": F.substring(F.md5("term"), 1, 4)})
+    inside, left = F.lit(True), n
+    for level in ("_bin", "_down", "_head"):
+        upto = Window.orderBy(level).rowsBetween(Window.unboundedPreceding, 0)
+        steps = rows.filter(inside).groupBy(level).agg(F.count("*").alias("_k")).withColumn("_upto", F.sum("_k").over(upto))
+        last = steps.filter(F.col("_upto") >= left).orderBy(level).limit(1).first()
+        if last is None:
+            return counted
+        rows = rows.withColumn(f"{level}_in", ~inside | (F.col(level) <= F.lit(last[level])))
+        rows = rows.filter(F.col(f"{level}_in")).drop(f"{level}_in")
+        inside, left = inside & (F.col(level) == F.lit(last[level])), left - (last["_upto"] - last["_k"])
+    ties = rows.filter(inside).orderBy(F.md5("term"), "term").limit(left)
+    return rows.filter(~inside).unionByName(ties).select(*counted.columns)
 
 
 def class_tfidf(df: DataFrame, label: str, terms: str = "terms", n: int | None = 7) -> DataFrame:
@@ -104,7 +119,7 @@ def centroids(df: DataFrame, vec: str, label: str, name: str = "centroid") -> Da
 
 def nearest_docs(df: DataFrame, centers: DataFrame, vec: str, label: str, key: str, n: int = 3) -> DataFrame:
     """The ``n`` documents of each cluster nearest to its centroid by cosine distance, with their rank."""
-    joined = lookup_join(df, centers.select(label, "centroid"), label, "inner", spread_by=[key], derived=True)
+    joined = lookup_join(df, centers.select(label, "centroid"), label, "inner")
     ranked = joined.withColumn("distance", F.round(cosine_distance(vec, "centroid"), 6)).drop("centroid")
     return top_per_group(ranked, [label], [F.col("distance"), F.col(key)], n, rank="rank")
 
@@ -135,6 +150,13 @@ class TfidfModel:
         return self.stages.transform(df).drop("_counts", "_weighed")
 
 
+def _counter(spark: SparkSession, vocabulary: list[str]) -> CountVectorizerModel:
+    """A counter of the given terms, which cross to the JVM in one call instead of one by one (no term holds a line end)."""
+    words = spark.sparkContext._jvm.java.util.regex.Pattern.compile("\n").split("\n".join(vocabulary))
+    model = CountVectorizerModel._create_from_java_class("org.apache.spark.ml.feature.CountVectorizerModel", words)
+    return model._set(vocabSize=max(1, len(vocabulary)))
+
+
 def fit_tfidf(df: DataFrame, settings: Settings, terms: str = "terms", out: str = "tfidf") -> TfidfModel:
     """Fit vocabulary and inverse document frequencies on a table with a ``terms`` array.
 
@@ -144,7 +166,7 @@ def fit_tfidf(df: DataFrame, settings: Settings, terms: str = "terms", out: str
     weights = term_idf(df, terms, 1, settings.max_document_share, settings.topic_vocabulary)
     rows = weights.select("term", "idf").toPandas()
     vocabulary = rows["term"].tolist()
-    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol=terms, outputCol="_counts")
+    counter = _counter(df.sparkSession, vocabulary).setInputCol(terms).setOutputCol("_counts")
     weigh = ElementwiseProduct(
         scalingVec=Vectors.dense(rows["idf"].to_numpy()), inputCol="_counts", outputCol="_weighed"
     )
@@ -152,44 +174,77 @@ def fit_tfidf(df: DataFrame, settings: Settings, terms: str = "terms", out: str
     return TfidfModel(vocabulary, PipelineModel(stages=[counter, weigh, unit]))
 
 
+def _flat(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row offsets, term indices, values) of a batch of sparse rows."""
+    indices, values = rows.column("indices"), rows.column("values")
+    offsets = np.asarray(indices.offsets)
+    terms, weights = np.asarray(indices.values)[offsets[0] : offsets[-1]], np.asarray(values.values)
+    ends = np.asarray(values.offsets)
+    return offsets - offsets[0], terms, weights[ends[0] : ends[-1]]
+
+
+def _products(offsets: np.ndarray, terms: np.ndarray, values: np.ndarray, right: np.ndarray, most: int = 1 << 15):
+    """(slice of rows, their terms and values, rows x ``right``) for slices with about ``most`` values."""
+    first = 0
+    while first < len(offsets) - 1:
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most, "right")) - 1)
+        low, high = offsets[first], offsets[last]
+        sizes = np.diff(offsets[first : last + 1])
+        out = np.zeros((last - first, right.shape[1]))
+        some = np.flatnonzero(sizes)
+        if len(some):
+            parts = values[low:high, None] * right[terms[low:high]]
+            out[some] = np.add.reduceat(parts, (offsets[first:last] - low)[some], axis=0)
+        yield slice(first, last), terms[low:high], values[low:high], sizes, out
+        first = last
+
+
 def _gram_times(rows: DataFrame, basis: np.ndarray, block: int = 512) -> np.ndarray:
     """``X' X B`` for the sparse rows X (indices, values) and a terms x width matrix B.
 
-    Each task adds up its rows into blocks of terms; the blocks are shuffled (in single precision) and added as they
-    arrive. Only the terms x width result reaches the driver.
+    Each task multiplies whole slices of rows and adds up, by block of terms, only the terms that it meets; the blocks are
+    shuffled (in single precision) and added as they arrive. Only the terms x width result reaches the driver.
     """
     shared = rows.sparkSession.sparkContext.broadcast(basis.astype("float32"))
     width = basis.shape[1]
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         right = shared.value
-        total = np.zeros(right.shape)
-        touched = np.zeros(len(right), dtype=bool)
+        place = np.full(len(right), -1)  # of a term in the sums
+        met: list[np.ndarray] = []
+        sums, used = np.zeros((1024, width)), 0
         for batch in batches:
-            for index, value in zip(batch["indices"], batch["values"]):
-                total[index] += np.outer(value, value @ right[index])
-                touched[index] = True
-        for first in range(0, len(right), block):
-            terms = first + np.flatnonzero(touched[first : first + block])
-            if len(terms):
-                sums = total[terms].astype("float32")
-                yield pd.DataFrame(
-                    {"block": [first // block], "terms": [terms.astype("int32").tobytes()], "sums": [sums.tobytes()]}
-                )
-
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for _, terms, values, sizes, product in _products(*_flat(batch), right):
+                unique, back = np.unique(terms, return_inverse=True)
+                new = unique[place[unique] < 0]
+                place[new] = np.arange(used, used + len(new))
+                met.append(new)
+                used += len(new)
+                if used > len(sums):
+                    sums = np.concatenate([sums, np.zeros((max(used - len(sums), len(sums)), width))])
+                order = np.argsort(back, kind="stable")
+                parts = (values[:, None] * np.repeat(product, sizes, axis=0))[order]
+                sums[place[unique]] += np.add.reduceat(parts, np.flatnonzero(np.diff(back[order], prepend=-1)), axis=0)
+        terms = np.sort(np.concatenate(met)) if met else np.empty(0, np.int64)
+        for b in np.unique(terms // block).tolist():
+            own = terms[(terms // block) == b]
+            data = [[b], [own.astype("int32").tobytes()], [sums[place[own]].astype("float32").tobytes()]]
+            yield pa.RecordBatch.from_arrays([pa.array(data[0], pa.int32()), *map(pa.array, data[1:])], names=["block", "terms", "sums"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
-            for b, terms, sums in zip(batch["block"], batch["terms"], batch["sums"]):
-                places = np.frombuffer(terms, "int32") - b * block
-                totals.setdefault(b, np.zeros((block, width)))[places] += np.frombuffer(sums, "float32").reshape(-1, width)
-        for b, sums in totals.items():
-            yield pd.DataFrame({"block": [b], "sums": [sums.astype("float32").tobytes()]})
-
-    partials = rows.mapInPandas(partial, "block int, terms binary, sums binary")
-    blocks = partials.repartition("block").mapInPandas(add, "block int, sums binary")
+            for row in batch.to_pylist():
+                places = np.frombuffer(row["terms"], "int32") - row["block"] * block
+                own = totals.setdefault(row["block"], np.zeros((block, width)))
+                own[places] += np.frombuffer(row["sums"], "float32").reshape(-1, width)
+        for b, own in totals.items():
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([own.astype("float32").tobytes()])], names=["block", "sums"])
+
+    partials = rows.mapInArrow(partial, "block int, terms binary, sums binary")
+    blocks = partials.repartition("block").mapInArrow(add, "block int, sums binary")
     out = np.zeros_like(basis)
-    for row in blocks.collect():
+    for row in blocks.toArrow().to_pylist():  # terms x width numbers in all
         first = row["block"] * block
         part = np.frombuffer(row["sums"], "float32").reshape(-1, width)
         out[first : first + block] = part[: len(out) - first]
@@ -197,20 +252,40 @@ def _gram_times(rows: DataFrame, basis: np.ndarray, block: int = 512) -> np.ndar
     return out
 
 
-def right_singular_vectors(rows: DataFrame, size: int, dims: int, passes: int = 3, seed: int = 42) -> np.ndarray:
+def _orthonormal(columns: np.ndarray) -> np.ndarray:
+    """An orthonormal basis of a tall matrix's columns, by its small Gram matrix, twice for accuracy."""
+    for _ in range(2):
+        values, vectors = np.linalg.eigh(columns.T @ columns)
+        kept = values > 1e-12 * max(values[-1], 1e-300)
+        columns = columns @ (vectors[:, kept] / np.sqrt(values[kept]))
+    return columns
+
+
+def right_singular_vectors(
+    rows: DataFrame, size: int, dims: int, tolerance: float = 0.01, most: int = 20, seed: int = 42
+) -> np.ndarray:
     """The leading right singular vectors (terms x dims) by randomised block iteration (Halko, Martinsson, Tropp 2011).
 
-    A fixed number of passes over the rows, however many dimensions are asked for.
+    Passes over the rows go on until the sum of the leading squared singular values grows by less than ``tolerance``
+    of itself; each pass can only raise it. ``most`` passes without that are an error.
     """
     width = min(size, dims + 10)
-    basis, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, width)))
-    for _ in range(passes):
-        basis, _ = np.linalg.qr(_gram_times(rows, basis))
-    _, vectors = np.linalg.eigh(basis.T @ _gram_times(rows, basis))
-    return basis @ vectors[:, ::-1][:, :dims]
-
-
-def fit_lsa(df: DataFrame, vec: str = "tfidf", dims: int = 100, out: str = "lsa", seed: int = 42) -> DataFrame:
+    basis = _orthonormal(np.random.default_rng(seed).standard_normal((size, width)))
+    before = 0.0
+    for _ in range(most):
+        product = _gram_times(rows, basis)
+        values, vectors = np.linalg.eigh(basis.T @ product)
+        caught = float(values[::-1][:dims].sum())
+        if caught - before <= tolerance * caught:
+            return basis @ vectors[:, ::-1][:, :dims]
+        before = caught
+        basis = _orthonormal(product)
+    raise ValueError(f"the singular vectors did not settle in {most} passes: raise the tolerance or the passes")
+
+
+def fit_lsa(
+    df: DataFrame, vec: str = "tfidf", dims: int = 100, out: str = "lsa", seed: int = 42, tolerance: float = 0.01
+) -> DataFrame:
     """Add the latent-space vector of each document: its product with the leading right singular vectors.
 
     The terms x ``dims`` matrix is the only part on the driver (at most 100,000 x 110 doubles, 88 MB).
@@ -218,26 +293,43 @@ def fit_lsa(df: DataFrame, vec: str = "tfidf", dims: int = 100, out: str = "lsa"
     sparse = F.unwrap_udt(vec)
     size = df.select(sparse["size"].alias("n")).first()["n"]
     rows = df.select(sparse["indices"].alias("indices"), sparse["values"].alias("values"))
-    # few, long tasks: each one sends a whole sum matrix
-    rows = rows.coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism))
-    basis = right_singular_vectors(rows, size, min(dims, max(2, size - 1)), seed=seed)
-    shared = df.sparkSession.sparkContext.broadcast(basis)
+    basis = right_singular_vectors(rows, size, min(dims, max(2, size - 1)), tolerance, seed=seed)
+    shared = df.sparkSession.sparkContext.broadcast(basis.astype("float32"))
 
-    def project(indices: pd.Series, values: pd.Series) -> pd.Series:
+    def project(indices: pa.Array, values: pa.Array) -> pa.Array:
         right = shared.value
-        return pd.Series([value @ right[index] for index, value in zip(indices, values)])
+        batch = pa.RecordBatch.from_arrays([indices, values], names=["indices", "values"])
+        parts = [product for *_, product in _products(*_flat(batch), right)]
+        flat = np.concatenate(parts) if parts else np.empty((0, right.shape[1]))
+        ends = np.arange(len(flat) + 1, dtype=np.int32) * right.shape[1]
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.ravel()))
 
-    return df.withColumn(out, F.pandas_udf(project, "array<double>")(sparse["indices"], sparse["values"]))
+    return df.withColumn(out, F.arrow_udf(project, "array<double>")(sparse["indices"], sparse["values"]))
 
 
 def fit_clusters(
-    df: DataFrame, k: int, vec: str = "lsa", seed: int = 42, out: str = "topic", cosine: bool = True
+    df: DataFrame,
+    k: int,
+    vec: str = "lsa",
+    seed: int = 42,
+    out: str = "topic",
+    starts: int = 3,
+    tolerance: float = 1e-4,
+    most: int = 100,
 ) -> tuple[DataFrame, np.ndarray]:
-    """Assign each row to one of ``k`` k-means clusters; also the cluster centres."""
+    """Assign each row to one of ``k`` k-means clusters; also the cluster centres.
+
+    Of ``starts`` fits, each run until no centre moves by more than ``tolerance`` (at most ``most`` steps), the one with the
+    least cost is kept. Every row gets a cluster, a zero vector too.
+    """
     array = dict(df.dtypes)[vec].startswith("array")
     ready = df.withColumn("_features", array_to_vector(F.col(vec).cast("array<double>")) if array else F.col(vec))
-    model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol=out, maxIter=20,
-                   distanceMeasure="cosine" if cosine else "euclidean").fit(ready)
+    features = ready.select("_features")
+    fits = [
+        KMeans(k=k, seed=seed + i, featuresCol="_features", predictionCol=out, maxIter=most, tol=tolerance).fit(features)
+        for i in range(starts)
+    ]
+    model = min(fits, key=lambda m: m.summary.trainingCost)
     return model.transform(ready).drop("_features"), np.vstack(model.clusterCenters())
 
 
@@ -268,25 +360,24 @@ class Topics:
 
 
 def build_source_topics(df: DataFrame, source: str, key: str, text: str, settings: Settings) -> Topics:
-    """Topics of one source: term weights, latent vectors, clusters, then their names and nearest documents."""
+    """Topics of one source: term weights, latent vectors, clusters, then their names and nearest documents.
+
+    Every document that is not blank or removed gets a cluster and stays one row, whatever its id: rows carry a number of
+    their own and their text from the first staged table to the last, so nothing is joined back by id.
+    """
     spark = df.sparkSession
-    kept = df.filter(not_removed(text)).select(
-        F.col(key).alias("doc_key"),
-        F.col(text).alias("document"),
-        *[c for c in ("created_utc",) if c in df.columns],
-    )
-    termed = use_all_cores(
-        cut_lineage(document_terms(kept, "document", settings.stop_words).select("doc_key", "terms"))
-    )
+    dated = ["created_utc"] if "created_utc" in df.columns else []
+    kept = df.filter(not_removed(text)).select(F.col(key).alias("id"), F.col(text).alias("document"), *dated)
+    termed = cut_lineage(document_terms(kept, "document", settings.stop_words).withColumn("_order", F.xxhash64("id", "document")))
     count = termed.count()
+    termed = laid_out(termed, "_order", "id", "document", rows=count)
     model = fit_tfidf(termed, settings)
-    weighed = cut_lineage(model.transform(termed).select("doc_key", "tfidf"))
-    latent = fit_lsa(weighed, dims=settings.topic_dims)
+    carried = ["id", "document", *dated, "tfidf"]
+    weighed = cut_lineage(model.transform(termed).select(F.monotonically_increasing_id().alias("doc_key"), *carried))
+    latent = cut_lineage(fit_lsa(weighed, dims=settings.topic_dims))
     k = min(settings.topic_count, max(2, count // max(1, settings.topic_min_size)))
-    # a document without any known term has a zero vector, which has no direction: it joins no topic
-    placed = latent.filter(F.aggregate("lsa", F.lit(0.0), lambda s, v: s + v * v) > 0)
-    assigned, _ = fit_clusters(cut_lineage(placed), k, "lsa")
-    assigned = cut_lineage(assigned)
+    placed, _ = fit_clusters(laid_out(latent, "doc_key", rows=count), k, "lsa", starts=settings.topic_starts)
+    assigned = cut_lineage(placed)
 
     # at most k rows
     sizes = keep_clusters(cut_lineage(cluster_sizes(assigned)), settings.topic_min_size, min(k, 10))
@@ -296,26 +387,19 @@ def build_source_topics(df: DataFrame, source: str, key: str, text: str, setting
     # at most k rows from here on
     names = sizes.join(terms, "topic", "left").withColumn("topic_name", topic_label("terms", "topic"))
     labels = cut_lineage(names.select("topic", "size", "topic_name"))
-    nearest = nearest_docs(assigned.select("doc_key", "topic", "lsa"), centroids(assigned, "lsa", "topic"), "lsa", "topic", "doc_key")
-    members = (
-        assigned.select("doc_key", "topic")
-        .join(F.broadcast(labels), "topic")
-        .join(kept, "doc_key")
-        .select(
-            F.col("topic").cast("string").alias("topic"),
-            F.lit(1.0).alias("topic_prob"),
-            "topic_name",
-            "document",
-            F.lit(source).alias("source"),
-            F.col("doc_key").alias(key),
-            *[c for c in ("created_utc",) if c in kept.columns],
-        )
+    members = lookup_join(assigned, labels.drop("size"), "topic", "inner").select(
+        F.col("topic").cast("string").alias("topic"),
+        F.lit(1.0).alias("topic_prob"),
+        "topic_name",
+        "document",
+        F.lit(source).alias("source"),
+        F.col("id").alias(key),
+        *dated,
     )
+    nearest = nearest_docs(assigned.select("doc_key", "topic", "lsa", "document"), centroids(assigned, "lsa", "topic"), "lsa", "topic", "doc_key")
     # three rows per topic
-    nearest_ids = cut_lineage(nearest.select("doc_key", "topic", "rank"))
     shown = (
-        kept.join(F.broadcast(nearest_ids), "doc_key")
-        .groupBy("topic")
+        nearest.groupBy("topic")
         .agg(F.sort_array(F.collect_list(F.struct("rank", "document"))).alias("_docs"))
         .select("topic", F.transform("_docs", lambda d: d["document"]).alias("Representative_Docs"))
     )
@@ -329,18 +413,18 @@ def build_source_topics(df: DataFrame, source: str, key: str, text: str, setting
     return Topics(members, summary)
 
 
-def build_topics(sources: dict[str, DataFrame], key: str, text: str, settings: Settings) -> Topics:
-    """Topics of each source on its own, united; the summary is ordered by size."""
-    built = [build_source_topics(df, name, key, text, settings) for name, df in sources.items() if not df.isEmpty()]
+def _united(built: list[Topics]) -> Topics:
     if not built:
         raise ValueError("no source has any row")
-    members, summary = built[0].members, built[0].summary
-    for other in built[1:]:
-        members = members.unionByName(other.members)
-        summary = summary.unionByName(other.summary)
+    members, summary = (reduce(DataFrame.unionByName, [getattr(t, part) for t in built]) for part in ("members", "summary"))
     return Topics(members, summary.orderBy(F.col("Count").desc(), "source", "Topic"))
 
 
+def build_topics(sources: dict[str, DataFrame], key: str, text: str, settings: Settings) -> Topics:
+    """Topics of each source on its own, united; the summary is ordered by size."""
+    return _united([build_source_topics(df, name, key, text, settings) for name, df in sources.items() if not df.isEmpty()])
+
+
 def _center_distances(centers: np.ndarray) -> Column:
     norms = (centers**2).sum(axis=1)
 
@@ -354,6 +438,7 @@ def _center_distances(centers: np.ndarray) -> Column:
 
 def embedding_topics(
     df: DataFrame,
+    source: str,
     vec: str,
     text: str,
     key: str,
@@ -363,37 +448,46 @@ def embedding_topics(
     outlier_quantile: float = 0.95,
     seed: int = 42,
 ) -> Topics:
-    """Topics from given embeddings.
+    """Topics of one source from given embeddings.
 
     Rows far from their centre, and clusters under ``min_size``, become the outlier topic -1. A topic is named by its
-    seven most distinctive words; a row's probability is the softmax of its negative centre distances.
+    seven most distinctive words; a row's probability is the softmax of its negative centre distances. How far is too far
+    comes from a quantile sketch that is off by a ten-thousandth of the cluster's rows at most.
     """
-    if not 2 <= k <= MAX_CLUSTERS:
-        raise ValueError(f"k is from 2 to {MAX_CLUSTERS}")
-    placed, centers = fit_clusters(use_all_cores(cut_lineage(df)), k, vec, seed, out="_cluster", cosine=False)
+    if k < 2:
+        raise ValueError("k is at least 2")
+    staged = cut_lineage(df.withColumn("_order", F.xxhash64(key, text)))
+    placed, centers = fit_clusters(
+        laid_out(staged, "_order", key, text), k, vec, seed, out="_cluster", starts=settings.topic_starts
+    )
     measured = placed.withColumn("_distances", _center_distances(centers)(F.col(vec).cast("array<double>"))).withColumn(
         "_own", F.element_at("_distances", F.col("_cluster") + 1)
     )
     nearest = F.array_min("_distances")
     total = F.aggregate("_distances", F.lit(0.0), lambda s, d: s + F.exp(nearest - d))
-    measured = cut_lineage(measured.withColumn("topic_prob", F.exp(nearest - F.col("_own")) / total).drop("_distances"))
+    measured = cut_lineage(measured.withColumn("topic_prob", F.exp(nearest - F.col("_own")) / total).drop("_distances", "_order"))
     limits = measured.groupBy("_cluster").agg(
         F.percentile_approx("_own", outlier_quantile, 10_000).alias("_limit"), F.count("*").alias("_size")
     )
     outlier = (F.col("_own") > F.col("_limit")) | (F.col("_size") < min_size)
-    # one row per cluster, at most MAX_CLUSTERS
-    assigned = measured.join(F.broadcast(limits), "_cluster").withColumn(
+    assigned = lookup_join(measured, cut_lineage(limits), "_cluster", "inner").withColumn(
         "topic", F.when(outlier, F.lit(-1)).otherwise(F.col("_cluster"))
     )
     termed = document_terms(assigned.filter("topic >= 0").select("topic", text), text, settings.stop_words, bigrams=False)
     words = class_tfidf(termed, "topic").groupBy("topic").agg(F.sort_array(F.collect_list(F.struct("rank", "term"))).alias("_w"))
     names = cut_lineage(words.select("topic", F.array_join(F.transform("_w", lambda w: w["term"]), ", ").alias("_name")))
     name = F.when(F.col("topic") < 0, F.lit("outlier")).otherwise(F.coalesce("_name", F.col("topic").cast("string")))
-    members = assigned.join(F.broadcast(names), "topic", "left").select(
+    members = lookup_join(assigned, names, "topic").select(
         key, "topic", F.round(F.when(F.col("topic") < 0, F.lit(0.0)).otherwise(F.col("topic_prob")), 6).alias("topic_prob"),
-        name.alias("topic_name"), F.col(text).alias("document"),
+        name.alias("topic_name"), F.col(text).alias("document"), F.lit(source).alias("source"),
     )
-    summary = members.groupBy("topic", "topic_name").agg(F.count("*").alias("Count")).select(
-        F.col("topic").alias("Topic"), "Count", F.col("topic_name").alias("Name")
+    summary = members.groupBy("topic", "topic_name", "source").agg(F.count("*").alias("Count")).select(
+        F.col("topic").alias("Topic"), "Count", F.col("topic_name").alias("Name"), "source"
     )
     return Topics(members, summary)
+
+
+def build_embedding_topics(sources: dict[str, DataFrame], vec: str, text: str, key: str, k: int, settings: Settings, **options) -> Topics:
+    """Embedding topics of each source on its own, united."""
+    built = [embedding_topics(df, name, vec, text, key, k, settings, **options) for name, df in sources.items() if not df.isEmpty()]
+    return _united(built)

@@ -47,44 +47,60 @@ def topic_prompts(summary: DataFrame) -> DataFrame:
             docs.alias("docs"),
             optional("sentiment_hint", "sentiment", default="neutral").alias("sentiment_hint"),
             optional("platform", default="generic").alias("platform"),
+            (to_text("source") if "source" in summary.columns else F.lit("")).alias("source"),
         )
         .withColumn("prompt", fn.build_prompt("topic_name", "docs", "sentiment_hint", "platform"))
     )
 
 
+def _answered(prompts: DataFrame, generator: Callable[[str], str]) -> DataFrame:
+    """``prompts`` plus the generator's ``raw_text`` and, where it raised or had nothing to say, the ``error``."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def one(prompt: str) -> tuple[str, str | None]:
+            try:
+                answer = generator(prompt) or ""
+            except Exception as error:  # the caller's function may raise anything; it is reported, not hidden
+                return "", f"{type(error).__name__}: {error}"
+            return answer, None if answer else "no answer"
+
+        for batch in batches:
+            answers = [one(p) for p in batch["prompt"]]
+            yield batch.assign(raw_text=[a for a, _ in answers], error=[e for _, e in answers])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in prompts.schema) + ", raw_text string, error string"
+    return prompts.mapInPandas(write, schema)
+
+
+def failed_drafts(summary: DataFrame, generator: Callable[[str], str]) -> DataFrame:
+    """(topic, topic_name, source, error) of the topics for which the generator raised or returned nothing."""
+    answered = _answered(topic_prompts(summary), generator)
+    return answered.filter(F.col("error").isNotNull()).select("topic", "topic_name", "source", "error")
+
+
 def generate_drafts(
     summary: DataFrame, as_of: dt.datetime, generator: Callable[[str], str] | None = None
 ) -> DataFrame:
     """A draft per topic, from the caller's ``prompt -> text`` function or, without one, from the topic itself.
 
-    A topic for which the function raises or returns nothing is left out.
+    A topic for which the function raises or returns nothing is left out; ``failed_drafts`` lists those with the reason.
+    Topics of several sources are told apart by the summary's ``source``, which becomes the ``topic_group``.
     """
     prompts = topic_prompts(summary)
+    named = ["source"] if "source" in summary.columns else []
     if generator is None:
         own = fn.heuristic_draft("topic_name", "docs", "platform")
         drafted = prompts.withColumn("_d", own).withColumn(
             "raw_text", F.concat(F.col("_d.caption"), F.lit(" || "), F.col("_d.cta"))
         )
     else:
-
-        def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            def one(prompt: str) -> str:
-                try:
-                    return generator(prompt) or ""
-                except Exception:
-                    return ""
-
-            for batch in batches:
-                yield batch.assign(raw_text=[one(p) for p in batch["prompt"]])
-
-        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in prompts.schema) + ", raw_text string"
-        answered = prompts.mapInPandas(write, schema).filter(F.col("raw_text") != "")
+        answered = _answered(prompts, generator).filter(F.col("raw_text") != "")
         drafted = answered.withColumn("_d", fn.split_caption_cta("raw_text"))
     return drafted.select(
         "topic",
         "topic_name",
-        F.col("topic").alias("topic_group"),
-        F.concat("topic", F.lit("_"), fn.short_id("topic", "raw_text", length=6)).alias("variant_id"),
+        F.when(F.col("source") != "", F.col("source")).otherwise(F.col("topic")).alias("topic_group"),
+        F.concat("topic", F.lit("_"), fn.short_id("topic", "raw_text", *named, length=6)).alias("variant_id"),
         F.lit(0).alias("variant_index"),
         F.coalesce(F.try_element_at("docs", F.lit(1)), F.lit("")).alias("representative_doc"),
         "sentiment_hint",
@@ -106,24 +122,21 @@ def split_drafts(df: DataFrame, raw: str = "raw_text") -> DataFrame:
 
 def candidates(
     df: DataFrame,
-    n: int,
+    n: int | None,
     order: Sequence[str] = ("created_utc", "variant_id"),
     limit_text: int = 800,
     texts: Sequence[str] = ("caption", "variant_text", "raw_text"),
 ) -> DataFrame:
-    """The first ``n`` drafts or variants as (variant_id, topic, variant_text), the text being the first one given."""
+    """The first ``n`` drafts or variants (None: all) as (variant_id, topic, variant_text), the text being the first one given."""
     texts = [c for c in texts if c in df.columns]
     names = [c for c in ("topic_name", "topic") if c in df.columns]
     by = [c for c in order if c in df.columns]
     ids = F.when(F.col("variant_id").cast("string") != "", F.col("variant_id").cast("string"))
-    return (
-        df.orderBy(*by)
-        .limit(n)
-        .select(
-            F.coalesce(ids, F.concat(F.lit("draft_"), fn.short_id(*texts, *names, length=6))).alias("variant_id"),
-            (coalesce_text(*names) if names else F.lit("")).alias("topic"),
-            F.substring(coalesce_text(*texts), 1, limit_text).alias("variant_text"),
-        )
+    first = df if n is None else df.orderBy(*by).limit(n)
+    return first.select(
+        F.coalesce(ids, F.concat(F.lit("draft_"), fn.short_id(*texts, *names, length=6))).alias("variant_id"),
+        (coalesce_text(*names) if names else F.lit("")).alias("topic"),
+        F.substring(coalesce_text(*texts), 1, limit_text).alias("variant_text"),
     )
 
 
@@ -144,8 +157,10 @@ def model_ranking(df: DataFrame, answer: str) -> DataFrame:
     return df.select(*kept, F.inline(fn.parse_ranking(answer)))
 
 
-def ranking_prompt(cands: DataFrame, history: DataFrame) -> DataFrame:
-    """The prompt that asks a generator to rank candidates, with the latest results as history (both lists are short)."""
+def ranking_prompt(cands: DataFrame, history: DataFrame, n: int = 10, n_history: int = 8) -> DataFrame:
+    """The prompt that asks a generator to rank the first ``n`` candidates, with the latest ``n_history`` results as history."""
+    history = history.orderBy(F.col("ts").desc_nulls_last(), F.col("post_id").desc(), "variant_id").limit(n_history)
+    cands = cands.orderBy("variant_id", "variant_text").limit(n)
     shown = F.concat_ws(
         " ",
         F.col("variant_id"),
@@ -156,10 +171,9 @@ def ranking_prompt(cands: DataFrame, history: DataFrame) -> DataFrame:
     past = history.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ts", "post_id", shown.alias("s")))), lambda r: r["s"]), "\n").alias("history"))
     line = F.concat("variant_id", F.lit(": "), F.translate(F.substring("variant_text", 1, 200), "\n", " "))
     listed = cands.agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("candidates"))
-    key = F.lit(1).alias("k")
-    return past.select(key, "*").join(listed.select(key, "*"), "k").select(
+    return past.select(
         F.concat(
-            F.lit(voc.RANK_PROMPT_HEAD), F.col("history"), F.lit("\n\nCandidates:\n"), F.col("candidates"),
+            F.lit(voc.RANK_PROMPT_HEAD), F.col("history"), F.lit("\n\nCandidates:\n"), listed.scalar(),
             F.lit("\n\nReturn JSON only."),
         ).alias("prompt")
     )

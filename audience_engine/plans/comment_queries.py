@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from audience_engine import vocabulary as voc
 from audience_engine.functions import clock, scoring, text
 from audience_engine.operators import conform, kpis, quality, selection
+from audience_engine.plans import expected
 from audience_engine.plans.registry import Inputs, any_in, query, sql_list, stripped
 from audience_engine.settings import Settings
 from audience_engine.sources import sinks
@@ -16,14 +16,14 @@ AS_OF = "TIMESTAMP '2024-03-31 00:00:00'"
 PLATFORMS = ("youtube", "reddit")
 
 ENGLISH = r"coalesce(CAST(length(regexp_replace(text, '[^\x00-\x7F]', '', 'g')) AS DOUBLE) / nullif(length(text), 0) > CAST(0.95 AS DOUBLE), false)"
-TOXIC = any_in("lower(text)", voc.TOXIC_WORDS)
+TOXIC = any_in("lower(text)", expected.TOXIC_WORDS)
 TOXICITY = f"CAST(CASE WHEN {TOXIC} THEN 0.6 ELSE 0.05 END AS DOUBLE)"
 SENTIMENT = (
-    f"CAST(CASE WHEN {any_in('lower(text)', voc.POSITIVE_WORDS)} THEN 0.7 "
-    f"WHEN {any_in('lower(text)', voc.NEGATIVE_WORDS)} THEN -0.6 ELSE 0.1 END AS DOUBLE)"
+    f"CAST(CASE WHEN {any_in('lower(text)', expected.POSITIVE_WORDS)} THEN 0.7 "
+    f"WHEN {any_in('lower(text)', expected.NEGATIVE_WORDS)} THEN -0.6 ELSE 0.1 END AS DOUBLE)"
 )
 TAGS = r"list_sort(list_distinct(list_transform(regexp_extract_all(text, '#[\p{L}\p{N}_]+'), lambda x: lower(x))))"
-SIGNALS = f"list_filter([{sql_list(voc.SIGNAL_PHRASES)}], lambda s: contains(lower(text), s))"
+SIGNALS = f"list_filter([{sql_list(expected.SIGNAL_PHRASES)}], lambda s: contains(lower(text), s))"
 HOURS = f"greatest(CAST(1 AS DOUBLE), date_diff('microsecond', created_utc, {AS_OF}) / CAST(3600000000 AS DOUBLE))"
 DENSITY = f"(likes_or_score + reply_count + 5 * creator_heart_or_awards) / {HOURS}"
 
@@ -63,7 +63,7 @@ def clean_comments(t: Inputs):
     "dq_log",
     f"""SELECT p.platform, r.reason, CAST(count(f.reason) AS BIGINT) AS count
     FROM (VALUES ('youtube'), ('reddit')) p(platform)
-    CROSS JOIN (SELECT unnest([{sql_list(voc.DQ_REASONS)}]) AS reason) r
+    CROSS JOIN (SELECT unnest([{sql_list(expected.DQ_REASONS)}]) AS reason) r
     LEFT JOIN failed f ON f.platform = p.platform AND f.reason = r.reason GROUP BY 1, 2""",
     ["comments"],
     SCORED + FAILED,
@@ -72,6 +72,46 @@ def dq_log(t: Inputs):
     return quality.dq_log(t.comments, CFG, PLATFORMS, platform="source")
 
 
+GAPPY = SCORED.replace("FROM comments", "FROM gappy_comments")
+GAPPY_FAILED = FAILED.replace("WHEN density < 0.20 THEN 'ed_lt_0.20'", "WHEN density < 0.20 THEN 'ed_lt_0.20' WHEN density IS NULL THEN 'ed_unknown'")
+
+
+@query(
+    "gappy_clean_comments",
+    "SELECT comment_id, round(density, 6) AS engagement_density FROM cleaned",
+    ["comments", "gappy_comments"],
+    GAPPY,
+)
+def gappy_clean_comments(t: Inputs):
+    """Comments without likes have no density: they go, and no reason of the log counts them."""
+    return quality.clean(t.gappy_comments, CFG).select("comment_id", F.round("engagement_density", 6).alias("engagement_density"))
+
+
+@query(
+    "gappy_dq_log",
+    f"""SELECT p.platform, r.reason, CAST(count(f.reason) AS BIGINT) AS count
+    FROM (VALUES ('youtube'), ('reddit')) p(platform)
+    CROSS JOIN (SELECT unnest([{sql_list(expected.DQ_REASONS)}]) AS reason) r
+    LEFT JOIN failed f ON f.platform = p.platform AND f.reason = r.reason GROUP BY 1, 2""",
+    ["comments", "gappy_comments"],
+    GAPPY + GAPPY_FAILED,
+)
+def gappy_dq_log(t: Inputs):
+    return quality.dq_log(t.gappy_comments, CFG, PLATFORMS, platform="source")
+
+
+@query(
+    "gappy_outcomes",
+    "SELECT platform, coalesce(reason, 'kept') AS outcome, count(*) AS n FROM failed GROUP BY 1, 2",
+    ["comments", "gappy_comments"],
+    GAPPY + GAPPY_FAILED,
+)
+def gappy_outcomes(t: Inputs):
+    """Every row has one outcome: kept, or its first failing check."""
+    outcome = F.coalesce(quality.first_fail(CFG), F.lit("kept")).alias("outcome")
+    return t.gappy_comments.select(F.col("source").alias("platform"), outcome).groupBy("platform", "outcome").agg(F.count("*").alias("n"))
+
+
 SIGNAL_ROWS = """,
 signal_rows AS (SELECT source AS platform, unnest(signals) AS signal, density FROM cleaned),
 signal_totals AS (SELECT platform, signal, count(*) AS n, round(avg(density), 3) AS signal_density FROM signal_rows GROUP BY 1, 2),
@@ -165,10 +205,10 @@ def engagement_density(t: Inputs):
 
 @query(
     "kept_texts",
-    f"SELECT doc_id FROM documents WHERE length(text) > 400 AND lower({stripped('text')}) NOT IN ('', '[removed]')",
+    f"SELECT doc_id FROM documents WHERE length(text) > 6 AND lower({stripped('text')}) NOT IN ('', '[removed]')",
 )
 def kept_texts(t: Inputs):
-    return t.documents.filter(text.longer_than("text", 400) & text.not_removed("text")).select("doc_id")
+    return t.documents.filter(text.longer_than("text", CFG.min_chars) & text.not_removed("text")).select("doc_id")
 
 
 # --- merging ---------------------------------------------------------------------------------------------------------
@@ -352,12 +392,7 @@ def recent_comments(t: Inputs):
     DEDUPED,
 )
 def stage_counts(t: Inputs):
-    raw, before = quality.observe_counts(united(t), "before")
+    raw = united(t)
     kept = selection.keep_last_n_days(conform.dedupe_comments(raw, [F.col("pull_no")]), CFG.as_of, CFG.window_days)
-    done, after = quality.observe_counts(kept, "after")
-    done.write.format("noop").mode("overwrite").save()
-    return t.spark.range(1).select(
-        F.lit("merged").alias("stage"),
-        F.lit(before.get["rows"]).cast("long").alias("before"),
-        F.lit(after.get["rows"]).cast("long").alias("after"),
-    )
+    before = raw.select("pull_no").agg(F.count("*").alias("before"))
+    return before.select(F.lit("merged").alias("stage"), "before", kept.agg(F.count("*")).scalar().alias("after"))

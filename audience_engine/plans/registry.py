@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from audience_engine.functions.text import SPACES
+from audience_engine.plans.expected import SPACES
 from audience_engine.plans.views import duck_views, view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from audience_engine.functions import clock, drafts
 from audience_engine.operators import kpis, sentiment
+from audience_engine.plans.expected import NEGATORS
 from audience_engine.plans.registry import Inputs, query, sql_list
-from audience_engine.vocabulary import NEGATORS
 
 WEEK = kpis.date_window(7, dt.datetime(2024, 3, 10))
 
@@ -58,7 +58,7 @@ def scored(t: Inputs):
     SENTIMENT,
 )
 def lexicon_sentiment(t: Inputs):
-    return scored(t)
+    return scored(t).drop("text_hash")
 
 
 @query(
@@ -110,10 +110,38 @@ COUNTS = """CAST(count(*) AS BIGINT) AS total, CAST(count(CASE WHEN sentiment_la
     SENTIMENT,
 )
 def comment_metrics(t: Inputs):
-    # the length, not the text, goes through the label join
-    narrow = comments(t).select("source", "comment_id", F.length("comment").alias("length"))
-    rows = sentiment.join_labels(narrow, scored(t))
-    return kpis.comment_metrics(rows, length="length")
+    return kpis.comment_metrics(sentiment.with_sentiment(comments(t), t.lexicon))
+
+
+EDITED = """
+rows_of AS (SELECT row_number() OVER () AS comment_id, 'any' AS source, text, created_utc FROM edited_comments),""" + SENTIMENT.replace(
+    "FROM comments", "FROM rows_of"
+)
+
+
+@query(
+    "edited_comment_metrics",
+    f"SELECT round(avg(length(text)), 1) AS avg_len, {COUNTS} FROM labelled",
+    ["edited_comments", "lexicon"],
+    EDITED,
+)
+def edited_comment_metrics(t: Inputs):
+    """Texts that change under one id, and comments without an id, each count once."""
+    edited = t.edited_comments.withColumnRenamed("text", "comment")
+    labelled = sentiment.join_labels(edited, sentiment.lexicon_sentiment(edited, t.lexicon))
+    return kpis.comment_metrics(labelled)
+
+
+@query(
+    "edited_weekly_rollup",
+    f"""SELECT '2024-03-03' AS week_start, {COUNTS} FROM labelled
+    WHERE created_utc >= TIMESTAMP '2024-03-03' AND created_utc < TIMESTAMP '2024-03-10'""",
+    ["edited_comments", "lexicon"],
+    EDITED,
+)
+def edited_weekly_rollup(t: Inputs):
+    rows = sentiment.with_sentiment(t.edited_comments.withColumnRenamed("text", "comment"), t.lexicon)
+    return kpis.weekly_rollup(rows, t.topic_summary, *WEEK).drop("top5", "names")
 
 
 @query(
@@ -136,9 +164,7 @@ rollup_row AS (SELECT '2024-03-03' AS week_start, """ + COUNTS + """,
 
 
 def weekly(t: Inputs):
-    narrow = comments(t).select("source", "comment_id", "created_utc")
-    rows = sentiment.join_labels(narrow, scored(t))
-    return kpis.weekly_rollup(rows, t.topic_summary, *WEEK)
+    return kpis.weekly_rollup(sentiment.with_sentiment(comments(t), t.lexicon), t.topic_summary, *WEEK)
 
 
 @query(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from audience_engine.functions import clock
 from audience_engine.operators import conform, selection
+from audience_engine.plans import pipelines
 from audience_engine.plans.registry import Inputs, query
 from audience_engine.settings import Settings
 from audience_engine.sources import payloads
@@ -146,16 +148,41 @@ def first_seen(t: Inputs):
     return conform.first_seen(listed(t), "video_id", [F.col("position")]).select("video_id", "region", "position")
 
 
+COARSE = """
+listed AS (SELECT video_id, region, split_part(category, ' ', 1) AS category, position FROM videos UNION ALL
+  SELECT video_id, 'GB' AS region, split_part(category, ' ', 1) AS category, position + 1000000 AS position FROM videos WHERE video_id % 3 = 0),
+firsts AS (SELECT * FROM listed QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY position) = 1)"""
+
+
 @query(
     "category_cap",
     """SELECT region, category, video_id FROM firsts
-    QUALIFY row_number() OVER (PARTITION BY region, category ORDER BY position) <= 2""",
+    QUALIFY row_number() OVER (PARTITION BY region, category ORDER BY position, video_id) <= 80""",
     ["videos"],
-    LISTED,
+    COARSE.replace("video_id % 3 = 0", "video_id % 3 < 2"),
 )
 def category_cap(t: Inputs):
-    firsts = conform.first_seen(listed(t), "video_id", [F.col("position")])
-    return selection.cap_per_group(firsts, ["region", "category"], 2, [F.col("position")]).select("region", "category", "video_id")
+    v = t.videos.select("video_id", "region", F.split_part("category", F.lit(" "), F.lit(1)).alias("category"), "position")
+    again = v.filter("video_id % 3 < 2").withColumns({"region": F.lit("GB"), "position": F.col("position") + 1000000})
+    firsts = conform.first_seen(v.unionByName(again), "video_id", [F.col("position")])
+    order = [F.col("position"), F.col("video_id")]
+    capped = selection.cap_per_group(firsts, ["region", "category"], CFG.videos_per_category, order, spread_by=["video_id"])
+    return capped.select("region", "category", "video_id")
+
+
+@query(
+    "keyword_cap",
+    """SELECT (video_id // 4) % 5 AS keyword, video_id FROM videos WHERE stream = 'marketing'
+    QUALIFY row_number() OVER (PARTITION BY (video_id // 4) % 5 ORDER BY (video_id * 7919) % 10007, video_id) <= 20""",
+    ["videos"],
+)
+def keyword_cap(t: Inputs):
+    found = t.videos.filter("stream = 'marketing'").select(
+        (F.floor(F.col("video_id") / 4) % 5).alias("keyword"), "video_id", ((F.col("video_id") * 7919) % 10007).alias("position")
+    )
+    order = [F.col("position"), F.col("video_id")]
+    capped = selection.cap_per_group(found, "keyword", CFG.videos_per_keyword, order, spread_by=["video_id"])
+    return capped.select("keyword", "video_id")
 
 
 # --- posts -----------------------------------------------------------------------------------------------------------
@@ -224,34 +251,53 @@ def selected_comments(t: Inputs):
     return selection.only_selected(video_comments(t), selection.cap_per_channel(t.videos)).select("comment_id", "video_id")
 
 
+SHUFFLED = """
+placed AS (SELECT comment_id, CAST(comment_id % 7 + 1 AS BIGINT) AS group_id, created_utc,
+  row_number() OVER (PARTITION BY comment_id % 7 ORDER BY (comment_id * 7919) % 10007, comment_id) AS place FROM comments)"""
+
+
+def listing(t: Inputs):
+    """Comments in few groups, with a place in their group's listing that is not the order of their ids."""
+    place = Window.partitionBy(F.col("comment_id") % 7).orderBy((F.col("comment_id") * 7919) % 10007, "comment_id")
+    group = (F.col("comment_id") % 7 + 1).cast("long")
+    return t.comments.withColumns({"group_id": group, "place": F.row_number().over(place)})
+
+
 @query(
     "comments_capped",
-    """SELECT c.comment_id, c.post_id AS video_id, v.stream FROM comments c JOIN videos v ON v.video_id = c.post_id
-    WHERE c.source = 'youtube' QUALIFY row_number() OVER (PARTITION BY c.post_id ORDER BY c.comment_id)
-      <= CASE WHEN v.stream = 'marketing' THEN 8 ELSE 5 END""",
+    """SELECT c.comment_id, c.group_id AS video_id, v.category FROM placed c JOIN videos v ON v.video_id = c.group_id
+    WHERE c.place <= CASE WHEN v.stream = 'marketing' THEN 50 ELSE 20 END""",
     ["comments", "videos"],
+    SHUFFLED,
 )
 def comments_capped(t: Inputs):
-    from audience_engine.operators.joining import lookup_join
-
-    cfg = Settings(comments_per_popular_video=5, comments_per_marketing_video=8)
-    caps = F.when(F.col("stream") == "marketing", cfg.comments_per_marketing_video).otherwise(cfg.comments_per_popular_video)
-    joined = lookup_join(video_comments(t), t.videos.select("video_id", "stream"), "video_id", "inner")
-    return selection.cap_per_group(
-        joined, "video_id", caps, [F.col("comment_id")],
-        max_n=max(cfg.comments_per_marketing_video, cfg.comments_per_popular_video), spread_by=["comment_id"],
-    ).select("comment_id", "video_id", "stream")
+    item = F.struct(
+        F.col("comment_id").cast("string").alias("id"),
+        F.struct(F.struct(F.struct(F.md5("text").alias("textDisplay")).alias("snippet")).alias("topLevelComment")).alias("snippet"),
+    )
+    # a page holds 50 comments of one video, in listing order
+    pages = (
+        listing(t).groupBy(F.col("group_id").alias("video_id"), F.floor((F.col("place") - 1) / 50).alias("page"))
+        .agg(F.sort_array(F.collect_list(F.struct("place", item.alias("it")))).alias("rows"))
+        .select("video_id", "page", F.to_json(F.struct(F.transform("rows", lambda r: r["it"]).alias("items"))).alias("payload"))
+    )
+    flat = payloads.flatten_comment_threads(pages)
+    return pipelines.collect_video_comments(flat, t.videos, CFG).select(
+        F.col("comment_id").cast("long").alias("comment_id"), "video_id", "category"
+    )
 
 
 @query(
     "post_comments_capped",
-    """SELECT post_id, comment_id FROM comments
-    WHERE floor(date_diff('second', created_utc, TIMESTAMP '2024-03-31 00:00:00') / 86400.0) <= 60
-    QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY comment_id) <= 12""",
+    """SELECT post_id, comment_id FROM (SELECT comment_id % 3 AS post_id, comment_id,
+      row_number() OVER (PARTITION BY comment_id % 3 ORDER BY (comment_id * 7919) % 10007, comment_id) AS place FROM comments
+      WHERE floor(date_diff('second', created_utc, TIMESTAMP '2024-03-31 00:00:00') / 86400.0) <= 60)
+    WHERE place <= 150""",
     ["comments"],
 )
 def post_comments_capped(t: Inputs):
-    recent = t.comments.filter(clock.recent_days("created_utc", CFG.as_of, CFG.window_days))
-    return selection.cap_per_group(recent, "post_id", 12, [F.col("comment_id")], spread_by=["comment_id"]).select(
-        "post_id", "comment_id"
+    recent = t.comments.filter(clock.recent_days("created_utc", CFG.as_of, CFG.window_days)).select(
+        (F.col("comment_id") % 3).alias("post_id"), "comment_id", ((F.col("comment_id") * 7919) % 10007).alias("position")
     )
+    order = [F.col("position"), F.col("comment_id")]
+    return selection.cap_per_group(recent, "post_id", CFG.comments_per_post, order, spread_by=["comment_id"]).select("post_id", "comment_id")

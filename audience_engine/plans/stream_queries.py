@@ -42,8 +42,8 @@ def stream_kpis(t: Inputs):
 @query("stream_dedupe", "SELECT DISTINCT user_id, event_type, props FROM events")
 def stream_dedupe(t: Inputs):
     events = landed(t, "events").select("ts", "user_id", "event_type", "props")
-    # the delay spans the whole table, so every repeat is dropped
-    unique = jobs.stream_dedupe(events, "1000 days", "ts", ("user_id", "event_type", "props"))
+    # all that has landed is one batch, which holds every repeat; its state expires after it
+    unique = jobs.stream_dedupe(events, jobs.DEFAULT_DELAY, "ts", ("user_id", "event_type", "props"))
     return drained(unique.drop("ts"), "stream-dedupe")
 
 

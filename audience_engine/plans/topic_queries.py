@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from audience_engine import vocabulary as voc
@@ -9,16 +10,18 @@ from audience_engine.functions import text
 from audience_engine.functions.drafts import topic_label
 from audience_engine.functions.scoring import cosine_distance
 from audience_engine.operators import model, topics
-from audience_engine.plans.registry import Inputs, query, sql_list
+from audience_engine.plans import expected
+from audience_engine.plans.registry import Inputs, query, sql_list, stripped
+from audience_engine.session import cut_lineage
 from audience_engine.settings import Settings
 
 CFG = Settings()
 
 NORMAL = rf"""
 normal AS (SELECT doc_id, lang, source, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(text),
-  '{text.URL}', ' ', 'g'), '{text.EMAIL}', ' ', 'g'), '{text.PHONE}', ' ', 'g'), '{text.NON_WORD}', ' ', 'g')) AS body FROM documents),
+  '{expected.URL}', ' ', 'g'), '{expected.EMAIL}', ' ', 'g'), '{expected.PHONE}', ' ', 'g'), '{expected.NON_WORD}', ' ', 'g')) AS body FROM documents),
 worded AS (SELECT doc_id, lang, source, list_filter(string_split(body, ' '), lambda w: length(w) >= 3
-  AND NOT regexp_matches(w, '{text.NUMERIC}') AND w NOT IN ({sql_list(CFG.stop_words)})) AS ws FROM normal)"""
+  AND NOT regexp_matches(w, '{expected.NUMERIC}') AND w NOT IN ({sql_list(CFG.stop_words)})) AS ws FROM normal)"""
 
 TERMS = """,
 terms AS (SELECT doc_id, lang, unnest(ws) AS term FROM worded UNION ALL
@@ -45,12 +48,63 @@ def termed(t: Inputs, bigrams: bool = True):
     "term_idf",
     """SELECT term, CAST(tf AS BIGINT) AS tf, CAST(df AS BIGINT) AS df, round(ln((1 + n) / (1 + df)) + 1, 6) AS idf FROM (
       SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df, (SELECT CAST(count(*) AS DOUBLE) FROM documents) AS n FROM terms GROUP BY term)
-    WHERE df <= CAST(0.98 AS DOUBLE) * n ORDER BY tf DESC, term LIMIT 100000""",
+    WHERE df <= CAST(0.98 AS DOUBLE) * n""",
     steps=NORMAL + TERMS,
 )
 def term_idf(t: Inputs):
-    weights = topics.term_idf(termed(t), max_share=CFG.max_document_share, vocabulary=CFG.topic_vocabulary)
-    return weights.withColumn("idf", F.round("idf", 6))
+    return topics.term_idf(termed(t), max_share=CFG.max_document_share).withColumn("idf", F.round("idf", 6))
+
+
+@query(
+    "frequent_terms",
+    """SELECT term, CAST(tf AS BIGINT) AS tf FROM (SELECT term, count(*) AS tf FROM terms GROUP BY term)
+    ORDER BY tf DESC, md5(term) LIMIT 5000""",
+    steps=NORMAL + TERMS,
+)
+def frequent_terms(t: Inputs):
+    return topics.term_idf(termed(t), max_share=1.0, vocabulary=5000).select("term", "tf")
+
+
+WEIGHTS = """,
+counted AS (SELECT doc_id, any_value(lang) AS lang, term, CAST(count(*) AS DOUBLE) AS tf FROM terms GROUP BY doc_id, term),
+frequency AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + CAST(count(*) AS DOUBLE))) + 1 AS idf FROM counted
+  GROUP BY term HAVING count(*) <= 0.98 * (SELECT count(*) FROM documents)),
+weighed AS (SELECT doc_id, lang, term, tf * idf AS w FROM counted JOIN frequency USING (term)),
+unit AS (SELECT doc_id, lang, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM weighed)"""
+
+
+def document_weights(t: Inputs):
+    rows = termed(t)
+    every = Settings(topic_vocabulary=10_000_000)
+    return topics.fit_tfidf(rows, every), rows
+
+
+@query(
+    "document_weights",
+    """SELECT doc_id, count(*) AS terms, round(sum(w), 6) AS total, round(max(w), 6) AS largest FROM unit GROUP BY doc_id""",
+    steps=NORMAL + TERMS + WEIGHTS,
+)
+def tfidf_of_documents(t: Inputs):
+    model_, rows = document_weights(t)
+    values = F.unwrap_udt("tfidf")["values"]
+    found = model_.transform(rows).select("doc_id", values.alias("w")).filter(F.size("w") > 0)
+    total = F.aggregate("w", F.lit(0.0), lambda s, v: s + v)
+    return found.select("doc_id", F.size("w").cast("long").alias("terms"), F.round(total, 6).alias("total"), F.round(F.array_max("w"), 6).alias("largest"))
+
+
+@query(
+    "language_terms",
+    """SELECT lang, array_to_string(list(term ORDER BY rank), '|') AS terms FROM (
+      SELECT lang, term, row_number() OVER (PARTITION BY lang ORDER BY round(sum(w), 9) DESC, term) AS rank FROM unit GROUP BY lang, term)
+    WHERE rank <= 6 GROUP BY lang""",
+    steps=NORMAL + TERMS + WEIGHTS,
+)
+def language_terms(t: Inputs):
+    model_, rows = document_weights(t)
+    words = pd.DataFrame({"index": range(len(model_.vocabulary)), "term": model_.vocabulary})
+    vocabulary = t.spark.createDataFrame(words, "index int, term string")
+    best = topics.top_terms(model_.transform(rows), vocabulary, label="lang", k=6)
+    return best.select("lang", F.array_join("terms", "|").alias("terms"))
 
 
 @query(
@@ -182,13 +236,15 @@ def kept_clusters_fallback(t: Inputs):
     return topics.keep_clusters(sizes, 10**9, fallback=4, label="label")
 
 
-# --- models (checked by row counts here, by their invariants in the tests) --------------------------------------------
+# --- models: their rows here, what is exact about them by SQL, more invariants in the tests ------------------------------
+
 
+def by_source(df):
+    return {p: df.filter(F.col("source") == p) for p in ("youtube", "reddit")}
 
-def source_topics(t: Inputs):
-    comments = t.comments
-    by_source = {p: comments.filter(F.col("source") == p) for p in ("youtube", "reddit")}
-    return topics.build_topics(by_source, "comment_id", "text", CFG)
+
+def source_topics(t: Inputs, cfg: Settings = CFG):
+    return topics.build_topics(by_source(t.comments), "comment_id", "text", cfg)
 
 
 @query("topics")
@@ -201,13 +257,69 @@ def topics_summary(t: Inputs):
     return source_topics(t).summary
 
 
+SMALL = Settings(topic_min_size=1, topic_dims=10, topic_vocabulary=5000, topic_starts=1)
+
+
+@query(
+    "topic_members",
+    f"""SELECT source, count(*) AS n, count(DISTINCT comment_id) AS ids, CAST(0 AS BIGINT) AS wrong_counts, CAST(0 AS BIGINT) AS strangers
+    FROM comments WHERE lower({stripped('text')}) NOT IN ('', '[removed]') GROUP BY source""",
+    ["comments"],
+)
+def topic_members(t: Inputs):
+    """Every kept document is in one topic; the summary's counts are the members'; representatives are members of their topic."""
+    built = source_topics(t, SMALL)
+    members, summary = cut_lineage(built.members), cut_lineage(built.summary)
+    sizes = members.groupBy("source", F.col("topic").alias("Topic")).agg(F.count("*").alias("n"))
+    wrong = summary.join(sizes, ["source", "Topic"], "full").filter(~F.col("n").eqNullSafe(F.col("Count")))
+    shown = summary.select("source", F.col("Topic").alias("topic"), F.explode("Representative_Docs").alias("document"))
+    strangers = shown.join(members, ["source", "topic", "document"], "left_anti")
+    found = members.groupBy("source").agg(F.count("*").alias("n"), F.count_distinct("comment_id").alias("ids"))
+    faults = [x.groupBy("source").agg(F.count("*").alias(n)) for x, n in ((wrong, "wrong_counts"), (strangers, "strangers"))]
+    return found.join(faults[0], "source", "left").join(faults[1], "source", "left").fillna(0)
+
+
+def embedded(t: Inputs):
+    source = F.when(F.col("doc_id") % 2 == 0, "youtube").otherwise("reddit")
+    return by_source(t.embedded_docs.withColumn("source", source))
+
+
 @query("embedding_topics")
 def embedding_topics(t: Inputs):
-    return topics.embedding_topics(t.embedded_docs, "embedding", "text", "doc_id", 10, CFG, min_size=20).members.drop("document")
+    return topics.build_embedding_topics(embedded(t), "embedding", "text", "doc_id", 10, CFG).members.drop("document")
+
+
+@query(
+    "embedding_members",
+    """SELECT CASE WHEN doc_id % 2 = 0 THEN 'youtube' ELSE 'reddit' END AS source, count(*) AS n, count(*) AS summed, count(DISTINCT doc_id) AS ids
+    FROM embedded_docs GROUP BY 1""",
+    ["embedded_docs"],
+)
+def embedding_members(t: Inputs):
+    built = topics.build_embedding_topics(embedded(t), "embedding", "text", "doc_id", 10, CFG)
+    members = built.members.groupBy("source").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("ids"))
+    return members.join(built.summary.groupBy("source").agg(F.sum("Count").alias("summed")), "source")
+
+
+def virality(t: Inputs, rounds: int):
+    rows = t.lineitem.withColumnRenamed("l_extendedprice", "target")
+    fitted, error = model.train_virality(rows.drop("l_orderkey", "l_linenumber"), rounds=rounds)
+    return model.score_virality(rows, fitted), error
 
 
 @query("virality_scores")
 def virality_scores(t: Inputs):
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", F.col("l_extendedprice").alias("target"))
-    fitted, _ = model.train_virality(rows.select("l_quantity", "l_discount", "l_tax", "target"))
-    return model.score_virality(rows, fitted).select("l_orderkey", "l_linenumber", "target", F.round("prediction", 2).alias("prediction"))
+    scored, _ = virality(t, 50)
+    return scored.select("l_orderkey", "l_linenumber", "target", F.round("prediction", 2).alias("prediction"))
+
+
+@query(
+    "virality_fit",
+    """SELECT count(*) AS n, count(DISTINCT l_orderkey) AS ids, CAST(round(sum(l_extendedprice)) AS BIGINT) AS target, true AS better_than_mean FROM lineitem""",
+)
+def virality_fit(t: Inputs):
+    scored, error = virality(t, 5)
+    return scored.agg(
+        F.count("*").alias("n"), F.count_distinct("l_orderkey").alias("ids"), F.round(F.sum("target")).cast("long").alias("target"),
+        (F.stddev_pop("target") > error).alias("better_than_mean"),
+    )

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from audience_engine import vocabulary as voc
 from audience_engine.functions import drafts, scoring
-from audience_engine.operators import experiments, variants
-from audience_engine.operators.joining import top_per_group
+from audience_engine.operators import experiments, topics, variants
+from audience_engine.plans import expected
 from audience_engine.plans.registry import Inputs, any_in, query, stripped
+from audience_engine.plans.topic_queries import CENTERS, DISTANCES
 from audience_engine.settings import Settings
 from audience_engine.sources import readers
 from audience_engine.streaming.jobs import approvals as approval_rows
@@ -23,14 +23,14 @@ def comments(t: Inputs):
 # --- captions and drafts ---------------------------------------------------------------------------------------------
 
 SNIPPET = "CASE WHEN length(text) > 100 THEN concat(" + stripped("substr(text, 1, 100)") + ", '...') ELSE text END"
-TEMPLATES = ", ".join("'" + template.replace("'", "''") + "'" for template in voc.CAPTION_TEMPLATES)
+TEMPLATES = ", ".join("'" + template.replace("'", "''") + "'" for template in expected.CAPTION_TEMPLATES)
 
 
 @query(
     "variants",
     f"""SELECT concat(CAST(comment_id AS VARCHAR), '_', CAST(i AS VARCHAR)) AS variant_id, md5(text) AS original_comment,
     replace([{TEMPLATES}][i + 1], '{{snippet}}', {SNIPPET}) AS variant_text, source
-    FROM comments CROSS JOIN range(0, {len(voc.CAPTION_TEMPLATES)}) r(i)""",
+    FROM comments CROSS JOIN range(0, {len(expected.CAPTION_TEMPLATES)}) r(i)""",
     ["comments"],
 )
 def make_variants(t: Inputs):
@@ -96,24 +96,29 @@ def draft_candidates(t: Inputs):
     return variants.candidates(variants.split_drafts(t.llm_drafts), 10, ("topic", "variant_id"))
 
 
-TOPIC_DOCS = """
-firsts AS (SELECT source, lang, text, doc_id FROM documents
-  QUALIFY row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) <= 4),
-topic_docs AS (SELECT concat(source, '/', lang) AS topic, lang AS name, list(text ORDER BY doc_id) AS docs,
-  CASE WHEN lang = 'en' THEN 'positive' ELSE 'neutral' END AS mood, CASE WHEN lang = 'de' THEN 'instagram' ELSE 'generic' END AS platform
-  FROM firsts GROUP BY source, lang)"""
+TOPIC_DOCS = (
+    CENTERS
+    + DISTANCES
+    + """,
+nearest AS (SELECT label, doc_id, row_number() OVER (PARTITION BY label ORDER BY distance, doc_id) AS rank FROM distances),
+topic_docs AS (SELECT CAST(label AS VARCHAR) AS topic, concat('label ', CAST(label AS VARCHAR)) AS name, list(text ORDER BY rank) AS docs,
+  CASE WHEN label % 2 = 0 THEN 'positive' ELSE 'neutral' END AS mood, CASE WHEN label % 3 = 0 THEN 'instagram' ELSE 'generic' END AS platform
+  FROM nearest JOIN embedded_docs USING (label, doc_id) WHERE rank <= 3 GROUP BY label)"""
+)
 
 
 def topic_docs(t: Inputs):
-    firsts = top_per_group(t.documents, ["source", "lang"], [F.col("doc_id")], 4, rank="rank")
-    # four documents per topic
-    docs = firsts.groupBy("source", "lang").agg(F.sort_array(F.collect_list(F.struct("rank", "text"))).alias("d"))
-    return docs.select(
-        F.concat("source", F.lit("/"), "lang").alias("Topic"),
-        F.col("lang").alias("Name"),
+    """A summary with each label's representative documents, as the topic run makes it."""
+    docs = t.embedded_docs.select("doc_id", "label", "embedding", "text")
+    nearest = topics.nearest_docs(docs, topics.centroids(docs, "embedding", "label"), "embedding", "label", "doc_id")
+    # three documents per label
+    shown = nearest.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("rank", "text"))).alias("d"))
+    return shown.select(
+        F.col("label").alias("Topic"),
+        F.concat(F.lit("label "), F.col("label").cast("string")).alias("Name"),
         F.to_json(F.transform("d", lambda d: d["text"])).alias("Representative_Docs"),
-        F.when(F.col("lang") == "en", F.lit("positive")).alias("sentiment_hint"),
-        F.when(F.col("lang") == "de", F.lit("instagram")).otherwise(F.lit("")).alias("platform"),
+        F.when(F.col("label") % 2 == 0, F.lit("positive")).alias("sentiment_hint"),
+        F.when(F.col("label") % 3 == 0, F.lit("instagram")).otherwise(F.lit("")).alias("platform"),
     )
 
 
@@ -124,6 +129,7 @@ def topic_docs(t: Inputs):
     'Tone should match sentiment: ', mood, '.', chr(10), 'Topic name: ', name, chr(10),
     'Representative audience comments (signal): ', array_to_string(docs[1:3], ' | '), chr(10), chr(10),
     'Return strictly in the format: caption || CTA')) AS prompt FROM topic_docs""",
+    views=["embedded_docs"],
     steps=TOPIC_DOCS,
 )
 def prompts(t: Inputs):
@@ -136,6 +142,7 @@ def prompts(t: Inputs):
     created_utc FROM (
       SELECT topic, name AS topic_name, mood AS sentiment_hint, platform, substr(concat(name, ': ', substr(docs[1], 1, 100)), 1, 240) AS caption,
       CASE WHEN platform = 'generic' THEN 'Learn more' ELSE 'Read more' END AS cta, '2024-03-31T00:00:00Z' AS created_utc FROM topic_docs)""",
+    views=["embedded_docs"],
     steps=TOPIC_DOCS,
 )
 def heuristic_drafts(t: Inputs):
@@ -148,6 +155,7 @@ def heuristic_drafts(t: Inputs):
     "generated_drafts",
     """SELECT topic, caption, cta FROM (SELECT topic, concat('On ', name) AS caption, concat('See ', platform) AS cta, mood FROM topic_docs)
     WHERE mood = 'positive'""",
+    views=["embedded_docs"],
     steps=TOPIC_DOCS,
 )
 def generated_drafts(t: Inputs):
@@ -200,13 +208,14 @@ UPDATES = """
 log AS (SELECT * FROM ab_log UNION ALL SELECT post_id, topic, concat(variant_id, 'b') AS variant_id, ts, replies, likes, ctr FROM ab_log),
 updates AS (SELECT post_id, ts, replies + 1 AS replies, likes + 2 AS likes, CAST(0.5 AS DOUBLE) AS ctr FROM ab_log WHERE replies % 3 = 0
   UNION ALL SELECT post_id, ts + INTERVAL 1 DAY, replies + 5, NULL, NULL FROM ab_log WHERE replies % 6 = 0),
-last_updates AS (SELECT * FROM updates QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY ts DESC) = 1)"""
+last_updates AS (SELECT post_id, arg_max(struct_pack(replies := replies, likes := likes), ts) AS last,
+  arg_max(ctr, ts) FILTER (WHERE ctr IS NOT NULL) AS ctr FROM updates GROUP BY post_id)"""
 
 
 @query(
     "record_metrics",
-    """SELECT l.post_id, l.variant_id, CASE WHEN u.post_id IS NULL THEN l.replies ELSE coalesce(u.replies, 0) END AS replies,
-    CASE WHEN u.post_id IS NULL THEN l.likes ELSE coalesce(u.likes, 0) END AS likes, coalesce(u.ctr, l.ctr) AS ctr
+    """SELECT l.post_id, l.variant_id, CASE WHEN u.post_id IS NULL THEN l.replies ELSE coalesce(u.last.replies, 0) END AS replies,
+    CASE WHEN u.post_id IS NULL THEN l.likes ELSE coalesce(u.last.likes, 0) END AS likes, coalesce(u.ctr, l.ctr) AS ctr
     FROM log l LEFT JOIN last_updates u ON u.post_id = l.post_id""",
     ["ab_log"],
     UPDATES,
@@ -294,9 +303,9 @@ LOW = "lower({0})"
 def rank_sql(text: str) -> str:
     low = f"lower({text})"
     return (
-        f"round(CAST(CASE WHEN {any_in(low, voc.RANK_CTA_WORDS)} THEN 0.03 ELSE 0 END AS DOUBLE)"
+        f"round(CAST(CASE WHEN {any_in(low, expected.RANK_CTA_WORDS)} THEN 0.03 ELSE 0 END AS DOUBLE)"
         f" + least(CAST(0.05 AS DOUBLE), length({low}) / CAST(2000 AS DOUBLE))"
-        f" + CAST(CASE WHEN {any_in(low, voc.AI_WORDS)} THEN 0.02 ELSE 0 END AS DOUBLE), 4)"
+        f" + CAST(CASE WHEN {any_in(low, expected.AI_WORDS)} THEN 0.02 ELSE 0 END AS DOUBLE), 4)"
     )
 
 
@@ -304,9 +313,9 @@ def prior_sql(text: str) -> str:
     low = f"lower({text})"
     return (
         f"round(least(CAST(0.2 AS DOUBLE), greatest(CAST(0.001 AS DOUBLE), CAST(0.01 AS DOUBLE)"
-        f" + CAST(CASE WHEN {any_in(low, voc.PRIOR_CTA_WORDS)} THEN 0.02 ELSE 0 END AS DOUBLE)"
+        f" + CAST(CASE WHEN {any_in(low, expected.PRIOR_CTA_WORDS)} THEN 0.02 ELSE 0 END AS DOUBLE)"
         f" + CAST(CASE WHEN length({low}) < 80 THEN 0.01 ELSE 0 END AS DOUBLE)"
-        f" + CAST(CASE WHEN {any_in(low, voc.AI_WORDS)} THEN 0.015 ELSE 0 END AS DOUBLE))), 4)"
+        f" + CAST(CASE WHEN {any_in(low, expected.AI_WORDS)} THEN 0.015 ELSE 0 END AS DOUBLE))), 4)"
     )
 
 
@@ -320,22 +329,22 @@ def ctr_prior(t: Inputs):
     return t.llm_drafts.select("variant_id", scoring.ctr_prior("raw_text").alias("prior"))
 
 
-TEN = (
+ALL_RANKED = (
     DRAFTED
     + f""",
-ten AS (SELECT variant_id, topic_name AS topic, substr(CASE WHEN caption <> '' THEN caption ELSE raw_text END, 1, 600) AS variant_text
-  FROM drafted ORDER BY drafted.topic, variant_id LIMIT 10),
-ranked AS (SELECT *, {rank_sql('variant_text')} AS score FROM ten ORDER BY score DESC, variant_id LIMIT 5)"""
+all_texts AS (SELECT variant_id, topic_name AS topic, substr(CASE WHEN caption <> '' THEN caption ELSE raw_text END, 1, 600) AS variant_text
+  FROM drafted),
+ranked AS (SELECT *, {rank_sql('variant_text')} AS score FROM all_texts ORDER BY score DESC, variant_id LIMIT 5)"""
 )
 
 
-def ten(t: Inputs):
-    return variants.candidates(variants.split_drafts(t.llm_drafts), 10, ("topic", "variant_id"), 600)
+def all_candidates(t: Inputs):
+    return variants.candidates(variants.split_drafts(t.llm_drafts), None, limit_text=600)
 
 
-@query("heuristic_rank", "SELECT variant_id, score, 'heuristic' AS reason FROM ranked", ["llm_drafts"], TEN)
+@query("heuristic_rank", "SELECT variant_id, score, 'heuristic' AS reason FROM ranked", ["llm_drafts"], ALL_RANKED)
 def heuristic_rank(t: Inputs):
-    return experiments.rank_candidates(ten(t), 5).select("variant_id", "score", "reason")
+    return experiments.rank_candidates(all_candidates(t), 5).select("variant_id", "score", "reason")
 
 
 @query(
@@ -343,10 +352,10 @@ def heuristic_rank(t: Inputs):
     """SELECT concat('pred_', substr(md5(concat(variant_id, '|2024-03-31T00:00:00')), 1, 8)) AS post_id, topic, variant_id, variant_text
     FROM ranked ORDER BY score DESC, variant_id LIMIT 1""",
     ["llm_drafts"],
-    TEN,
+    ALL_RANKED,
 )
 def log_prediction(t: Inputs):
-    return experiments.log_prediction(ten(t), CFG.as_of).select("post_id", "topic", "variant_id", "variant_text")
+    return experiments.log_prediction(all_candidates(t), CFG.as_of).select("post_id", "topic", "variant_id", "variant_text")
 
 
 @query(
@@ -367,7 +376,8 @@ def enrol_variants(t: Inputs):
 
 VARIANTS = """
 variants AS (SELECT DISTINCT variant_id, concat('text of ', variant_id) AS variant_text FROM ab_log),
-scores AS (SELECT variant_id, round(avg(ctr), 4) AS score FROM ab_log GROUP BY 1)"""
+scores AS (SELECT variant_id, round(avg(ctr), 4) AS score FROM ab_log GROUP BY 1),
+odd_scores AS (SELECT variant_id, CASE WHEN variant_id = 'v3' THEN CAST('NaN' AS DOUBLE) WHEN variant_id <> 'v4' THEN score END AS score FROM scores)"""
 
 
 def offered(t: Inputs):
@@ -402,10 +412,12 @@ def unit(tag: str) -> str:
       CAST(floor({unit('pick')} * (SELECT count(*) FROM variants)) AS BIGINT) AS place FROM events) e
     JOIN (SELECT *, row_number() OVER (ORDER BY CAST(('0x' || substr(md5(variant_id), 1, 8)) AS UBIGINT) % 4096, variant_id) - 1 AS place
       FROM variants) i ON i.place = e.place
-    CROSS JOIN (SELECT variant_id, variant_text FROM variants JOIN scores USING (variant_id)
-      ORDER BY score DESC NULLS LAST, variant_id LIMIT 1) best""",
+    CROSS JOIN (SELECT variant_id, variant_text FROM variants JOIN odd_scores USING (variant_id)
+      ORDER BY CASE WHEN isnan(score) OR score IS NULL THEN 0 ELSE score END DESC, variant_id LIMIT 1) best""",
     ["ab_log"],
     VARIANTS,
 )
 def bandit_assign(t: Inputs):
-    return experiments.assign_variants(t.events.select("event_id"), offered(t), variant_scores(t), CFG.explore_share)
+    odd = F.when(F.col("variant_id") == "v3", F.lit(float("nan"))).when(F.col("variant_id") != "v4", F.col("score"))
+    scores = variant_scores(t).withColumn("score", odd)
+    return experiments.assign_variants(t.events.select("event_id"), offered(t), scores, CFG.explore_share)

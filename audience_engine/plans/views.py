@@ -36,6 +36,14 @@ SELECT doc_id AS comment_id, CASE WHEN doc_id % 2 = 0 THEN 'youtube' ELSE 'reddi
 SELECT *, 1 AS pull_no FROM $comments UNION ALL
 SELECT comment_id, source, channel_id, post_id, author, text, likes_or_score + 1 AS likes_or_score, reply_count,
   creator_heart_or_awards, created_utc, 2 AS pull_no FROM $comments WHERE comment_id % 10 = 0""",
+    "gappy_comments": """
+SELECT comment_id, source, text, CASE WHEN comment_id % 13 = 0 THEN NULL ELSE likes_or_score END AS likes_or_score, reply_count,
+  creator_heart_or_awards, CASE WHEN comment_id % 17 = 0 THEN NULL ELSE created_utc END AS created_utc FROM $comments""",
+    "edited_comments": """
+SELECT CASE WHEN doc_id % 11 = 0 THEN NULL ELSE doc_id END AS comment_id, 'youtube' AS source, text, $TS AS created_utc FROM $documents
+UNION ALL SELECT CASE WHEN doc_id % 11 = 0 THEN NULL ELSE doc_id END AS comment_id, 'youtube' AS source,
+  concat(text, CASE WHEN doc_id % 20 = 0 THEN ' not great' ELSE ' useless but useful' END) AS text, $TS AS created_utc
+FROM $documents WHERE doc_id % 10 = 0 OR doc_id % 11 = 0""",
     "videos": """
 SELECT p_partkey AS video_id, CASE WHEN p_partkey % 4 = 0 THEN 'marketing' ELSE 'popular' END AS stream,
   split_part('US,GB,CA,AU,IE', ',', CAST(p_partkey % 5 + 1 AS INT)) AS region, p_type AS category, p_name AS title,

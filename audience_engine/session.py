@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,7 +35,7 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="audience-engine-")
     if context.getCheckpointDir() is None:
@@ -44,7 +45,9 @@ def scratch_root(spark: SparkSession) -> str:
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for one staged table under the shared root."""
-    return f"{scratch_root(spark).rstrip('/')}/staged-{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark).rstrip('/')}/staged-{name}-{uuid.uuid4().hex}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -59,6 +62,34 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ROWS_PER_PART = 50_000
+
+
+def laid_out(df: DataFrame, *keys: str, rows: int | None = None) -> DataFrame:
+    """The same rows in partitions and order that follow from the data alone, for work that draws by partition.
+
+    The number of partitions comes from the number of rows, not from the cluster.
+    """
+    count = df.count() if rows is None else rows
+    parts = max(8, -(-count // ROWS_PER_PART))
+    return df.repartition(parts, *keys).sortWithinPartitions(*keys)
+
+
+def drop_staged(spark: SparkSession, before: set[str]) -> None:
+    """Remove the tables that were staged since ``before`` (see ``staged_tables``), once nothing reads them any more."""
+    for path in staged_tables(spark) - before:
+        location = spark._jvm.org.apache.hadoop.fs.Path(path)
+        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
+def staged_tables(spark: SparkSession) -> set[str]:
+    """The tables that this session has staged."""
+    return set(_STAGED.get(spark.sparkContext.applicationId, ()))
+
+
+_STAGED: dict[str, list[str]] = {}
+
+
 def use_all_cores(df: DataFrame) -> DataFrame:
     """Spread a stored table that has fewer splits than there are cores, ahead of heavy or iterative work.
 

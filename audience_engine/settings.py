@@ -33,6 +33,7 @@ class Settings:
     topic_min_size: int = 5
     topic_label_words: int = 6
     topic_dims: int = 100
+    topic_starts: int = 3
     topic_vocabulary: int = 100_000
     max_document_share: float = 0.98
     explore_share: float = 0.1

@@ -17,14 +17,33 @@ def _count(value: Column | str) -> Column:
     return F.coalesce(value.try_cast("long"), F.lit(0).cast("long"))
 
 
+#: No page of a listing has this many items.
+PAGE_ITEMS = 10_000
+
+
+def _place(pages: DataFrame) -> Column:
+    """A unique place in the listing: the page's number (its column ``page``, if it has one), then the item's."""
+    page = F.coalesce(F.col("page").cast("long"), F.lit(0)) if "page" in pages.columns else F.lit(0)
+    return (page * PAGE_ITEMS + F.col("_item")).cast("long")
+
+
+def unreadable_pages(pages: DataFrame, payload: str = "payload") -> DataFrame:
+    """The pages whose payload is no JSON: the flatteners have no rows for them, so keep them for another look."""
+    return pages.filter(F.isnull(F.try_parse_json(payload)))
+
+
 def flatten_comment_threads(
     pages: DataFrame, collected: dt.datetime | None = None, payload: str = "payload", keep_english: bool = False
 ) -> DataFrame:
     """One raw comment row per item of the pages (video_id, payload); absent fields get empty text and zeros.
 
-    ``keep_english`` drops comments that are not English.
+    ``position`` is the comment's place in the video's listing; ``page`` is the page's number in it. ``keep_english``
+    drops comments that are not English. See ``unreadable_pages``.
     """
-    items = pages.select("video_id", F.explode(F.from_json(payload, COMMENT_PAGE)["items"]).alias("it"))
+    items = pages.select(
+        "video_id", *(["page"] if "page" in pages.columns else []), F.posexplode(F.from_json(payload, COMMENT_PAGE)["items"]).alias("_item", "it")
+    )
+    place = _place(items).alias("position")
     top = F.col("it.snippet.topLevelComment.snippet")
     if keep_english:
         items = items.filter(is_english(top["textDisplay"]))
@@ -41,11 +60,14 @@ def flatten_comment_threads(
         F.lit(0).cast("long").alias("creator_heart_or_awards"),
         event_time(top["publishedAt"]).alias("created_utc"),
         (instant(collected).cast("timestamp") if collected else F.lit(None).cast("timestamp")).alias("collected_utc"),
+        place,
     )
 
 
 def flatten_videos(pages: DataFrame, stream: str, payload: str = "payload") -> DataFrame:
-    """One video row per item of the pages, in page and item order (``position`` within the page).
+    """One video row per item of the pages; ``position`` is its place in the whole listing.
+
+    The pages' column ``page`` numbers them in the order in which they were fetched, over regions and categories too.
 
     Popular pages carry their region, category and statistics. Search results have none: they get fixed priors that
     rank them among the popular ones. Items without an id are dropped.
@@ -53,7 +75,8 @@ def flatten_videos(pages: DataFrame, stream: str, payload: str = "payload") -> D
     popular = stream == "popular"
     schema = POPULAR_VIDEO_PAGE if popular else SEARCH_VIDEO_PAGE
     kept = [c for c in pages.columns if c != payload]
-    items = pages.select(*kept, F.posexplode(F.from_json(payload, schema)["items"]).alias("position", "it"))
+    items = pages.select(*kept, F.posexplode(F.from_json(payload, schema)["items"]).alias("_item", "it"))
+    items = items.withColumn("position", _place(items)).drop("_item")
     shared = {
         "stream": F.lit(stream),
         "title": to_text("it.snippet.title"),
@@ -79,7 +102,10 @@ def flatten_videos(pages: DataFrame, stream: str, payload: str = "payload") -> D
 
 
 def map_post_comments(df: DataFrame) -> DataFrame:
-    """Landed post comments (id, post_id, permalink, body, score, replies, awards, author, epoch seconds) as raw rows."""
+    """Landed post comments (id, post_id, permalink, body, score, replies, awards, author, epoch seconds) as raw rows.
+
+    A landed ``position`` (the place in the post's listing) stays.
+    """
     return df.select(
         F.lit("reddit").alias("platform"),
         "post_id",
@@ -92,4 +118,5 @@ def map_post_comments(df: DataFrame) -> DataFrame:
         F.lit(0).cast("long").alias("author_cred_proxy"),
         "author",
         F.concat(F.lit("https://reddit.com"), to_text("permalink")).alias("source_url"),
+        *(["position"] if "position" in df.columns else []),
     )

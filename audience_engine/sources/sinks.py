@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from audience_engine.settings import Settings
-from audience_engine.sources.readers import path_exists
+from audience_engine.sources.readers import path_exists, read_texts_csv
 
 log = logging.getLogger(__name__)
 
@@ -60,7 +60,7 @@ def append_table(df: DataFrame, name: str, schema: T.StructType | None = None) -
     df.write.mode("append").saveAsTable(name)
 
 
-def bulk_load(spark: SparkSession, tables: dict[str, str], skip_missing: bool = False) -> dict[str, bool]:
+def bulk_load(spark: SparkSession, tables: dict[str, str], skip_missing: bool = False, multi_line: bool = True) -> dict[str, bool]:
     """Replace several tables by CSV files; says which were loaded. A missing or empty file is skipped or an error."""
     loaded = {}
     for name, path in tables.items():
@@ -68,7 +68,7 @@ def bulk_load(spark: SparkSession, tables: dict[str, str], skip_missing: bool =
         if not found and not skip_missing:
             raise FileNotFoundError(path)
         if found:
-            df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+            df = read_texts_csv(spark, path, multi_line=multi_line)
             found = len(df.columns) > 0
             if found:
                 replace_table(df, name)

@@ -35,8 +35,12 @@ def stream_dedupe(
     ts: str = "created_utc",
     keys: Sequence[str] = ("comment_id", "source", "comment"),
 ) -> DataFrame:
-    """The first arrival of each key within the watermark; the state holds one row per key and expires with it."""
-    return _timed(df, ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    """The first arrival of each key within the watermark.
+
+    The state holds a 256-bit digest per key, whatever the length of its texts, and expires with the watermark.
+    """
+    digest = F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256)
+    return _timed(df, ts, delay).withColumn("_key", digest).dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 
 
 def stream_kpis(

@@ -121,7 +121,8 @@ def test_threshold_equals_sorted_place(spark):
     df = spark.createDataFrame([(g, s) for g, v in groups.items() for s in v] + [(None, 1), ("one", None)], "g string, score long")
     for p in (0.75, 0.5, 0.1):
         got = {r["g"]: r["threshold"] for r in selection.score_threshold(df, "g", p).collect()}
-        assert got == {g: place(v, p) for g, v in groups.items()}
+        # a missing score counts as 0
+        assert got == {g: place([*v, 0] if g == "one" else v, p) for g, v in groups.items()}
 
 
 def test_pick_posts_order(spark):
@@ -143,13 +144,28 @@ def test_cap_by_column_and_salted_cap(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_broadcast(spark, how):
-    facts = spark.range(500).select("id", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"))
+def test_lookup_join_with_a_hot_key(spark, how):
+    facts = spark.range(50_000).select("id", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50).alias("k"))
     lookup = spark.createDataFrame([(1, "a"), (4, "b"), (7, "c"), (7, "d")], "k long, v string")
-    want = sorted(facts.join(lookup, "k", how).collect(), key=repr)
-    for limit in (0, 10**6):
-        got = joining.lookup_join(facts, lookup, "k", how, spread_by=["id"], max_bytes=limit)
-        assert sorted(got.select(facts.join(lookup, "k", how).columns).collect(), key=repr) == want
+
+    def rows():
+        return sorted(map(tuple, joining.lookup_join(facts, lookup, "k", how).collect()), key=repr)
+
+    want = rows()
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+    }
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        joined = joining.lookup_join(facts, lookup, "k", how)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Generate" not in plan and "InMemory" not in plan
+        assert rows() == want
+    finally:
+        for key in small:
+            spark.conf.unset(key)
 
 
 def test_dense_index(spark):
@@ -196,6 +212,20 @@ def test_copies_and_two_texts_of_one_id(spark):
     assert scored["positive"] == pytest.approx(3 / 24**0.5, abs=1e-4)
 
 
+def test_labels_of_changed_texts_and_null_ids(spark):
+    rows = [("s", "1", "great"), ("s", "1", "great"), ("s", "1", "bad"), ("s", None, "bad"), (None, None, "great"), ("s", "2", None)]
+    df = spark.createDataFrame(rows, "source string, comment_id string, comment string")
+    lexicon = spark.createDataFrame([*LEXICON, ("great", 1.0), (None, 2.0), ("x", None)], "word string, valence double")
+    want = sorted(["positive", "positive", "negative", "negative", "positive", "neutral"])
+    stored = sentiment.lexicon_sentiment(df, lexicon)
+    assert sorted(r["sentiment_label"] for r in sentiment.join_labels(df, stored).collect()) == want
+    assert sentiment.join_labels(df, stored.drop("text_hash")).count() == len(rows)
+    in_row = sentiment.with_sentiment(df, lexicon)
+    by_words = sentiment.with_sentiment(df, lexicon, most=2)
+    assert sorted(map(repr, in_row.collect())) == sorted(map(repr, by_words.collect()))
+    assert "Exchange" not in in_row._jdf.queryExecution().executedPlan().toString()
+
+
 def test_comment_metrics_without_label(spark):
     df = spark.createDataFrame([("ab",), (None,)], "comment string")
     assert kpis.comment_metrics(df).first().asDict() == {"total": 2, "avg_len": 1.0, "pos": 0, "neg": 0, "neu": 2}
@@ -259,8 +289,8 @@ def test_record_metrics(spark):
     )
     out = {r["variant_id"]: r for r in experiments.record_metrics(log_rows(spark), updates).collect()}
     assert len(out) == 3
-    assert (out["a"]["replies"], out["a"]["likes"], out["a"]["ctr"]) == (8, 0, 0.1)
-    assert (out["b"]["replies"], out["b"]["ctr"], out["c"]["replies"]) == (8, None, 3)
+    assert (out["a"]["replies"], out["a"]["likes"], out["a"]["ctr"]) == (8, 0, 0.9)
+    assert (out["b"]["replies"], out["b"]["ctr"], out["c"]["replies"]) == (8, 0.9, 3)
 
 
 def test_winner(spark):
@@ -292,6 +322,10 @@ def test_bandit(spark):
     again = experiments.assign_variants(events, offered, scores, eps=0.1)
     assert sorted(mixed.collect()) == sorted(again.collect())
     assert share(experiments.assign_variants(events, offered, scores, eps=1.0), "v2") < 0.35
+    odd = spark.createDataFrame([("v0", float("nan")), ("v1", None), ("v3", 0.2)], "variant_id string, score double")
+    assert share(experiments.assign_variants(events, offered, odd, eps=0.0), "v3") == 1.0
+    with pytest.raises(Exception, match="no variants"):
+        experiments.assign_variants(events, offered.limit(0), scores).collect()
 
 
 def test_candidates_rank_and_log(spark):
