@@ -98,13 +98,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("op3_token_counts")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    built = token_counts.build(token_counts.with_scrubbing(docs)).withColumn("n_tokens_before", F.col("n_tokens"))
-    edited = token_counts.apply_edits(built)
+    edited = token_counts.counts_after(table(spark, sf_dir, "documents"))
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("edited_sha256")
-    return edited.select(
-        "doc_id", F.col("n_tokens_before").alias("n_tokens"), "n_pretokens", "n_edits", "n_encoded", F.col("n_tokens").alias("n_tokens_edited"), digest
-    )
+    return edited.select("doc_id", "n_tokens", "n_pretokens", "n_edits", "n_encoded", "n_tokens_edited", digest)
 
 
 @registered("op5_simhash")

@@ -195,6 +195,15 @@ class SegmentTree:
         return cls(*(np.frombuffer(tree[k], np.int32) for k in ("chars", "tokens", "blocks")))
 
 
+def _edited(text: str, tree: SegmentTree, edits: list[dict], count: Callable[[str], int]) -> tuple[str, int]:
+    """The text after all edits, which the tree follows, and how many pre-tokens were encoded anew."""
+    encoded = 0
+    for e in edits:
+        text, fresh = tree.edit(text, e["start"] or 0, e["stop"] or 0, e["new"] or "", count)
+        encoded += fresh
+    return text, encoded
+
+
 def _carried(docs: DataFrame, names: tuple[str, ...]) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in names])
 
@@ -238,10 +247,8 @@ def apply_edits(trees: DataFrame, edits: str = "edits", ranks: str = RANKS) -> D
                 own = [e for e in own or () if e is not None]
                 if not own:
                     continue
-                text, tree = (texts[i] or b"").decode("utf-8", "replace"), SegmentTree.unpacked(trees[i].as_py())
-                for e in own:
-                    text, fresh = tree.edit(text, e["start"] or 0, e["stop"] or 0, e["new"] or "", count)
-                    encoded[i] += fresh
+                tree = SegmentTree.unpacked(trees[i].as_py())
+                text, encoded[i] = _edited((texts[i] or b"").decode("utf-8", "replace"), tree, own, count)
                 texts[i], done[i], tokens[i], touched[i] = text.encode(), len(own), tree.n_tokens, tree.packed()
                 pretokens[i] = sum(map(len, tree.chars))
             if touched:
@@ -266,6 +273,40 @@ def scrubbing(text: str) -> list[dict]:
     return [{"start": m.start(), "stop": m.end(), "new": f"<{m.lastgroup}>"} for m in PERSONAL.finditer(text)][::-1]
 
 
+def counts_after(docs: DataFrame, find: Callable[[str], list[dict]] = scrubbing, ranks: str = RANKS) -> DataFrame:
+    """``doc_id``, ``n_tokens`` and ``n_pretokens`` of each text, then ``n_edits``, ``n_encoded``, ``n_tokens_edited`` and
+    the ``text`` after the edits that ``find`` makes for it.
+
+    The same as ``build`` and ``apply_edits`` in one pass, for when the trees are not kept: one document's tree at a time.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(rank_bytes(ranks))
+    plain = docs.select("doc_id", "text")
+    numbers = ("n_tokens", "n_pretokens", "n_edits", "n_encoded", "n_tokens_edited")
+    kind = plain.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        count = counter(shared.value).__getitem__
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                rows, texts = [], []
+                for data in utf8(batch.column("text")):
+                    text = (data or b"").decode("utf-8", "replace")
+                    chars, tokens = leaves(text, count)
+                    before, edits, encoded, after = int(tokens.sum()), find(text), 0, data
+                    total = before
+                    if edits:
+                        tree = SegmentTree(chars, tokens)
+                        text, encoded = _edited(text, tree, edits, count)
+                        total, after = tree.n_tokens, text.encode()
+                    rows.append((before, len(chars), len(edits), encoded, total))
+                    texts.append(after)
+                columns = [pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * len(numbers))]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, pa.array(texts, pa.binary()).cast(pa.string())], names=["doc_id", *numbers, "text"])
+
+    return plain.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{n} long" for n in numbers) + ", text string")
+
+
 def with_scrubbing(docs: DataFrame, edits: str = "edits") -> DataFrame:
     """``docs`` plus the edits that scrub its texts."""
     plain = _carried(docs, (edits,))

@@ -58,3 +58,6 @@ def test_build_and_apply(spark, count):
     assert by[2, None].n_tokens == 0 and by[3, ""].n_tokens == 0
     assert all(r.n_tokens == len(encoding.encode_ordinary(r.text or "")) for r in out)
     assert tc.apply_edits(tc.with_scrubbing(tc.build(docs.limit(0)))).count() == 0
+    at_once = sorted(((r.doc_id, r.text, r.n_tokens_edited, r.n_edits, r.n_encoded) for r in tc.counts_after(docs).collect()), key=repr)
+    assert at_once == sorted(((r.doc_id, r.text, r.n_tokens, r.n_edits, r.n_encoded) for r in out), key=repr)
+    assert tc.counts_after(docs.limit(0)).count() == 0
