@@ -10,18 +10,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def dealt(rows: DataFrame, keys: list[str], chunks: Column, spread: Column) -> DataFrame:
+def parts_for(rows: int) -> int:
+    """Partitions for rows that cost far more to compare than to read: 20,000 each, more once there are thousands of parts."""
+    return 8 + min(rows // 20_000, 5_000 + rows // 5_000_000)
+
+
+def dealt(rows: DataFrame, keys: list[str], chunks: Column, spread: Column, parts: int) -> DataFrame:
     """``rows`` sorted by task, where a task compares chunk ``_i`` with chunk ``_j`` of one group; ``_own`` is a row's chunk.
 
     A group with ``chunks`` > 1 is cut evenly by the hash ``spread`` into that many chunks, and each row goes to the tasks
     of its chunk with each other one, so that a hot group becomes many tasks of bounded size in which every pair of its
     rows still meets exactly once.
     """
-    parts = rows.withColumn("_n", chunks.cast("int")).withColumn("_own", F.pmod(spread, F.col("_n")).cast("int"))
-    each = parts.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    cut = rows.withColumn("_n", chunks.cast("int")).withColumn("_own", F.pmod(spread, F.col("_n")).cast("int"))
+    each = cut.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     tasks = each.withColumn("_i", F.least("_own", "_other")).withColumn("_j", F.greatest("_own", "_other")).drop("_other", "_n")
     order = [*keys, "_i", "_j"]
-    return tasks.repartition(*order).sortWithinPartitions(*order, "_own")
+    return tasks.repartition(parts, *order).sortWithinPartitions(*order, "_own")
 
 
 def whole_groups(batches, keys: list[str], rows: int = 1 << 18) -> Iterator[pa.Table]:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from audience_engine.llm.common import components, id_key, utf8
-from audience_engine.llm.groups import Labels, dealt, group_starts, whole_groups
+from audience_engine.llm.groups import Labels, dealt, group_starts, parts_for, whole_groups
 from audience_engine.session import cut_lineage
 
 SHINGLE = 4
@@ -172,11 +172,11 @@ def forest(prints: DataFrame, budget: int = BUDGET, chunk: int = CHUNK) -> DataF
     rows = prints.select("fp", F.explode(groups).alias("g")).select("fp", "g.block", "g.value")
     sizes = rows.groupBy("block", "value").agg(F.count("*").alias("n"))
     total = cut_lineage(sizes)
-    mean = total.agg(F.coalesce(F.avg("n"), F.lit(0.0))).first()[0]
+    mean, number = total.agg(F.coalesce(F.avg("n"), F.lit(0.0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     chunk = max(chunk, int(4 * mean))
     hot = cut_lineage(total.filter(F.col("n") > chunk).withColumn("_chunks", F.ceil(F.col("n") / chunk)).drop("n"))
     rows = rows.join(hot, ["block", "value"], "left")
-    tasks = dealt(rows, ["block", "value"], F.coalesce("_chunks", F.lit(1)), F.xxhash64("fp")).drop("_chunks")
+    tasks = dealt(rows, ["block", "value"], F.coalesce("_chunks", F.lit(1)), F.xxhash64("fp"), parts_for(number)).drop("_chunks")
     firsts = np.array([c[0] for c in cuts])
     bits = np.array([c[1] for c in cuts])
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from audience_engine.llm.common import components
-from audience_engine.llm.groups import Labels, dealt, group_starts, whole_groups
+from audience_engine.llm.groups import Labels, dealt, group_starts, parts_for, whole_groups
 from audience_engine.session import cut_lineage
 
 THRESHOLD = 0.9
@@ -119,7 +119,8 @@ def bucket_links(unit: np.ndarray, keys: np.ndarray, table: int, weight: np.ndar
 
 def links(classes: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, chunk: int = CHUNK) -> DataFrame:
     """``node``, ``other``, ``n``: per task, the links of a class to members of other classes and its tree's root."""
-    k, tables = sizes(classes.count(), threshold, recall)
+    number = classes.count()
+    k, tables = sizes(number, threshold, recall)
 
     def keyed(batches, with_vector: bool):
         for batch in batches:
@@ -136,7 +137,7 @@ def links(classes: DataFrame, threshold: float = THRESHOLD, recall: float = RECA
     hot = cut_lineage(sized.filter(F.col("n") > chunk).withColumn("_chunks", F.ceil(F.col("n") / chunk)).drop("n"))
     rows = classes.select("node", "members", "unit").mapInArrow(lambda b: keyed(b, True), "t int, key long, node long, members long, unit binary")
     rows = rows.join(hot, ["t", "key"], "left")
-    tasks = dealt(rows, ["t", "key"], F.coalesce("_chunks", F.lit(1)), F.xxhash64("node")).drop("_chunks")
+    tasks = dealt(rows, ["t", "key"], F.coalesce("_chunks", F.lit(1)), F.xxhash64("node"), parts_for(number * tables)).drop("_chunks")
 
     def run(batches):
         for table in whole_groups(batches, ["t", "key", "_i", "_j"], 1 << 15):
