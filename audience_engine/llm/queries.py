@@ -111,15 +111,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("op6_pieces")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", digest.alias("digest"))
+    coded = pieces.encode(docs, carry=("doc_id", "digest"))
     second = F.element_at(F.col("pieces.alternatives"), 1)["score"]
     plain = coded.select(
-        "doc_id", "text", F.size("pieces.ids").cast("long").alias("n_pieces"), F.col("pieces.score").alias("score"),
+        "doc_id", "digest", F.size("pieces.ids").cast("long").alias("n_pieces"), F.col("pieces.score").alias("score"),
         F.when(F.size("pieces.alternatives") > 0, second).alias("second_score"), F.xxhash64("pieces.ids").alias("ids_hash"), F.col("pieces.ids").alias("ids"),
     )
-    carried = ("doc_id", "text", "n_pieces", "score", "second_score", "ids_hash")
+    carried = ("doc_id", "digest", "n_pieces", "score", "second_score", "ids_hash")
     back = pieces.decode(plain, "ids", carry=carried)
-    return back.select(*[c for c in carried if c != "text"], F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    same = F.sha2(F.col("decoded").cast("binary"), 256).eqNullSafe(F.col("digest"))
+    return back.select(*[c for c in carried if c != "digest"], same.alias("round_trip"))
 
 
 @registered("op7_embeddings")
