@@ -1,6 +1,7 @@
 """Embedding near-dedup: p-stable hashing into buckets of several tables, then exact cosines.
 
-Vectors are scaled to length 1 in double precision; equal vectors become one class that counts its members. On unit
+Equal vectors become one class that counts its members; vectors travel as they are stored and are scaled to length 1 in
+double precision where they are compared. On unit
 vectors a cosine of ``threshold`` is a distance of ``sqrt(2 - 2 * threshold)``, and a table's key is ``k`` values
 ``floor((a . v + b) / WIDTH)`` with Gaussian ``a`` and uniform ``b`` from a fixed seed. ``k`` grows with the logarithm of
 the number of classes, so buckets stay small, and the number of tables follows from the wish to meet a pair at the very
@@ -67,32 +68,40 @@ def bucket_keys(unit: np.ndarray, k: int, tables: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def unit_vector(values) -> np.ndarray | None:
+def usable(values, kind: str = "f8") -> np.ndarray | None:
+    """A vector that can be compared, as it is stored: ``kind`` is ``f4`` where the table holds single precision."""
     if not values or any(v is None for v in values):
         return None
-    v = np.asarray(values, np.float64)
-    with np.errstate(over="ignore", invalid="ignore"):
-        if not np.isfinite(v).all() or not v.any():
-            return None
-        v = v / np.abs(v).max()
-        return v / np.sqrt(v @ v)
+    v = np.asarray(values, kind)
+    return v if np.isfinite(v).all() and v.any() else None
 
 
-def units(data: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Length to (places, vectors)."""
-    lengths = np.fromiter(map(len, data), np.int64, len(data)) // 8
-    return {int(d): (at := np.flatnonzero(lengths == d), np.frombuffer(b"".join([data[i] for i in at]), np.float64).reshape(-1, d)) for d in np.unique(lengths)}
+def scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows of length 1 in double precision."""
+    rows = rows.astype(np.float64)
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
+    return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def _units(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
+def units(data: list[bytes], kind: str) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Length to (places, vectors of length 1)."""
+    lengths = np.fromiter(map(len, data), np.int64, len(data)) // np.dtype(kind).itemsize
+    out = {}
+    for d in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == d)
+        out[d] = (at, scaled(np.frombuffer(b"".join([data[i] for i in at]), kind).reshape(-1, d)))
+    return out
+
+
+def _stored(vectors: DataFrame, vec_id: str, embedding: str, kind: str) -> DataFrame:
     def run(batches):
         for batch in batches:
-            found = [unit_vector(v) for v in batch.column("v").to_pylist()]
+            found = [usable(v, kind) for v in batch.column("v").to_pylist()]
             data = [None if v is None else v.tobytes() for v in found]
             keys = [None if d is None else xxhash.xxh3_64_intdigest(d) - (1 << 63) for d in data]
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(keys, pa.int64()), pa.array(data, pa.binary())], names=["vec_id", "node", "unit"])
 
-    plain = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).cast("array<double>").alias("v"))
+    plain = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).cast("array<float>" if kind == "f4" else "array<double>").alias("v"))
     return plain.mapInArrow(run, f"vec_id {plain.schema['vec_id'].dataType.simpleString()}, node long, unit binary")
 
 
@@ -117,7 +126,7 @@ def bucket_links(unit: np.ndarray, keys: np.ndarray, table: int, weight: np.ndar
             labels.link(base + x, base + y)
 
 
-def links(classes: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, chunk: int = CHUNK) -> DataFrame:
+def links(classes: DataFrame, kind: str, threshold: float = THRESHOLD, recall: float = RECALL, chunk: int = CHUNK) -> DataFrame:
     """``node``, ``other``, ``n``: per task, the links of a class to members of other classes and its tree's root."""
     number = classes.count()
     k, tables = sizes(number, threshold, recall)
@@ -125,7 +134,7 @@ def links(classes: DataFrame, threshold: float = THRESHOLD, recall: float = RECA
     def keyed(batches, with_vector: bool):
         for batch in batches:
             nodes, data = np.asarray(batch.column("node")), batch.column("unit").to_pylist()
-            for places, unit in units(data).values():
+            for places, unit in units(data, kind).values():
                 keys = bucket_keys(unit, k, tables)
                 for t in range(tables):
                     columns = [pa.array(np.full(len(places), t), pa.int32()), pa.array(keys[:, t].copy())]
@@ -149,7 +158,7 @@ def links(classes: DataFrame, threshold: float = THRESHOLD, recall: float = RECA
                 if high - low < 2:
                     continue
                 split = None if i[low] == j[low] else int((own[low:high] == i[low]).sum())
-                ((_, unit),) = units(data[low:high]).values()
+                ((_, unit),) = units(data[low:high], kind).values()
                 bucket_links(unit, bucket_keys(unit, k, tables), int(t[low]), members[low:high], split, threshold, labels, low, count)
             hit = np.flatnonzero(count)
             yield pa.RecordBatch.from_arrays([pa.array(node[hit]), pa.array(node[labels.label[hit]]), pa.array(count[hit])], names=["node", "other", "n"])
@@ -159,10 +168,12 @@ def links(classes: DataFrame, threshold: float = THRESHOLD, recall: float = RECA
 
 def near_groups(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = THRESHOLD, recall: float = RECALL, chunk: int = CHUNK) -> DataFrame:
     """``vec_id``, ``n_links``, ``component`` of each row."""
-    rows = cut_lineage(_units(vectors, vec_id, embedding))
+    single = vectors.schema[embedding].dataType.simpleString() == "array<float>"
+    kind = "f4" if single else "f8"
+    rows = cut_lineage(_stored(vectors, vec_id, embedding, kind))
     known = rows.filter(F.col("node").isNotNull())
     classes = cut_lineage(known.groupBy("node", "unit").agg(F.count("*").alias("members"), F.min("vec_id").alias("least")))
-    found = cut_lineage(links(classes, threshold, recall, chunk))
+    found = cut_lineage(links(classes, kind, threshold, recall, chunk))
     roots = cut_lineage(components(found.select(F.col("node").alias("a"), F.col("other").alias("b"))))
     direct = found.groupBy("node").agg(F.sum("n").alias("n"))
     joined = classes.drop("unit").join(direct, "node", "left").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -83,7 +83,8 @@ def test_vectors_agree_with_all_pairs(spark, chunk):
     rows = [(i, v, 1) for i, v in enumerate(data)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, node int")
     out = {r.vec_id: r for r in vectors.near_groups(table, chunk=chunk).collect()}
-    units = [vectors.unit_vector(v) for v in data]
+    usable = [vectors.usable(v) for v in data]
+    units = [None if v is None else vectors.scaled(v[None])[0] for v in usable]
     linked = [
         (i, j)
         for i in range(len(data))
