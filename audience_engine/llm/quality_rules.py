@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from audience_engine.llm.common import utf8, window_hashes, word_hashes
 from audience_engine.session import cut_lineage
@@ -32,8 +33,8 @@ SHARE = 0.1
 DEPLETED = 0.5
 SYMBOLS = b"#*$%&|<>"
 
-_FIGURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-_LINES = "lines array<struct<h: bigint, n_lines: bigint, n_words: bigint>>"
+_FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+_LINES = T.ArrayType(T.StructType().add("h", "long").add("n_lines", "long").add("n_words", "long"))
 
 
 def line_hash(words: list[bytes]) -> int:
@@ -76,8 +77,10 @@ def figures(text: bytes | None) -> tuple:
 def _measured(docs: DataFrame, carry: dict[str, str]) -> DataFrame:
     """The figures of each row with a 128-bit digest of its text."""
     kept = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry)], F.col("text").alias("_text"), F.col("source").alias("_host"))
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema if f.name.startswith("_c"))
-    schema = ", ".join(x for x in (fields, "_host string", "_copy binary", _FIGURES, _LINES) if x)
+    schema = T.StructType([f for f in kept.schema if f.name.startswith("_c")]).add("_host", "string").add("_copy", "binary")
+    for name in _FIGURES:
+        schema = schema.add(name, "long")
+    schema = schema.add("lines", _LINES)
     names = [f"_c{i}" for i in range(len(carry))]
     arrow = pa.struct([("h", pa.int64()), ("n_lines", pa.int64()), ("n_words", pa.int64())])
 
@@ -89,7 +92,7 @@ def _measured(docs: DataFrame, carry: dict[str, str]) -> DataFrame:
             columns.append(pa.array([b"" if t is None else xxhash.xxh3_128_digest(t) for t in texts], pa.binary()))
             columns += [pa.array([r[i] for r in rows], pa.int64()) for i in range(5)]
             columns.append(pa.array([r[5] for r in rows], pa.list_(arrow)))
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "_host", "_copy", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines"])
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     out = kept.mapInArrow(run, schema)
     return out.withColumn("_host", F.coalesce(F.concat(F.lit("="), "_host"), F.lit("")))
@@ -122,8 +125,7 @@ def _judged(docs: DataFrame, carry: dict[str, str], min_docs: int, share: float,
 def judge(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, depleted: float = DEPLETED) -> DataFrame:
     """The figures and the verdict of each row of ``docs`` (``doc_id``, ``text``, ``source``)."""
     out, _ = _judged(docs, {"doc_id": ""}, min_docs, share, depleted)
-    names = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed n_removed_lines n_removed_words kept".split()
-    return out.select(F.col("_c0").alias("doc_id"), *names)
+    return out.select(F.col("_c0").alias("doc_id"), *_FIGURES, "base_failed", "n_removed_lines", "n_removed_words", "kept")
 
 
 def without_lines(text: bytes, drop: set[int]) -> bytes:
@@ -145,5 +147,4 @@ def apply_rules(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE,
             new = pa.array(done, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([new if c == place else batch.column(c) for c in carried], names=carried)
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema if f.name != "_drop")
-    return out.mapInArrow(run, schema).toDF(*names)
+    return out.mapInArrow(run, T.StructType([f for f in out.schema if f.name != "_drop"])).toDF(*names)
