@@ -252,6 +252,19 @@ def test_variants(spark):
     assert out[0]["source"] == ""
 
 
+def test_drafts_of_two_sources_and_failures(spark):
+    summary = spark.createDataFrame([("0", "n", ["d"], "a"), ("0", "n", ["d"], "b")], "Topic string, Name string, Representative_Docs array<string>, source string")
+    drafts = variants.generate_drafts(summary, AS_OF).collect()
+    assert {r["topic_group"] for r in drafts} == {"a", "b"} and len({r["variant_id"] for r in drafts}) == 2
+
+    def write(prompt):
+        raise RuntimeError("no service")
+
+    failed = variants.failed_drafts(summary, write).collect()
+    assert [(r["topic"], r["error"]) for r in failed] == [("0", "RuntimeError: no service")] * 2
+    assert {r["error"] for r in variants.failed_drafts(summary, lambda prompt: "").collect()} == {"no answer"}
+
+
 def test_generated_drafts_skip_failures(spark):
     summary = spark.createDataFrame([(1, "good", ["d"]), (2, "bad", []), (3, "none", [])], "Topic int, Name string, Representative_Docs array<string>")
 
@@ -271,6 +284,13 @@ def test_ranking_prompt(spark):
     log = spark.createDataFrame([("p", "v", dt.datetime(2024, 1, 1), 1, None, 0.5)], "post_id string, variant_id string, ts timestamp_ntz, replies long, likes long, ctr double")
     prompt = variants.ranking_prompt(cands, log).first()[0]
     assert "History:\nv replies=1 likes= ctr=0.5\n\nCandidates:\na: t u\n\nReturn JSON only." in prompt
+    many = spark.range(30).select(F.format_string("v%02d", "id").alias("variant_id"), F.lit("x").alias("variant_text"))
+    past = spark.range(30).select(
+        F.format_string("p%02d", "id").alias("post_id"), F.format_string("h%02d", "id").alias("variant_id"),
+        F.timestamp_seconds("id").cast("timestamp_ntz").alias("ts"), F.lit(1).alias("replies"), F.lit(1).alias("likes"), F.lit(0.1).alias("ctr"),
+    )
+    short = variants.ranking_prompt(many, past).first()[0]
+    assert short.count(": x") == 10 and short.count("replies=") == 8 and "h29" in short and "v09" in short and "v10" not in short
 
 
 LOG = "post_id string, topic string, variant_id string, variant_text string, ts timestamp_ntz, replies long, likes long, ctr double"

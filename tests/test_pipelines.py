@@ -1,8 +1,10 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
+from audience_engine.operators import quality
 from audience_engine.plans import pipelines
 from audience_engine.plans.views import view
 from audience_engine.settings import Settings
@@ -21,6 +23,10 @@ def test_clean_and_report(spark, comments):
     pipelines.clean_and_report(raw, ("youtube", "reddit"), CFG, "run_", "test")
     pipelines.clean_and_report(raw, ("youtube", "reddit"), CFG, "run_", "test")
     assert spark.table("run_kpis").count() == 4 and spark.table("run_dq_log").count() == 16
+    reasons = {(r["platform"], r["reason"]): r["count"] for r in spark.table("run_dq_log").distinct().collect()}
+    assert reasons == {(r["platform"], r["reason"]): r["count"] for r in quality.dq_log(raw, CFG, ("youtube", "reddit")).collect()}
+    where = spark.conf.get("spark.sql.warehouse.dir") + "/run_manifest"
+    assert {r["value"] for r in spark.read.text(where).collect()} == {json.dumps({**CFG.manifest(), "notes": "test"}, ensure_ascii=False)}
     total = spark.table("run_kpis").agg(F.sum("TotalComments")).first()[0]
     assert total == 2 * spark.table("run_clean").count() > 0
 
@@ -57,3 +63,22 @@ def test_topics_to_drafts_and_enrolment(spark, comments):
     assert all(r["message"].startswith("*") for r in messages.collect())
     enrolled, predicted = pipelines.enrol_and_rank(drafted, cfg, 3)
     assert enrolled.count() == min(3, drafted.count()) and predicted.count() == 1
+
+
+def test_outcomes_add_up(spark):
+    rows = view(spark, SF, "gappy_comments").withColumn("platform", F.col("source"))
+    kept, observed = quality.observe_dq(rows, CFG, ("youtube", "reddit"), "gaps")
+    n = kept.count()
+    logged = sum(observed.get.values()) - observed.get["rows"]
+    outcomes = {r["r"]: r["count"] for r in rows.groupBy(quality.first_fail(CFG).alias("r")).count().collect()}
+    assert n == quality.clean(rows, CFG).count() == outcomes[None]
+    assert logged + n + sum(outcomes.get(r, 0) for r in quality.UNLOGGED) == rows.count()
+    assert outcomes.get("ed_unknown", 0) > 0
+
+
+def test_two_texts_and_null_ids_count_once(spark, comments):
+    edited = view(spark, SF, "edited_comments").withColumnsRenamed({"text": "comment"})
+    cfg = Settings(as_of=dt.datetime(2024, 3, 10))
+    row = pipelines.weekly_report(edited, view(spark, SF, "lexicon"), view(spark, SF, "topic_summary"), cfg).first()
+    week = edited.filter("created_utc >= timestamp_ntz'2024-03-03' and created_utc < timestamp_ntz'2024-03-10'")
+    assert row["total"] == week.count() > week.select("comment_id").distinct().count()

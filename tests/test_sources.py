@@ -134,3 +134,45 @@ def test_cell_safe(spark):
     df = spark.createDataFrame([(None, float("nan"), ["a"], {"k": 1}, (1,), "t")], "i int, d double, a array<string>, m map<string,int>, s struct<x:int>, t string")
     assert tuple(sinks.cell_safe(df).first()) == ("", "", '["a"]', '{"k":1}', '{"x":1}', "t")
     assert tuple(sinks.cell_safe(df.select(F.lit(1.5).alias("d"))).first()) == ("1.5",)
+
+
+def test_columns_are_taken_by_name(spark, tmp_path):
+    path = write(tmp_path / "shuffled.csv", "Text,comment_id,likes_or_score,unknown,platform\nhello,c9,many,x,youtube\n")
+    got = readers.read_comments_csv(spark, path, "youtube").first()
+    assert (got["text"], got["comment_id"], got["likes_or_score"], got["platform"], got["video_id"]) == ("hello", "c9", None, "youtube", None)
+    with pytest.raises(ValueError, match="none of"):
+        readers.read_comments_csv(spark, write(tmp_path / "other.csv", "a,b\n1,2\n"), "youtube")
+    log = write(tmp_path / "log.csv", "ctr,likes,post_id\n0.5,3,p1\nnan,,p2\n")
+    rows = {r["post_id"]: r for r in readers.read_ab_log(spark, log).collect()}
+    assert (rows["p1"]["ctr"], rows["p1"]["likes"], rows["p2"]["ctr"], rows["p2"]["topic"]) == (0.5, 3, None, None)
+
+
+def test_empty_path_and_unknown_source(spark, tmp_path):
+    from audience_engine.plans import pipelines
+
+    assert not readers.path_exists(spark, "") and not readers.path_exists(spark, str(tmp_path / "missing"))
+    sinks.replace_table(spark.createDataFrame([("c", "some text", dt.datetime(2024, 3, 30))], "comment_id string, text string, created_utc timestamp_ntz"), "t_stored")
+    merged = pipelines.merge_sources(spark, {"youtube": ""}, {"youtube": "t_stored"}, Settings())
+    assert [r["comment"] for r in merged.collect()] == ["some text"]
+    with pytest.raises(ValueError, match="tiktok"):
+        pipelines.merge_sources(spark, {}, {"tiktok": "t_stored"}, Settings())
+
+
+def test_training_schema(spark, tmp_path):
+    path = write(tmp_path / "train.csv", "a,target\n1,2.5\n")
+    assert readers.read_training(spark, path, schema="a int, target double").first().asDict() == {"a": 1, "target": 2.5}
+    with pytest.raises(ValueError):
+        readers.read_training(spark, path, label="other")
+
+
+def test_listing_places_and_unreadable_pages(spark):
+    def page(*ids):
+        return json.dumps({"items": [{"id": i, "snippet": {"topLevelComment": {"snippet": {"textDisplay": i}}}} for i in ids]})
+
+    pages = spark.createDataFrame([("v", 1, page("z", "a")), ("v", 0, page("m", "b")), ("v", 2, "{broken"), ("v", 3, "{}")], "video_id string, page int, payload string")
+    rows = payloads.flatten_comment_threads(pages).orderBy("position").collect()
+    assert [r["comment_id"] for r in rows] == ["m", "b", "z", "a"]
+    assert [r["page"] for r in payloads.unreadable_pages(pages).collect()] == [2]
+    found = spark.createDataFrame([(1, json.dumps({"items": [{"id": {"videoId": "x"}}, {"id": {"videoId": "y"}}]}))], "page int, payload string")
+    places = [r["position"] for r in payloads.flatten_videos(found, "marketing").orderBy("position").collect()]
+    assert places == [payloads.PAGE_ITEMS, payloads.PAGE_ITEMS + 1]

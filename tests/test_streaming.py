@@ -80,3 +80,17 @@ def test_approvals_stream(spark, tmp_path):
     jobs.run_available(jobs.stream_approvals(spark, inbox), out, state)
     batch = df.select(parse_approval("value").alias("a")).select("a.*")
     assert sorted(spark.read.parquet(out).collect()) == sorted(batch.collect())
+
+
+def test_dedupe_state_expires(spark, tmp_path):
+    inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    landings = [[comment(1, 0), comment(1, 0)], [comment(2, 10), comment(2, 10, text=None)], [comment(1, 20)], [comment(1, 40), comment(2, 40)]]
+    for n, rows in enumerate(landings):
+        land(spark, inbox, rows, f"2024-01-0{n + 1}")
+        stream = jobs.stream_dedupe(jobs.stream_snapshots(spark, inbox, RAW_POST_COMMENT), "2 days", keys=("comment_id", "text"))
+        assert "_key" not in stream.columns
+        jobs.run_available(stream, out, state)
+    got = sorted((r["comment_id"], r["text"] or "", r["created_utc"].day) for r in spark.read.parquet(out).collect())
+    first, later = [("1", "t", 1), ("2", "", 11), ("2", "t", 11)], [("1", "t", 10), ("2", "t", 10)]
+    assert [g for g in got if g in first] == first
+    assert set(later) <= set(got)

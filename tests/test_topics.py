@@ -90,6 +90,27 @@ def test_topics_find_themes(spark):
     assert {r["comment_id"]: r["topic"] for r in again.members.collect()} == {r["comment_id"]: r["topic"] for r in members}
 
 
+def test_every_document_stays_one_row(spark):
+    docs = documents(spark)
+    odd = spark.createDataFrame([(1, "x", "recipe oven flour"), (1, "x", "recipe oven flour"), (None, "x", "goal striker match"), (950, "x", "the and of")], docs.schema)
+    every = Settings(topic_count=3, topic_min_size=1, topic_dims=5, topic_starts=2)
+    rows = docs.unionByName(odd)
+    built = topics.build_topics({"src": rows}, "comment_id", "text", every)
+    members = built.members.collect()
+    assert len(members) == rows.count() - 1 == sum(r["Count"] for r in built.summary.collect())  # without the removed one
+    assert sorted(str(r["comment_id"]) for r in members) == sorted(str(r["comment_id"]) for r in rows.filter("text <> '[removed]'").collect())
+    again = topics.build_topics({"src": rows.repartition(7)}, "comment_id", "text", every).members.collect()
+    assert sorted((str(r["comment_id"]), r["topic"]) for r in again) == sorted((str(r["comment_id"]), r["topic"]) for r in members)
+
+
+def test_most_frequent_narrows_ties(spark):
+    terms = [(f"t{i}", 1 + i % 3) for i in range(3000)]
+    df = spark.createDataFrame(terms, "term string, tf long")
+    ranked = sorted(terms, key=lambda r: (-r[1], hashlib.md5(r[0].encode()).hexdigest()))
+    for n in (1, 999, 1000, 1001, 2500, 3000, 5000):
+        assert sorted(r["term"] for r in topics.most_frequent(df, n).collect()) == sorted(t for t, _ in ranked[:n])
+
+
 def test_keep_clusters(spark):
     sizes = spark.createDataFrame([(0, 3), (1, 9), (2, 5), (3, 4)], "topic int, size long")
     assert sorted(r["topic"] for r in topics.keep_clusters(sizes, 5).collect()) == [1, 2]
@@ -134,6 +155,26 @@ def test_embedding_topics(spark):
     assert {r["topic"] for r in small.members.collect()} == {-1}
 
 
+def test_embedding_topics_per_source(spark):
+    rows = documents(spark, 20).filter("theme <> 'none'").withColumn("v", F.array(F.length("text").cast("double"), (F.col("comment_id") % 5).cast("double")))
+    built = topics.build_embedding_topics({"a": rows, "b": rows.filter("comment_id % 2 = 0"), "none": rows.limit(0)}, "v", "text", "comment_id", 2, CFG, min_size=1)
+    counts = {r["source"]: r["n"] for r in built.members.groupBy("source").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"a": 60, "b": 30} == {r["source"]: r["n"] for r in built.summary.groupBy("source").agg(F.sum("Count").alias("n")).collect()}
+    with pytest.raises(ValueError):
+        topics.embedding_topics(rows, "a", "v", "text", "comment_id", 1, CFG)
+
+
+def test_scores_keep_ids(spark):
+    df = spark.range(60).select(
+        F.when(F.col("id") % 7 != 0, F.col("id")).alias("id"), F.when(F.col("id") % 5 != 0, F.col("id") % 20).cast("double").alias("a"),
+        F.when(F.col("id") % 9 != 0, F.col("id")).cast("double").alias("target"),
+    )
+    fitted, _ = model.train_virality(df.select("a", "target").dropna(subset=["target"]), rounds=2)
+    scored = model.score_virality(df, fitted)
+    assert scored.columns == ["id", "a", "target", "prediction"]
+    assert sorted(map(repr, scored.drop("prediction").collect())) == sorted(map(repr, df.collect()))
+
+
 def test_virality_beats_the_mean(spark, tmp_path):
     df = spark.range(400).select(
         (F.col("id") % 20).cast("double").alias("a"), (F.col("id") % 7).alias("b"), F.lit("x").alias("c"),
