@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from audience_engine.llm.common import components, id_key, utf8
 from audience_engine.llm.groups import Labels, dealt, group_starts, parts_for, whole_groups
@@ -69,8 +70,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             prints = pa.array([fingerprint(shingle_hashes(t, shingle)) for t in utf8(batch.column("text"))], pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), prints], names=[*carried, "fp"])
 
-    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*carried).schema), "fp long"])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, T.StructType(list(docs.select(*carried).schema)).add("fp", "long"))
 
 
 def blocks(budget: int) -> list[tuple[int, int]]:
@@ -137,17 +137,18 @@ class TrieJoin:
             am, bm = self._split(d, a0, a1), self._split(d, b0, b1)
             cross, own = off < self.budget, a0 == b0
             apart = cross & ~own
-            # pushed last, so gone into first: the pairs that add no bit
+            below = []
+            # one piece of work for all children, so that a level costs few steps; those that add no bit come first
             for x0, x1, y0, y1, o, which in (
-                (am, a1, b0, bm, off + 1, apart),
-                (a0, am, bm, b1, off + 1, cross),
-                (am, a1, bm, b1, off, None),
                 (a0, am, b0, bm, off, None),
+                (am, a1, bm, b1, off, None),
+                (a0, am, bm, b1, off + 1, cross),
+                (am, a1, b0, bm, off + 1, apart),
             ):
-                keep = (x1 > x0) & (y1 > y0) if which is None else (x1 > x0) & (y1 > y0) & which
-                keep &= ~((x0 == y0) & (x1 - x0 == 1))
-                if keep.any():
-                    stack.append((d + 1, *(v[keep] for v in (x0, x1, y0, y1, o))))
+                keep = (x1 > x0) & (y1 > y0) & ~((x0 == y0) & (x1 - x0 == 1))
+                keep = keep if which is None else keep & which
+                below.append([v[keep] for v in (x0, x1, y0, y1, o)])
+            stack.append((d + 1, *(np.concatenate(parts) for parts in zip(*below, strict=True))))
         return self.labels.label
 
     def _whole(self, a0, a1, b0, b1) -> None:
