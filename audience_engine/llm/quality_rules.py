@@ -6,7 +6,9 @@ text of a host; a line in more than ``max(min_docs, share * texts of the host)``
 loses more than ``depleted`` of its words that way is rejected.
 
 Exact copies count as one document, so a text is not rejected for having been copied. At most ``lines per text / share``
-lines of a host can be over the limit, however large the host is.
+lines of a host can be over the limit, however large the host is. Up to ``max_lines`` such lines (counted first) go to
+every task, which judges each text where it is; beyond that the lines of its host are joined to each row. Texts are read
+twice and, in the first case, never shuffled.
 
 Defined cases: a null text has no words and fails the base rules; a null host is a host of its own; an empty table gives
 an empty result; rows that repeat an id are judged each for itself, equal rows alike; other columns are ignored
@@ -18,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,10 +33,11 @@ MAX_REPEATED_PERCENT = 30
 MIN_DOCS = 10
 SHARE = 0.1
 DEPLETED = 0.5
+MAX_LINES = 1_000_000
 SYMBOLS = b"#*$%&|<>"
 
 _FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-_LINES = T.ArrayType(T.StructType().add("h", "long").add("n_lines", "long").add("n_words", "long"))
+_COLUMNS = (*_FIGURES, "base_failed", "n_removed_lines", "n_removed_words", "kept")
 
 
 def line_hash(words: list[bytes]) -> int:
@@ -55,8 +58,8 @@ def repeated_words(words: list[bytes], n: int = WINDOW) -> int:
     return int((np.cumsum(hit[: len(words)]) > 0).sum())
 
 
-def figures(text: bytes | None) -> tuple:
-    """(words, word characters, symbols, repeated lines, repeated words, normalised lines) of one text."""
+def figures(text: bytes | None) -> tuple[tuple[int, ...], dict[int, list[int]]]:
+    """((words, word characters, symbols, repeated lines, repeated words), hash of each normalised line to its [lines, words])."""
     words, lines, tally = [], set(), {}
     n_lines = 0
     for line in (text or b"").split(b"\n"):
@@ -70,81 +73,113 @@ def figures(text: bytes | None) -> tuple:
             words += own
     chars = len(b"".join(words).decode("utf-8", "replace"))
     symbols = sum(map((text or b"").count, (bytes([c]) for c in SYMBOLS)))
-    kept_lines = [{"h": h, "n_lines": a, "n_words": b} for h, (a, b) in tally.items()]
-    return len(words), chars, symbols, n_lines - len(lines), repeated_words(words), kept_lines
+    return (len(words), chars, symbols, n_lines - len(lines), repeated_words(words)), tally
 
 
-def _measured(docs: DataFrame, carry: dict[str, str]) -> DataFrame:
-    """The figures of each row with a 128-bit digest of its text."""
-    kept = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry)], F.col("text").alias("_text"), F.col("source").alias("_host"))
-    schema = T.StructType([f for f in kept.schema if f.name.startswith("_c")]).add("_host", "string").add("_copy", "binary")
-    for name in _FIGURES:
-        schema = schema.add(name, "long")
-    schema = schema.add("lines", _LINES)
-    names = [f"_c{i}" for i in range(len(carry))]
-    arrow = pa.struct([("h", pa.int64()), ("n_lines", pa.int64()), ("n_words", pa.int64())])
+def host_key(source: str = "source") -> Column:
+    return F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
+
+
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """``_host``, ``_copy`` (a digest of the text) and ``lines`` (hashes): one row per host and distinct text."""
 
     def run(batches):
         for batch in batches:
-            texts = utf8(batch.column("_text"))
-            rows = [figures(t) for t in texts]
-            columns = [batch.column(c) for c in (*names, "_host")]
-            columns.append(pa.array([b"" if t is None else xxhash.xxh3_128_digest(t) for t in texts], pa.binary()))
-            columns += [pa.array([r[i] for r in rows], pa.int64()) for i in range(5)]
-            columns.append(pa.array([r[5] for r in rows], pa.list_(arrow)))
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    out = kept.mapInArrow(run, schema)
-    return out.withColumn("_host", F.coalesce(F.concat(F.lit("="), "_host"), F.lit("")))
-
-
-def frequent_lines(texts: DataFrame, min_docs: int, share: float) -> DataFrame:
-    """``_host``, ``h`` of the lines over the limit; ``texts`` has one row per host and distinct text."""
-    lines = texts.select("_host", F.explode("lines").alias("line")).select("_host", "line.h")
-    counts = lines.groupBy("_host", "h").agg(F.count("*").alias("n")).filter(F.col("n") > min_docs)
+            copies, lines = [], []
+            for text in utf8(batch.column("_text")):
+                copies.append(xxhash.xxh3_128_digest(text or b""))
+                lines.append(list({line_hash(own) for line in (text or b"").split(b"\n") if (own := line.split())}))
+            yield pa.RecordBatch.from_arrays([batch.column("_host"), pa.array(copies, pa.binary()), pa.array(lines, pa.list_(pa.int64()))], names=["_host", "_copy", "lines"])
+
+    plain = docs.select(host_key().alias("_host"), F.col("text").alias("_text"))
+    return plain.mapInArrow(run, "_host string, _copy binary, lines array<bigint>").dropDuplicates(["_host", "_copy"])
+
+
+def frequent_lines(docs: DataFrame, min_docs: int, share: float) -> DataFrame:
+    """``_host``, ``h`` of the lines over the limit."""
+    texts = cut_lineage(distinct_texts(docs))
+    counts = texts.select("_host", F.explode("lines").alias("h")).groupBy("_host", "h").agg(F.count("*").alias("n")).filter(F.col("n") > min_docs)
     hosts = cut_lineage(texts.groupBy("_host").agg(F.count("*").alias("texts")))
     return cut_lineage(counts.join(hosts, "_host").filter(F.col("n") > share * F.col("texts")).select("_host", "h"))
 
 
-def _judged(docs: DataFrame, carry: dict[str, str], min_docs: int, share: float, depleted: float) -> tuple[DataFrame, DataFrame]:
-    measured = cut_lineage(_measured(docs, carry))
-    texts = cut_lineage(measured.select("_host", "_copy", "lines").dropDuplicates(["_host", "_copy"]))
-    frequent = frequent_lines(texts, min_docs, share)
-    lines = texts.select("_host", "_copy", F.explode("lines").alias("line")).select("_host", "_copy", "line.*")
-    removed = cut_lineage(
-        lines.join(frequent, ["_host", "h"])
-        .groupBy("_host", "_copy")
-        .agg(F.sum("n_lines").alias("n_removed_lines"), F.sum("n_words").alias("n_removed_words"), F.collect_list("h").alias("_drop"))
-    )  # the list is bounded by the lines of one text
-    out = measured.drop("lines").join(removed, ["_host", "_copy"], "left").fillna(0, ["n_removed_lines", "n_removed_words"])
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
-    enough = F.col("n_removed_words") <= F.lit(depleted) * F.col("n_words")
-    return out.withColumn("base_failed", failed).withColumn("kept", ~failed & enough), frequent
+def _judging(docs: DataFrame, text: str, min_docs: int, share: float, depleted: float, max_lines: int):
+    """(rows with ``_host`` and, for more lines than may be broadcast, ``_drop``; batch to (verdicts, lines that go, per row)).
+
+    The lines over the limit are counted before they are collected.
+    """
+    named = docs.withColumnsRenamed({text: "text"}) if text != "text" else docs
+    frequent = frequent_lines(named, min_docs, share)
+    rows = docs.withColumn("_host", host_key())
+    number = frequent.count()
+    if number <= max_lines:
+        own: dict[str, list[int]] = {}
+        for r in frequent.collect():
+            own.setdefault(r["_host"], []).append(r["h"])
+        shared = docs.sparkSession.sparkContext.broadcast(own)
+        sets: dict[str, set[int]] = {}
+
+        def drops(batch):
+            for host in batch.column("_host").to_pylist():
+                if host not in sets:
+                    if len(sets) > 10_000:
+                        sets.clear()
+                    sets[host] = set(shared.value.get(host, ()))
+                yield sets[host]
+    else:
+        by_host = cut_lineage(frequent.groupBy("_host").agg(F.collect_list("h").alias("_drop")))  # at most lines per text / share
+        rows = rows.join(by_host, "_host", "left")
+
+        def drops(batch):
+            return (set(d or ()) for d in batch.column("_drop").to_pylist())
+
+    def judged(batch):
+        for data, drop in zip(utf8(batch.column(text)), drops(batch), strict=True):
+            found, tally = figures(data)
+            gone = [tally[h] for h in tally.keys() & drop] if drop else []
+            n_lines, n_words = sum(g[0] for g in gone), sum(g[1] for g in gone)
+            failed = found[0] < MIN_WORDS or 100 * found[4] > MAX_REPEATED_PERCENT * found[0]
+            yield data, drop if gone else None, (*found, failed, n_lines, n_words, not failed and n_words <= depleted * found[0])
+
+    return rows, judged
+
+
+def judge(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, depleted: float = DEPLETED, max_lines: int = MAX_LINES) -> DataFrame:
+    """The figures and the verdict of each row of ``docs`` (``doc_id``, ``text``, ``source``)."""
+    rows, judged = _judging(docs.select("doc_id", "text", "source"), "text", min_docs, share, depleted, max_lines)
+    schema = T.StructType([rows.schema["doc_id"]])
+    for name in _COLUMNS:
+        schema = schema.add(name, "boolean" if name in ("base_failed", "kept") else "long")
 
+    def run(batches):
+        for batch in batches:
+            verdicts = [v for _, _, v in judged(batch)]
+            columns = [pa.array([v[i] for v in verdicts], pa.bool_() if n in ("base_failed", "kept") else pa.int64()) for i, n in enumerate(_COLUMNS)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=schema.names)
 
-def judge(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, depleted: float = DEPLETED) -> DataFrame:
-    """The figures and the verdict of each row of ``docs`` (``doc_id``, ``text``, ``source``)."""
-    out, _ = _judged(docs, {"doc_id": ""}, min_docs, share, depleted)
-    return out.select(F.col("_c0").alias("doc_id"), *_FIGURES, "base_failed", "n_removed_lines", "n_removed_words", "kept")
+    return rows.mapInArrow(run, schema)
 
 
 def without_lines(text: bytes, drop: set[int]) -> bytes:
     return b"\n".join(line for line in text.split(b"\n") if not (own := line.split()) or line_hash(own) not in drop)
 
 
-def apply_rules(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, depleted: float = DEPLETED) -> DataFrame:
+def apply_rules(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, depleted: float = DEPLETED, max_lines: int = MAX_LINES) -> DataFrame:
     """The kept rows with all their columns, without the lines over the limit."""
     names = docs.columns
-    out, _ = _judged(docs, dict.fromkeys(names, ""), min_docs, share, depleted)
-    place = f"_c{names.index('text')}"
     carried = [f"_c{i}" for i in range(len(names))]
-    out = out.filter("kept").select(*carried, "_drop")
+    text = f"_c{names.index('text')}"
+    plain = docs.toDF(*carried)
+    rows, judged = _judging(plain.withColumn("source", F.col(f"_c{names.index('source')}")), text, min_docs, share, depleted, max_lines)
 
     def run(batches):
         for batch in batches:
-            texts, drops = utf8(batch.column(place)), batch.column("_drop").to_pylist()
-            done = [(without_lines(t, set(d)) if d else t) for t, d in zip(texts, drops, strict=True)]
-            new = pa.array(done, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([new if c == place else batch.column(c) for c in carried], names=carried)
-
-    return out.mapInArrow(run, T.StructType([f for f in out.schema if f.name != "_drop"])).toDF(*names)
+            texts, mask = [], []
+            for data, drop, verdict in judged(batch):
+                mask.append(verdict[-1])
+                texts.append(without_lines(data, drop) if verdict[-1] and drop else data if verdict[-1] else None)
+            new = pa.array(texts, pa.binary()).cast(pa.string())
+            out = pa.RecordBatch.from_arrays([new if c == text else batch.column(c) for c in carried], names=carried)
+            yield out.filter(pa.array(mask, pa.bool_()))
+
+    return rows.mapInArrow(run, plain.schema).toDF(*names)
