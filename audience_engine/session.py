@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,19 +77,20 @@ def laid_out(df: DataFrame, *keys: str, rows: int | None = None) -> DataFrame:
     return df.repartition(parts, *keys).sortWithinPartitions(*keys)
 
 
-def drop_staged(spark: SparkSession, before: set[str]) -> None:
-    """Remove the tables that were staged since ``before`` (see ``staged_tables``), once nothing reads them any more."""
-    for path in staged_tables(spark) - before:
-        location = spark._jvm.org.apache.hadoop.fs.Path(path)
-        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
-
-
-def staged_tables(spark: SparkSession) -> set[str]:
-    """The tables that this session has staged."""
-    return set(_STAGED.get(spark.sparkContext.applicationId, ()))
+_STAGED: dict[str, list[str]] = {}
 
 
-_STAGED: dict[str, list[str]] = {}
+@contextmanager
+def staged_for_now(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, the tables that were staged inside: for work whose results are collected or written by then."""
+    paths = _STAGED.setdefault(spark.sparkContext.applicationId, [])
+    before = len(paths)
+    try:
+        yield
+    finally:
+        while len(paths) > before:
+            location = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+            location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
 def use_all_cores(df: DataFrame) -> DataFrame:

@@ -82,3 +82,15 @@ def test_two_texts_and_null_ids_count_once(spark, comments):
     row = pipelines.weekly_report(edited, view(spark, SF, "lexicon"), view(spark, SF, "topic_summary"), cfg).first()
     week = edited.filter("created_utc >= timestamp_ntz'2024-03-03' and created_utc < timestamp_ntz'2024-03-10'")
     assert row["total"] == week.count() > week.select("comment_id").distinct().count()
+
+
+def test_staged_tables_go(spark):
+    from pathlib import Path
+
+    from audience_engine.session import cut_lineage, staged_for_now
+
+    kept = cut_lineage(spark.range(3))
+    with staged_for_now(spark):
+        path = cut_lineage(spark.range(5)).inputFiles()[0].removeprefix("file:")
+        assert Path("/" + path.lstrip("/")).exists()
+    assert not Path("/" + path.lstrip("/")).exists() and kept.count() == 3
