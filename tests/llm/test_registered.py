@@ -100,7 +100,7 @@ def test_embeddings_agree_with_all_pairs(spark, tmp_path):
         noise = draw.standard_normal(len(v)) * np.linalg.norm(v) / len(v) ** 0.5
         given.append((10_000 + i, (np.array(v) + draw.choice([0.0, 0.1, 0.3, 0.45]) * noise).tolist(), label))
     spark.createDataFrame(given, rows.schema).write.parquet(str(tmp_path / "embeddings.parquet"))
-    table = spark.read.parquet(str(tmp_path / "embeddings.parquet")).collect()
+    table = sorted(spark.read.parquet(str(tmp_path / "embeddings.parquet")).collect(), key=lambda r: r.vec_id)
     unit = np.vstack([vectors.scaled(np.asarray([r.embedding], np.float32))[0] for r in table])
     near = unit @ unit.T >= 0.9
     np.fill_diagonal(near, False)
