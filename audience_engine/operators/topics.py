@@ -9,6 +9,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
@@ -228,8 +229,9 @@ def _gram_times(rows: DataFrame, basis: np.ndarray, block: int = 512) -> np.ndar
         terms = np.sort(np.concatenate(met)) if met else np.empty(0, np.int64)
         for b in np.unique(terms // block).tolist():
             own = terms[(terms // block) == b]
-            data = [[b], [own.astype("int32").tobytes()], [sums[place[own]].astype("float32").tobytes()]]
-            yield pa.RecordBatch.from_arrays([pa.array(data[0], pa.int32()), *map(pa.array, data[1:])], names=["block", "terms", "sums"])
+            data = [[own.astype("int32").tobytes()], [sums[place[own]].astype("float32").tobytes()]]
+            numbers = [pa.array([b], pa.int32()), pa.array([TaskContext.get().partitionId()], pa.int32())]
+            yield pa.RecordBatch.from_arrays([*numbers, *map(pa.array, data)], names=["block", "part", "terms", "sums"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
@@ -241,8 +243,9 @@ def _gram_times(rows: DataFrame, basis: np.ndarray, block: int = 512) -> np.ndar
         for b, own in totals.items():
             yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([own.astype("float32").tobytes()])], names=["block", "sums"])
 
-    partials = rows.mapInArrow(partial, "block int, terms binary, sums binary")
-    blocks = partials.repartition("block").mapInArrow(add, "block int, sums binary")
+    partials = rows.mapInArrow(partial, "block int, part int, terms binary, sums binary")
+    # added in the order of the parts, so that a rerun adds up to the same digits
+    blocks = partials.repartition("block").sortWithinPartitions("block", "part").mapInArrow(add, "block int, sums binary")
     out = np.zeros_like(basis)
     for row in blocks.toArrow().to_pylist():  # terms x width numbers in all
         first = row["block"] * block
@@ -329,7 +332,8 @@ def fit_clusters(
         KMeans(k=k, seed=seed + i, featuresCol="_features", predictionCol=out, maxIter=most, tol=tolerance).fit(features)
         for i in range(starts)
     ]
-    model = min(fits, key=lambda m: m.summary.trainingCost)
+    # costs that differ in their last digits only are equal: the first of those fits, so that reruns number clusters alike
+    model = min(fits, key=lambda m: float(f"{m.summary.trainingCost:.9g}"))
     return model.transform(ready).drop("_features"), np.vstack(model.clusterCenters())
 
 
