@@ -93,6 +93,11 @@ def text_key(column: str = "text") -> Column:
     return (F.crc32(F.coalesce(F.col(column), F.lit("")).cast("binary")) - F.lit(2**31)).cast("int")
 
 
+def row_key(column: str = "text") -> Column:
+    """Like ``text_key`` with 64 bits, for joins where millions of texts may share an id."""
+    return F.xxhash64(F.coalesce(F.col(column), F.lit("")).cast("binary"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node``, ``root``: the smallest node that each node of the edges (``a``, ``b``) reaches. Isolated nodes are not listed.
 

@@ -15,7 +15,7 @@ than one does. Anchors that a sample of the documents shows to be very frequent
 context and extended in any case; the sample steers only where rows go, never what is found. The texts are shuffled
 once by document: extension and cutting read the same exchange.
 
-Hashes have 128 bits (anchor and context, or anchor and window). Defined cases: a null text has no words; texts shorter than
+Hashes have 128 bits (anchor and context, or anchor and window); rows of one id are told apart by 64 bits of their texts. Defined cases: a null text has no words; texts shorter than
 a window stay whole; rows that repeat an id are documents of their own and repeat each other if their texts do; an empty table
 gives an empty result; other columns are ignored.
 """
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from audience_engine.llm.common import batches_of, covered, id_back, id_key, mixed, text_key, utf8, window_hashes, word_hashes
+from audience_engine.llm.common import batches_of, covered, id_back, id_key, mixed, row_key, utf8, window_hashes, word_hashes
 from audience_engine.llm.groups import whole_groups
 from audience_engine.session import cut_lineage
 
@@ -40,8 +40,8 @@ SALTS = 256
 SAMPLE = 5_000
 HOT_SHARE = 0.01
 
-_ROW = "a long, b long, d long, t int, s int, e int, n int"
-_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("d", pa.int64()), ("t", pa.int32()), ("s", pa.int32()), ("e", pa.int32()), ("n", pa.int32())])
+_ROW = "a long, b long, d long, t long, s int, e int, n int"
+_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("d", pa.int64()), ("t", pa.int64()), ("s", pa.int32()), ("e", pa.int32()), ("n", pa.int32())])
 
 
 def last_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -219,13 +219,13 @@ def _met_windows(rows: DataFrame) -> DataFrame:
             keep = (c["n"] == 0) | ((np.bincount(group, c["n"])[group] >= 2) & (c["n"] == 1))
             yield pa.RecordBatch.from_arrays([pa.array(c[k][keep]) for k in ("d", "t", "s", "e")], names=["d", "t", "s", "e"])
 
-    return rows.repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(run, "d long, t int, s int, e int")
+    return rows.repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(run, "d long, t long, s int, e int")
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed``, ``spans`` (repeats, as word places) and the kept ``text``, words joined by one space."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    frame = docs.select(id_key("doc_id").alias("d"), text_key("text").alias("t"), "text")
+    frame = docs.select(id_key("doc_id").alias("d"), row_key("text").alias("t"), "text")
     met = cut_lineage(_met(_anchor_rows(frame, window, seed), hot_anchors(frame, window, seed), window))
     settled = met.filter("n = 0").select("d", "t", "s", "e")
     extended = _met_windows(_windows(frame, met.filter("n > 0"), window))
