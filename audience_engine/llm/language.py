@@ -30,7 +30,6 @@ from audience_engine.llm.common import utf8
 BITS = 15
 ROWS_PER_LANGUAGE = 3_000
 MAX_LANGUAGES = 200
-SET_SIZE = 4
 PENALTY = 2.0
 SMOOTHING = 0.1
 STEPS, TOLERANCE = 60, 1e-4
@@ -76,7 +75,7 @@ def language_set(counts: np.ndarray, model: np.ndarray) -> list[tuple[int, float
     share, _ = proportions(counts, likelihood)
     order = np.argsort(-share, kind="stable")
     price, best, found = PENALTY * np.log(counts.sum() + 1), -np.inf, []
-    for k in range(1, min(SET_SIZE, len(order)) + 1):
+    for k in range(1, len(order) + 1):
         part, fit = proportions(counts, likelihood[:, order[:k]])
         if fit - k * price <= best:
             break
