@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from audience_engine.llm import language, line_dedup, mixing, pieces, quality_classifier, quality_rules, repeats, simhash, token_counts, vectors
+from audience_engine.llm import (
+    language,
+    line_dedup,
+    mixing,
+    periodic_runs,
+    pieces,
+    quality_classifier,
+    quality_rules,
+    repeats,
+    simhash,
+    token_counts,
+    vectors,
+)
 from audience_engine.plans.views import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +147,15 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeats.without_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@registered("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find(periodic_runs.looped(table(spark, sf_dir, "documents").select("doc_id", "text")), texts=False)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    listed = F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[F.col(f"strongest.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), "collapsed_sha256",
+    )
