@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from audience_engine.llm import (
+    contamination,
     language,
     line_dedup,
     mixing,
@@ -159,3 +160,30 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
         F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), "collapsed_sha256",
     )
+
+
+_LEAKS = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0) x),
+dw AS (SELECT rid, n, i, array_to_string(ws[i:i + n - 1], ' ') AS g
+  FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM iw) k WHERE len(ws) >= n) x),
+hit AS (SELECT rid, i, n, item_id FROM dw JOIN iw USING (n, g)),
+covered AS (SELECT rid, count(DISTINCT i + j) AS n_hit FROM (SELECT DISTINCT rid, i, n FROM hit) h, (SELECT unnest(range(0, 10)) AS j) k WHERE j < n GROUP BY rid),
+listed AS (SELECT rid, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM hit GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (rid) LEFT JOIN listed USING (rid)
+"""
+
+
+@registered("op13_contamination", _LEAKS)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    n_items = F.size("items").cast("long")
+    return found.select("doc_id", "n_words", "n_hit", n_items.alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
