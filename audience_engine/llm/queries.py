@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from audience_engine.llm import (
     contamination,
+    conversations,
     language,
     line_dedup,
     mixing,
@@ -187,3 +188,54 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
     n_items = F.size("items").cast("long")
     return found.select("doc_id", "n_words", "n_hit", n_items.alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def _more(value: str, price: int, letter: str) -> str:
+    """SQL of a cost and audit (the cost in nine digits, then the letters) after one more edit."""
+    return f"lpad(CAST(CAST(left({value}, 9) AS BIGINT) + {price} AS VARCHAR), 9, '0') || substr({value}, 10) || '{letter}'"
+
+
+_TURNS = f"""
+WITH RECURSIVE given AS (SELECT dense_rank() OVER (ORDER BY conv_id) AS cid, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+crc AS (SELECT *, xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(k, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], CAST(range(8) AS BIGINT[])), lambda y, i: xor(y >> 1, 3988292384 * (y & 1))))) % 20 AS x FROM given),
+spoilt AS (SELECT cid, conv_id, turn, CASE WHEN x = 4 THEN 'user' ELSE role END AS role,
+  CASE WHEN x = 1 THEN '' WHEN x = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM crc, (SELECT unnest([1, 2]) AS n) times WHERE x <> 0 AND n <= CASE WHEN x = 3 THEN 2 ELSE 1 END),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, text) AS i FROM spoilt),
+placed AS (SELECT *, row_number() OVER (PARTITION BY cid, role, text ORDER BY i) AS time, left(role, 1) AS f,
+  lag(left(role, 1)) OVER (PARTITION BY cid ORDER BY i) AS before,
+  right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS final FROM ordered),
+faulty AS (SELECT *, CASE WHEN final = '' THEN 'b' WHEN time > 1 THEN 'd' WHEN final NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM placed),
+counts AS (SELECT cid, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'b') AS blank,
+  count(*) FILTER (WHERE fault = 'd') AS duplicate, count(*) FILTER (WHERE fault = 't') AS truncated,
+  count(*) FILTER (WHERE before || f NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM faulty GROUP BY cid),
+steps(cid, i, n, s, u, a) AS (SELECT DISTINCT cid, CAST(0 AS BIGINT), '000000000', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM given
+  UNION ALL
+  SELECT z.cid, f.i, {_more("n", 4, "D")},
+    least({_more("s", 4, "D")}, CASE WHEN stay AND f.f = 's' THEN CASE WHEN f.fault = 't' THEN {_more("n", 3, "K")} ELSE {_more("n", 0, "K")} END END),
+    least({_more("ui", 4, "D")}, CASE WHEN stay THEN CASE WHEN f.fault = 't' THEN {_more("ub", 6, "R")} ELSE {_more("ub", 3, "R")} END END,
+      CASE WHEN stay AND f.f = 'u' THEN CASE WHEN f.fault = 't' THEN {_more("ub", 3, "K")} ELSE {_more("ub", 0, "K")} END END),
+    least({_more("ai", 4, "D")}, CASE WHEN stay THEN CASE WHEN f.fault = 't' THEN {_more("ui", 6, "R")} ELSE {_more("ui", 3, "R")} END END,
+      CASE WHEN stay AND f.f = 'a' THEN CASE WHEN f.fault = 't' THEN {_more("ui", 3, "K")} ELSE {_more("ui", 0, "K")} END END)
+  FROM (SELECT *, least(n, s, ai) AS ub FROM (SELECT *, least(a, {_more("ui", 3, "I")}) AS ai
+    FROM (SELECT *, least(u, {_more("least(n, s, a)", 3, "I")}) AS ui FROM steps) q) r) z
+  JOIN (SELECT *, fault NOT IN ('b', 'd') AS stay FROM faulty) f ON f.cid = z.cid AND f.i = z.i + 1),
+found AS (SELECT cid, CAST(left(best, 9) AS BIGINT) AS cost, substr(best, 10) AS audit FROM (SELECT cid, least(n, a, {_more("ui", 3, "I")}) AS best
+  FROM (SELECT steps.*, least(u, {_more("least(steps.n, s, a)", 3, "I")}) AS ui FROM steps LEFT JOIN counts USING (cid) WHERE i = coalesce(counts.n, 0)) q) r),
+letters AS (SELECT cid, j, audit[j] AS e, count(*) FILTER (WHERE audit[j] <> 'I') OVER w AS i, count(*) FILTER (WHERE audit[j] <> 'D') OVER w AS place
+  FROM (SELECT cid, audit, unnest(range(1, length(audit) + 1)) AS j FROM found) q WINDOW w AS (PARTITION BY cid ORDER BY j)),
+edited AS (SELECT l.*, f.role, f.text, max(CASE WHEN e = 'K' AND place = 1 AND f.f = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY l.cid) AS lead
+  FROM letters l LEFT JOIN faulty f ON f.cid = l.cid AND f.i = l.i AND e <> 'I' WHERE e <> 'D'),
+hashed AS (SELECT cid, sha256(string_agg(CASE WHEN e = 'K' THEN role WHEN (place - lead) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''),
+  chr(10) ORDER BY j)) AS digest FROM edited GROUP BY cid)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, cost, audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT cid, conv_id FROM given) g JOIN found USING (cid) LEFT JOIN counts USING (cid) LEFT JOIN hashed USING (cid)
+"""
+
+
+@registered("op11_conversations", _TURNS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")), "dropped")
