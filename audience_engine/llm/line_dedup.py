@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from audience_engine.llm.common import utf8
+from audience_engine.llm.common import sliced, utf8
 from audience_engine.session import cut_lineage
 
 MIN_DOCS = 10
@@ -137,8 +137,9 @@ def key_counts(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     def run(batches):
         for batch in batches:
             seen: Counter[bytes] = Counter()
-            for text in utf8(batch.column(0)):
-                seen.update(set(long_keys([line_key(x) for x in (text or b"").split(b"\n")], min_chars)))
+            for part in sliced([batch]):
+                for text in utf8(part.column(0)):
+                    seen.update(set(long_keys([line_key(x) for x in (text or b"").split(b"\n")], min_chars)))
             if seen:
                 h1, h2 = as_pairs([key_hash(k) for k in seen])
                 n = np.fromiter(seen.values(), np.int64, len(seen))
@@ -192,7 +193,7 @@ def _dropped(docs: DataFrame, text: str, min_docs: int, min_chars: int, max_byte
         def run(batches):
             if not held:
                 held.append(Shards(*shared.value))
-            for batch in batches:
+            for batch in sliced(batches):
                 texts = utf8(batch.column(text))
                 lines = [(t or b"").split(b"\n") for t in texts]
                 keys = [[line_key(x) for x in own] for own in lines]

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from audience_engine.llm.common import utf8, window_hashes, word_hashes
+from audience_engine.llm.common import sliced, utf8, window_hashes, word_hashes
 from audience_engine.session import cut_lineage
 
 MIN_WORDS = 20
@@ -84,7 +84,7 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     """``_host``, ``_copy`` (a digest of the text) and ``lines`` (hashes): one row per host and distinct text."""
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             copies, lines = [], []
             for text in utf8(batch.column("_text")):
                 copies.append(xxhash.xxh3_128_digest(text or b""))
@@ -152,7 +152,7 @@ def judge(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, deple
         schema = schema.add(name, "boolean" if name in ("base_failed", "kept") else "long")
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             verdicts = [v for _, _, v in judged(batch)]
             columns = [pa.array([v[i] for v in verdicts], pa.bool_() if n in ("base_failed", "kept") else pa.int64()) for i, n in enumerate(_COLUMNS)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=schema.names)
@@ -173,7 +173,7 @@ def apply_rules(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE,
     rows, judged = _judging(plain.withColumn("source", F.col(f"_c{names.index('source')}")), text, min_docs, share, depleted, max_lines)
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             texts, mask = [], []
             for data, drop, verdict in judged(batch):
                 mask.append(verdict[-1])

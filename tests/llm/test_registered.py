@@ -15,6 +15,7 @@ from audience_engine.llm import mixing, pieces, simhash, token_counts, vectors
 from tests.llm.test_line_dedup import plain as plain_lines
 from tests.llm.test_mixing import rates_by_bisection
 from tests.llm.test_near_groups import components_of, plain_fingerprint
+from tests.llm.test_near_texts import plain_kept
 from tests.llm.test_quality_rules import plain_verdicts
 from tests.llm.test_repeats import plain as plain_repeats
 from tools.check import compare
@@ -37,7 +38,7 @@ def crc(doc_id):
 
 def test_all_are_registered():
     names = set(contract.queries())
-    assert all(len([n for n in names if n.startswith(f"op{i}_")]) == 1 for i in range(1, 11)) and "pipeline" in names
+    assert all(len([n for n in names if n.startswith(f"op{i}_")]) == 1 for i in range(1, 14)) and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", ["op1_quality_rules", "op4_line_dedup"])
@@ -157,12 +158,8 @@ def test_pipeline_agrees_with_plain_python(spark, docs):
     # lines
     rows = [(r[0], kept, r[2]) for r, (_, _, kept) in zip(rows, plain_lines([r[1] for r in rows], 10), strict=True)]
     # near copies
-    prints = [plain_fingerprint(r[1]) for r in rows]
-    roots = components_of(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4])
-    first = {}
-    for r, root in zip(rows, roots, strict=True):
-        first[root] = min(first.get(root, r), r)
-    rows = sorted(first.values())
+    kept = plain_kept([(r[0], r[1]) for r in rows])
+    rows = [r for r in rows if r[0] in kept]
     # copies by size, which the mix's ties don't change
     _, by, goal = plain_mix(rows)
     got = corpus_pipeline.run(spark, SF).collect()
