@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from audience_engine.functions.drafts import topic_label
 from audience_engine.functions.scoring import cosine_distance, magnitude_bin
 from audience_engine.functions.text import evaluate_once, normalise_text, not_removed, tokens, with_bigrams
-from audience_engine.operators.joining import lookup_join, top_per_group
+from audience_engine.operators.joining import dense_index, lookup_join, top_per_group
 from audience_engine.session import cut_lineage, laid_out
 from audience_engine.settings import Settings
 
@@ -47,7 +47,7 @@ def term_counts(df: DataFrame, terms: str = "terms") -> DataFrame:
 
         return F.transform(t, one)
 
-    rows = df.select(F.inline(evaluate_once(F.array_sort(terms), marked)))
+    rows = df.select(F.inline(evaluate_once(F.sort_array(terms), marked)))
     return rows.groupBy("term").agg(F.count("*").alias("tf"), F.count_if("new").alias("df"))
 
 
@@ -68,6 +68,47 @@ def term_idf(
     return kept.select("term", "tf", "df", (F.log((F.col("_n") + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
 
 
+def term_dictionary(weights: DataFrame) -> DataFrame:
+    """``weights`` (of ``term_idf``) with each term's number ``index``, 0 and up without gaps.
+
+    Terms are numbered by hashed buckets and the buckets' counts, so there may be any number of them.
+    """
+    return dense_index(weights, "term", "index")
+
+
+def counted_in_row(terms: str = "terms") -> Column:
+    """The distinct terms of a row's array with their number of occurrences, as structs ``term``, ``tf``."""
+
+    def counted(t: Column) -> Column:
+        heads = F.array_compact(F.transform(t, lambda w, i: F.when((i == 0) | (F.get(t, i - 1) != w), i)))
+
+        def runs(h: Column) -> Column:
+            return F.transform(
+                h, lambda at, j: F.struct(F.get(t, at).alias("term"), (F.coalesce(F.get(h, j + 1), F.size(t)) - at).cast("double").alias("tf"))
+            )
+
+        return evaluate_once(heads, runs)
+
+    return evaluate_once(F.sort_array(terms), counted)
+
+
+def unit_weights(df: DataFrame, weights: DataFrame, key: str, terms: str = "terms") -> DataFrame:
+    """``key``, ``term`` and every other column of ``weights``, and ``w``: the term weights of each document, as a unit vector.
+
+    The terms are counted inside the row and joined to their weights, where adaptive execution splits the terms that
+    very many documents hold; the norm is summed per document. No vocabulary passes the driver, and none is cut.
+    """
+    pairs = df.select(key, F.inline(counted_in_row(terms))).join(weights, "term").withColumn("w", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))  # the terms of one document
+    return pairs.select(key, *weights.columns, (F.col("w") / norm).alias("w"))
+
+
+def sparse_rows(weighed: DataFrame, key: str) -> DataFrame:
+    """``key``, ``indices`` and ``values`` of each document's weights by the numbers of a ``term_dictionary``."""
+    row = F.sort_array(F.collect_list(F.struct("index", "w")))  # the terms of one document
+    return weighed.groupBy(key).agg(row.alias("_row")).select(key, F.col("_row.index").alias("indices"), F.col("_row.w").alias("values"))
+
+
 def most_frequent(counted: DataFrame, n: int) -> DataFrame:
     """The ``n`` rows with the largest (``tf``, then smallest md5 of ``term``) without sorting them all.
 
@@ -94,7 +135,7 @@ def class_tfidf(df: DataFrame, label: str, terms: str = "terms", n: int | None =
     is the mean number of words per class."""
     counted = (
         # sorted, so that equal terms of a document meet at once in the map-side count
-        df.select(label, F.explode(F.array_sort(terms)).alias("term"))
+        df.select(label, F.explode(F.sort_array(terms)).alias("term"))
         .groupBy(label, "term")
         .agg(F.count("*").alias("tf"))
     )

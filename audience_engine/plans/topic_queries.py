@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from audience_engine import vocabulary as voc
@@ -73,10 +72,10 @@ weighed AS (SELECT doc_id, lang, term, tf * idf AS w FROM counted JOIN frequency
 unit AS (SELECT doc_id, lang, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM weighed)"""
 
 
-def document_weights(t: Inputs):
+def every_weight(t: Inputs):
+    """The rows with their terms, and the weight of every term."""
     rows = termed(t)
-    every = Settings(topic_vocabulary=10_000_000)
-    return topics.fit_tfidf(rows, every), rows
+    return rows, topics.term_idf(rows, max_share=CFG.max_document_share).select("term", "idf")
 
 
 @query(
@@ -85,11 +84,13 @@ def document_weights(t: Inputs):
     steps=NORMAL + TERMS + WEIGHTS,
 )
 def tfidf_of_documents(t: Inputs):
-    model_, rows = document_weights(t)
-    values = F.unwrap_udt("tfidf")["values"]
-    found = model_.transform(rows).select("doc_id", values.alias("w")).filter(F.size("w") > 0)
-    total = F.aggregate("w", F.lit(0.0), lambda s, v: s + v)
-    return found.select("doc_id", F.size("w").cast("long").alias("terms"), F.round(total, 6).alias("total"), F.round(F.array_max("w"), 6).alias("largest"))
+    rows, weights = every_weight(t)
+    dictionary = topics.term_dictionary(cut_lineage(weights))
+    found = topics.sparse_rows(topics.unit_weights(rows, dictionary, "doc_id"), "doc_id")
+    total = F.aggregate("values", F.lit(0.0), lambda s, v: s + v)
+    return found.select(
+        "doc_id", F.size("values").cast("long").alias("terms"), F.round(total, 6).alias("total"), F.round(F.array_max("values"), 6).alias("largest")
+    )
 
 
 @query(
@@ -100,11 +101,12 @@ def tfidf_of_documents(t: Inputs):
     steps=NORMAL + TERMS + WEIGHTS,
 )
 def language_terms(t: Inputs):
-    model_, rows = document_weights(t)
-    words = pd.DataFrame({"index": range(len(model_.vocabulary)), "term": model_.vocabulary})
-    vocabulary = t.spark.createDataFrame(words, "index int, term string")
-    best = topics.top_terms(model_.transform(rows), vocabulary, label="lang", k=6)
-    return best.select("lang", F.array_join("terms", "|").alias("terms"))
+    rows, weights = every_weight(t)
+    weighed = topics.unit_weights(rows.withColumn("doc", F.struct("doc_id", "lang")), weights, "doc")
+    sums = weighed.groupBy("doc.lang", "term").agg(F.round(F.sum("w"), 9).alias("weight"))
+    best = topics.top_per_group(sums, ["lang"], [F.col("weight").desc(), F.col("term")], 6, rank="rank")
+    listed = best.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "term"))).alias("best"))  # six rows per language
+    return listed.select("lang", F.array_join("best.term", "|").alias("terms"))
 
 
 @query(
