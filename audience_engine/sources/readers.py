@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from audience_engine.functions.clock import event_time
 from audience_engine.operators.conform import conform_comments
 from audience_engine.schemas import RAW_SCHEMAS
+from audience_engine.sources.split_csv import read_split_csv
 
 BAD_RECORD = "_corrupt_record"
 
@@ -24,8 +25,7 @@ def _with_bad_records(schema: T.StructType) -> T.StructType:
 def read_texts_csv(spark: SparkSession, path: str, keep_bad: bool = False, multi_line: bool = True) -> DataFrame:
     """A CSV with a header, every column as text under its header's name.
 
-    ``multi_line`` lets texts span lines, at the price of one task per file; large input is better landed as JSON lines
-    or parquet, or read without it.
+    ``multi_line`` lets texts in quotes span lines; a file is cut at its records and read by many tasks either way (``split_csv``).
     """
 
     def reader(schema: T.StructType | None):
@@ -33,9 +33,10 @@ def read_texts_csv(spark: SparkSession, path: str, keep_bad: bool = False, multi
         return own if schema is None else own.schema(schema).option("columnNameOfCorruptRecord", BAD_RECORD)
 
     header = reader(None).csv(path).schema
-    if not keep_bad:
-        return reader(header).csv(path)
-    return reader(_with_bad_records(header)).csv(path)
+    schema = _with_bad_records(header) if keep_bad else header
+    if multi_line and header.fields:
+        return read_split_csv(spark, path, schema, columnNameOfCorruptRecord=BAD_RECORD)
+    return reader(schema).csv(path)
 
 
 def typed_as(df: DataFrame, schema: T.StructType, mark_bad: bool = False) -> DataFrame:
