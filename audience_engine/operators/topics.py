@@ -92,15 +92,15 @@ def counted_in_row(terms: str = "terms") -> Column:
     return evaluate_once(F.sort_array(terms), counted)
 
 
-def unit_weights(df: DataFrame, weights: DataFrame, key: str, terms: str = "terms") -> DataFrame:
-    """``key``, ``term`` and every other column of ``weights``, and ``w``: the term weights of each document, as a unit vector.
+def unit_weights(df: DataFrame, weights: DataFrame, key: str, terms: str = "terms", carry: Sequence[str] = ()) -> DataFrame:
+    """``key``, the columns ``carry``, all columns of ``weights``, and ``w``: the term weights of each document, as a unit vector.
 
     The terms are counted inside the row and joined to their weights, where adaptive execution splits the terms that
     very many documents hold; the norm is summed per document. No vocabulary passes the driver, and none is cut.
     """
-    pairs = df.select(key, F.inline(counted_in_row(terms))).join(weights, "term").withColumn("w", F.col("tf") * F.col("idf"))
+    pairs = df.select(key, *carry, F.inline(counted_in_row(terms))).join(weights, "term").withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))  # the terms of one document
-    return pairs.select(key, *weights.columns, (F.col("w") / norm).alias("w"))
+    return pairs.select(key, *carry, *weights.columns, (F.col("w") / norm).alias("w"))
 
 
 def sparse_rows(weighed: DataFrame, key: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from audience_engine.plans.registry import Inputs, query
 from audience_engine.session import staging_path
+from audience_engine.sources.versions import VersionedTable
 from audience_engine.streaming import jobs
 
 
@@ -57,3 +58,24 @@ def stream_approvals(t: Inputs):
     t.approvals_raw.select("payload").write.text(inbox)
     rows = drained(jobs.stream_approvals(t.spark, inbox), "stream-approvals")
     return rows.groupBy("user", "topic", "variant").agg(F.count("*").alias("n"))
+
+
+@query(
+    "stream_appended",
+    "SELECT event_type, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT event_id) AS BIGINT) AS ids, round(sum(value), 4) AS total FROM events GROUP BY 1",
+)
+def stream_appended(t: Inputs):
+    """Landed files appended one by one; what a restart repeats is not added again."""
+    rows = t.events.select("event_id", "event_type", "value")
+    inbox, progress = staging_path(t.spark, "event-inbox"), staging_path(t.spark, "event-progress")
+    rows.repartition(4, "event_id").write.parquet(inbox)
+    table = VersionedTable(t.spark, staging_path(t.spark, "event-log"))
+
+    def stream() -> DataFrame:
+        return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+
+    table.append_stream(stream(), "events", progress)
+    table.append(t.spark.read.schema(rows.schema).parquet(inbox), stream="events", batch=0)  # as a run that lost its last checkpoint
+    table.append_stream(stream(), "events", progress)
+    counts = table.read().groupBy("event_type")
+    return counts.agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("ids"), F.round(F.sum("value"), 4).alias("total"))

@@ -102,8 +102,8 @@ def tfidf_of_documents(t: Inputs):
 )
 def language_terms(t: Inputs):
     rows, weights = every_weight(t)
-    weighed = topics.unit_weights(rows.withColumn("doc", F.struct("doc_id", "lang")), weights, "doc")
-    sums = weighed.groupBy("doc.lang", "term").agg(F.round(F.sum("w"), 9).alias("weight"))
+    weighed = topics.unit_weights(rows, weights, "doc_id", carry=["lang"])
+    sums = weighed.groupBy("lang", "term").agg(F.round(F.sum("w"), 9).alias("weight"))
     best = topics.top_per_group(sums, ["lang"], [F.col("weight").desc(), F.col("term")], 6, rank="rank")
     listed = best.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "term"))).alias("best"))  # six rows per language
     return listed.select("lang", F.array_join("best.term", "|").alias("terms"))

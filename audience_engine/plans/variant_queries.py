@@ -10,7 +10,9 @@ from audience_engine.plans import expected
 from audience_engine.plans.registry import Inputs, any_in, query, stripped
 from audience_engine.plans.topic_queries import CENTERS, DISTANCES
 from audience_engine.settings import Settings
+from audience_engine.session import staging_path
 from audience_engine.sources import readers
+from audience_engine.sources.versions import VersionedTable
 from audience_engine.streaming.jobs import approvals as approval_rows
 
 CFG = Settings()
@@ -212,15 +214,12 @@ last_updates AS (SELECT post_id, arg_max(struct_pack(replies := replies, likes :
   arg_max(ctr, ts) FILTER (WHERE ctr IS NOT NULL) AS ctr FROM updates GROUP BY post_id)"""
 
 
-@query(
-    "record_metrics",
-    """SELECT l.post_id, l.variant_id, CASE WHEN u.post_id IS NULL THEN l.replies ELSE coalesce(u.last.replies, 0) END AS replies,
+RECORDED = """SELECT l.post_id, l.variant_id, CASE WHEN u.post_id IS NULL THEN l.replies ELSE coalesce(u.last.replies, 0) END AS replies,
     CASE WHEN u.post_id IS NULL THEN l.likes ELSE coalesce(u.last.likes, 0) END AS likes, coalesce(u.ctr, l.ctr) AS ctr
-    FROM log l LEFT JOIN last_updates u ON u.post_id = l.post_id""",
-    ["ab_log"],
-    UPDATES,
-)
-def record_metrics(t: Inputs):
+    FROM log l LEFT JOIN last_updates u ON u.post_id = l.post_id"""
+
+
+def log_and_updates(t: Inputs):
     log = t.ab_log.unionByName(t.ab_log.withColumn("variant_id", F.concat("variant_id", F.lit("b"))))
     one = t.ab_log.filter("replies % 3 = 0").select(
         "post_id", "ts", (F.col("replies") + 1).alias("replies"), (F.col("likes") + 2).alias("likes"), F.lit(0.5).alias("ctr")
@@ -229,9 +228,27 @@ def record_metrics(t: Inputs):
         "post_id", (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"), (F.col("replies") + 5).alias("replies"),
         F.lit(None).cast("long").alias("likes"), F.lit(None).cast("double").alias("ctr"),
     )
+    return log, one, two
+
+
+@query("record_metrics", RECORDED, ["ab_log"], UPDATES)
+def record_metrics(t: Inputs):
+    log, one, two = log_and_updates(t)
     return experiments.record_metrics(log, one.unionByName(two)).select("post_id", "variant_id", "replies", "likes", "ctr")
 
 
+@query("updated_log", RECORDED, ["ab_log"], UPDATES)
+def updated_log(t: Inputs):
+    """A stored log, appended once by a run that is repeated, and twice updated from its own rows."""
+    log, *updates = log_and_updates(t)
+    table = VersionedTable(t.spark, staging_path(t.spark, "log"))
+    for _ in range(2):
+        table.append(log, run="enrolment")
+    for new in updates:
+        table.update(lambda rows, new=new: experiments.record_metrics(rows, new))
+    return table.read().select("post_id", "variant_id", "replies", "likes", "ctr")
+
+
 @query(
     "typed_ab_log",
     "SELECT post_id, replies, CASE WHEN replies % 4 = 0 THEN NULL ELSE likes END AS likes, ctr FROM ab_log",
