@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from audience_engine.plans.registry import Inputs, query
-from audience_engine.session import staging_path
+from audience_engine.session import cut_lineage, staging_path
 from audience_engine.sources.versions import VersionedTable
 from audience_engine.streaming import jobs
 
@@ -48,6 +48,28 @@ def stream_dedupe(t: Inputs):
     return drained(unique.drop("ts"), "stream-dedupe")
 
 
+@query(
+    "stream_first",
+    "SELECT event_id, epoch_us(ts) AS at FROM events WHERE ts < (SELECT max(ts) - INTERVAL 10 DAY FROM events)",
+)
+def stream_first(t: Inputs):
+    """Copies land before the earlier rows that they repeat; several batches."""
+    inbox = staging_path(t.spark, "copies-inbox")
+    events = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    copies = events.select("event_id", (F.col("ts") + F.expr("INTERVAL 12 HOURS")).alias("ts"))
+    day = F.floor(F.unix_timestamp("ts") / 86_400)
+    first = events.agg(F.min(day).alias("d")).first()["d"]
+    placed = copies.withColumn("_file", day - first).unionByName(events.withColumn("_file", day - first + 2))
+    slots = cut_lineage(placed.withColumn("_file", F.floor(F.col("_file") / 6)))
+    for slot in sorted(r[0] for r in slots.select("_file").distinct().collect()):  # one landing per six days
+        slots.filter(F.col("_file") == slot).select("event_id", "ts").coalesce(1).write.mode("append").parquet(inbox)
+    stream = t.spark.readStream.schema("event_id long, ts timestamp").option("maxFilesPerTrigger", 1).parquet(inbox)
+    kept = drained(jobs.stream_first(stream, "4 days", "ts", ("event_id",)), "first")
+    # the last days are still open when the stream ends
+    end = t.events.agg(F.max("ts").cast("timestamp") - F.expr("INTERVAL 10 DAYS")).scalar()
+    return kept.filter(F.col("ts") < end).select("event_id", F.unix_micros("ts").alias("at"))
+
+
 @query(
     "stream_approvals",
     """SELECT concat('u', CAST(user_id AS VARCHAR)) AS "user", concat('t', CAST(user_id % 7 AS VARCHAR)) AS topic,

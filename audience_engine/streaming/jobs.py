@@ -43,6 +43,25 @@ def stream_dedupe(
     return _timed(df, ts, delay).withColumn("_key", digest).dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 
 
+def stream_first(
+    df: DataFrame,
+    delay: str = DEFAULT_DELAY,
+    ts: str = "created_utc",
+    keys: Sequence[str] = ("comment_id", "source", "comment"),
+) -> DataFrame:
+    """The row of each key that is first by event time, whatever the order of arrival.
+
+    Rows of a key that are no more than ``delay`` apart are one session; its earliest row (of equal times the one with the
+    smallest hash) is held in the state, which Spark merges when a row between two sessions arrives late, and comes out once
+    the watermark has passed the session's end, ``delay`` after its last row.
+    """
+    digest = F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256)
+    row = F.struct(*df.columns)
+    timed = _timed(df, ts, delay).withColumn("_key", digest)
+    sessions = timed.groupBy("_key", F.session_window(ts, delay))
+    return sessions.agg(F.min_by(row, F.struct(ts, F.xxhash64(*df.columns))).alias("_row")).select("_row.*")
+
+
 def stream_kpis(
     df: DataFrame, delay: str = DEFAULT_DELAY, ts: str = "created_utc", platform: str = "platform",
     positive_above: float = 0.2,

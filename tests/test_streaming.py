@@ -93,3 +93,20 @@ def test_dedupe_state_expires(spark, tmp_path):
     got = sorted((r["comment_id"], r["text"] or "", r["created_utc"].day) for r in spark.read.parquet(out).collect())
     # a run ends by dropping what the watermark has passed: the comment of day 0 is new again on day 20, not on day 40
     assert got == sorted([("1", "t", 1), ("1", "t", 21), ("2", "", 11), ("2", "t", 11), ("2", "t", 10)])
+
+
+def test_first_by_event_time_in_any_order(spark, tmp_path):
+    inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    landings = [
+        [comment(1, 3), comment(2, 1), comment(2, 1, text="u")],
+        [comment(1, 1), comment(3, 4), comment(2, 2)],  # an earlier row of 1 comes late
+        [comment(1, 2, hour=5), comment(3, 4, text=None)],
+        [comment(9, 30)],
+        [comment(1, 40), comment(9, 60)],  # 1 comes again long after
+    ]
+    for n, rows in enumerate(landings):
+        land(spark, inbox, rows, f"2024-01-0{n + 1}")
+        stream = jobs.stream_first(jobs.stream_snapshots(spark, inbox, RAW_POST_COMMENT, 1), "4 days", keys=("comment_id", "text"))
+        jobs.run_available(stream, out, state)
+    got = sorted((r["comment_id"], r["text"] or "", (r["created_utc"].replace(tzinfo=None) - DAY).days) for r in spark.read.parquet(out).collect())
+    assert got == sorted([("1", "t", 1), ("2", "t", 1), ("2", "u", 1), ("3", "t", 4), ("3", "", 4), ("9", "t", 30), ("1", "t", 40)])
