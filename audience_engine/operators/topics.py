@@ -11,7 +11,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -98,7 +97,8 @@ def unit_weights(df: DataFrame, weights: DataFrame, key: str, terms: str = "term
     The terms are counted inside the row and joined to their weights, where adaptive execution splits the terms that
     very many documents hold; the norm is summed per document. No vocabulary passes the driver, and none is cut.
     """
-    pairs = df.select(key, *carry, F.inline(counted_in_row(terms))).join(weights, "term").withColumn("w", F.col("tf") * F.col("idf"))
+    counted = df.select(key, *carry, F.inline(counted_in_row(terms)).alias("term", "_times"))
+    pairs = counted.join(weights, "term").withColumn("w", F.col("_times") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))  # the terms of one document
     return pairs.select(key, *carry, *weights.columns, (F.col("w") / norm).alias("w"))
 
@@ -351,6 +351,93 @@ def fit_lsa(
     return df.withColumn(out, F.arrow_udf(project, "array<double>")(sparse["indices"], sparse["values"]))
 
 
+def _matrix(vectors: pa.Array) -> np.ndarray:
+    """Arrays of one length as the rows of a matrix."""
+    return np.asarray(vectors.flatten()).astype("float64").reshape(len(vectors), -1)
+
+
+def _first_centers(rows: DataFrame, vec: str, k: int, seeds: Sequence[int], per_cluster: int = 50) -> np.ndarray:
+    """Centres (starts x k x dims) to begin with: k-means++ on ``per_cluster * k`` rows (at least 2,000), those with the least hashes.
+
+    The sample only says where the steps begin; these go over all rows.
+    """
+    chosen = rows.orderBy(F.xxhash64(vec), vec).limit(max(2000, per_cluster * k)).select(vec).toArrow()
+    sample = _matrix(chosen.column(0).combine_chunks())
+    norms = (sample**2).sum(axis=1)
+
+    def spread(seed: int) -> np.ndarray:
+        draw = np.random.default_rng(seed)
+        taken = [int(draw.integers(len(sample)))]
+        least = np.full(len(sample), np.inf)
+        while len(taken) < k:
+            own = sample[taken[-1]]
+            least = np.minimum(least, np.maximum(norms - 2 * sample @ own + own @ own, 0.0))
+            total = least.sum()
+            taken.append(int(draw.choice(len(sample), p=least / total)) if total > 0 else int(draw.integers(len(sample))))
+        return sample[taken]
+
+    return np.stack([spread(seed) for seed in seeds])
+
+
+def _step(rows: DataFrame, vec: str, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sums, sizes, costs) by start and cluster when each row goes to its nearest centre: one pass for all starts.
+
+    Rows are added up by their ``_block`` and cluster; one small row per block and cluster is shuffled by cluster and added in
+    the order of the blocks, so the sums don't depend on the tasks. Only starts x k of them reach the driver.
+    """
+    starts, k, dims = centers.shape
+    shared = rows.sparkSession.sparkContext.broadcast(centers.reshape(starts * k, dims))
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        norms = (own**2).sum(axis=1)
+        totals, last = np.zeros((starts * k, dims + 2)), None
+
+        def summed(block: int) -> pa.RecordBatch:
+            some = np.flatnonzero(totals[:, dims]).tolist()
+            columns = [pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int32()), pa.array([totals[c].tobytes() for c in some], pa.binary())]
+            totals[:] = 0.0
+            return pa.RecordBatch.from_arrays(columns, names=["center", "block", "sums"])
+
+        for batch in batches:
+            blocks = np.asarray(batch.column("_block"))
+            edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+            for low, high in zip(edges, edges[1:], strict=False):
+                if last is not None and high > low and blocks[low] != last:
+                    yield summed(last)
+                for at in range(low, high, 4096):
+                    last = int(blocks[at])
+                    x = _matrix(batch.column(vec).slice(at, min(4096, high - at)))
+                    near = norms - 2.0 * x @ own.T
+                    size = (x**2).sum(axis=1)
+                    for s in range(starts):
+                        part = near[:, s * k : (s + 1) * k]
+                        cluster = part.argmin(axis=1)
+                        chosen = np.zeros((k, len(x)))
+                        chosen[cluster, np.arange(len(x))] = 1.0
+                        cost = np.maximum(part[np.arange(len(x)), cluster] + size, 0.0)
+                        totals[s * k : (s + 1) * k] += np.column_stack([chosen @ x, chosen.sum(axis=1), chosen @ cost])
+        if last is not None:
+            yield summed(last)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for center, data in zip(batch.column("center").to_pylist(), batch.column("sums").to_pylist(), strict=True):
+                totals[center] = totals.get(center, 0.0) + np.frombuffer(data)
+        columns = [pa.array(list(totals), pa.int32()), pa.array([t.tobytes() for t in totals.values()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["center", "sums"])
+
+    partials = rows.select(vec, "_block").mapInArrow(partial, "center int, block int, sums binary")
+    added = partials.repartition("center").sortWithinPartitions("center", "block").mapInArrow(add, "center int, sums binary")
+    out = np.zeros((starts * k, dims + 2))
+    for center, sums in added.collect():  # starts x k rows
+        out[center] = np.frombuffer(sums)
+    shared.unpersist()
+    out = out.reshape(starts, k, dims + 2)
+    return out[:, :, :dims], out[:, :, dims], out[:, :, dims + 1]
+
+
 def fit_clusters(
     df: DataFrame,
     k: int,
@@ -363,19 +450,35 @@ def fit_clusters(
 ) -> tuple[DataFrame, np.ndarray]:
     """Assign each row to one of ``k`` k-means clusters; also the cluster centres.
 
-    Of ``starts`` fits, each run until no centre moves by more than ``tolerance`` (at most ``most`` steps), the one with the
-    least cost is kept. Every row gets a cluster, a zero vector too.
+    All ``starts`` are moved in the same passes over the rows, each until no centre moves by more than ``tolerance`` (at
+    most ``most`` steps); the one with the least cost is kept. A cluster without rows keeps its centre. Every row gets the
+    nearest centre, the first of equals, a zero vector too.
     """
     array = dict(df.dtypes)[vec].startswith("array")
-    ready = df.withColumn("_features", array_to_vector(F.col(vec).cast("array<double>")) if array else F.col(vec))
-    features = ready.select("_features")
-    fits = [
-        KMeans(k=k, seed=seed + i, featuresCol="_features", predictionCol=out, maxIter=most, tol=tolerance).fit(features)
-        for i in range(starts)
-    ]
+    ready = df.withColumn("_features", F.col(vec) if array else vector_to_array(vec))
+    rows = cut_lineage(ready.select("_features", F.spark_partition_id().alias("_block")))
+    centers = _first_centers(rows, "_features", k, [seed + i for i in range(starts)])
+    cost, moving = np.full(starts, np.inf), np.arange(starts)
+    for _ in range(most):
+        sums, sizes, costs = _step(rows, "_features", centers[moving])
+        cost[moving] = costs.sum(axis=1)
+        new = np.where(sizes[:, :, None] > 0, sums / np.maximum(sizes, 1.0)[:, :, None], centers[moving])
+        far = np.sqrt(((new - centers[moving]) ** 2).sum(axis=2)).max(axis=1)
+        centers[moving] = new
+        moving = moving[far > tolerance]
+        if not len(moving):
+            break
     # costs that differ in their last digits only are equal: the first of those fits, so that reruns number clusters alike
-    model = min(fits, key=lambda m: float(f"{m.summary.trainingCost:.9g}"))
-    return model.transform(ready).drop("_features"), np.vstack(model.clusterCenters())
+    best = centers[min(range(starts), key=lambda s: float(f"{cost[s]:.9g}"))]
+    shared = df.sparkSession.sparkContext.broadcast(best)
+
+    def nearest(vectors: pa.Array) -> pa.Array:
+        own = shared.value
+        norms = (own**2).sum(axis=1)
+        parts = [(norms - 2.0 * _matrix(vectors.slice(at, 4096)) @ own.T).argmin(axis=1) for at in range(0, len(vectors), 4096)]
+        return pa.array(np.concatenate(parts) if parts else np.empty(0), pa.int32())
+
+    return ready.withColumn(out, F.arrow_udf(nearest, "int")("_features")).drop("_features"), best
 
 
 def top_terms(assigned: DataFrame, vocabulary: DataFrame, label: str = "topic", vec: str = "tfidf", k: int = 6) -> DataFrame:

@@ -11,7 +11,7 @@ from audience_engine.functions.scoring import cosine_distance
 from audience_engine.operators import model, topics
 from audience_engine.plans import expected
 from audience_engine.plans.registry import Inputs, query, sql_list, stripped
-from audience_engine.session import cut_lineage
+from audience_engine.session import cut_lineage, laid_out
 from audience_engine.settings import Settings
 
 CFG = Settings()
@@ -238,6 +238,31 @@ def kept_clusters_fallback(t: Inputs):
     return topics.keep_clusters(sizes, 10**9, fallback=4, label="label")
 
 
+@query(
+    "embedding_clusters",
+    """SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS not_nearest, true AS settled, CAST(10 AS BIGINT) AS clusters FROM embedded_docs""",
+    ["embedded_docs"],
+)
+def embedding_clusters(t: Inputs):
+    """Every row is in the cluster of its nearest centre, and the centres are the means of their rows."""
+    rows = cut_lineage(clustered(t).select("doc_id", F.col("embedding").cast("array<double>").alias("embedding")))
+    placed, centers = topics.fit_clusters(laid_out(rows, "doc_id"), 10, "embedding")
+    placed = cut_lineage(placed)
+
+    def far(center):
+        given = F.array(*[F.lit(float(x)) for x in center])
+        return F.aggregate(F.zip_with("embedding", given, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
+
+    measured = placed.withColumn("_far", F.array(*[far(c) for c in centers]))
+    not_nearest = F.count_if(F.element_at("_far", F.col("topic") + 1) > F.array_min("_far") + 1e-6).alias("not_nearest")
+    means = topics.centroids(placed, "embedding", "topic").select("topic", F.posexplode("centroid").alias("at", "mean"))
+    given = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centers])
+    moved = F.abs(F.get(F.get(given, F.col("topic")), F.col("at")) - F.col("mean"))
+    settled = means.agg(F.struct((F.max(moved) <= 1e-3).alias("settled"), F.count_distinct("topic").alias("clusters")).alias("s")).scalar()
+    found = measured.agg(F.count("*").alias("n"), not_nearest).withColumn("_s", settled)
+    return found.select("n", "not_nearest", "_s.settled", "_s.clusters")
+
+
 # --- models: their rows here, what is exact about them by SQL, more invariants in the tests ------------------------------
 
 

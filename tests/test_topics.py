@@ -1,4 +1,5 @@
 import hashlib
+from collections import Counter
 import math
 
 import numpy as np
@@ -7,6 +8,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from audience_engine.operators import model, topics
+from audience_engine.session import laid_out
 from audience_engine.settings import Settings
 
 THEMES = {
@@ -188,3 +190,45 @@ def test_virality_beats_the_mean(spark, tmp_path):
     direct = model.score_virality(df, fitted)
     assert [r["prediction"] for r in scored.collect()] == [r["prediction"] for r in direct.collect()]
     assert "prediction" in scored.columns and "_features" not in scored.columns
+
+
+def test_clusters_are_found_whatever_the_partitions(spark):
+    draw = np.random.default_rng(3)
+    middles = draw.normal(size=(6, 5)) * 20
+    rows = [(i, (middles[i % 6] + draw.normal(size=5)).tolist()) for i in range(600)] + [(600, [0.0] * 5), (601, [0.0] * 5)]
+    df = spark.createDataFrame(rows, "id int, v array<double>")
+    placed, centers = topics.fit_clusters(laid_out(df, "id"), 6, "v", starts=3)
+    got = {r["id"]: r["topic"] for r in placed.collect()}
+    x = np.array([r[1] for r in rows])
+    far = ((x[:, None] - centers[None]) ** 2).sum(axis=2)
+    assert [got[i] for i, _ in rows] == far.argmin(axis=1).tolist()
+    assert len({got[i] for i in range(6)}) == 6 and all(got[i] == got[i % 6] for i in range(600))
+    # a further full step moves nothing and costs no less
+    label = far.argmin(axis=1)
+    means = np.stack([x[label == c].mean(axis=0) for c in range(6)])
+    assert np.abs(means - centers).max() < 1e-3
+    again, same = topics.fit_clusters(laid_out(df.repartition(7), "id"), 6, "v", starts=3)
+    assert (same == centers).all() and {r["id"]: r["topic"] for r in again.collect()} == got
+    # more centres than different rows: all rows have one, those without rows stay
+    few, _ = topics.fit_clusters(spark.createDataFrame([(1, [1.0]), (2, [1.0]), (3, [2.0])], "id int, v array<double>"), 3, "v", starts=2)
+    assert len({r["topic"] for r in few.filter("id < 3").collect()}) == 1 and few.count() == 3
+
+
+def test_weights_of_more_terms_than_the_vocabulary(spark):
+    texts = ["apple banana cherry apple", "banana durian", "cherry", None, "elder fig grape " * 3]
+    rows = topics.document_terms(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), "text", ())
+    weights = topics.term_dictionary(topics.term_idf(rows, max_share=1.0))
+    terms = {r["term"]: (r["index"], r["idf"]) for r in weights.collect()}
+    assert sorted(i for i, _ in terms.values()) == list(range(len(terms))) and len(terms) > 5
+    found = {r["id"]: r for r in topics.sparse_rows(topics.unit_weights(rows, weights, "id"), "id").collect()}
+    assert sorted(found) == [0, 1, 2, 4]
+    small = topics.fit_tfidf(rows, Settings(topic_vocabulary=5))
+    assert len(small.vocabulary) == 5
+    for i, text in enumerate(texts):
+        words = (text or "").split()
+        counted = Counter(words + [f"{a} {b}" for a, b in zip(words, words[1:])])
+        plain = {terms[w][0]: n * terms[w][1] for w, n in counted.items()}
+        norm = np.sqrt(sum(v * v for v in plain.values()))
+        if plain:
+            assert found[i]["indices"] == sorted(plain)
+            assert np.allclose(found[i]["values"], [plain[k] / norm for k in sorted(plain)])
