@@ -5,13 +5,13 @@ the punctuation at the end, or ``=`` for a word equal to the one before). Word a
 ``2**BITS`` features; each of the four kinds sums to 1 in a text, so long and short texts compare. A score is the logistic
 of a sparse dot product.
 
-Training takes at most ``max_rows`` labelled rows (the documented bound; the ids with the smallest hashes). They are dealt
-into ``SHARDS`` tasks; in each of ``ROUNDS`` rounds every task goes through its rows once from the common state, and the
-states are averaged: ``SHARDS`` x 2 x ``2**BITS`` floats at a time on the driver, whatever the size of the corpus.
+Training takes at most ``max_rows`` different labelled rows (the documented bound; those with the smallest hashes). They are dealt
+evenly into ``SHARDS`` tasks; in each of ``ROUNDS`` rounds every task goes through its rows once from the common state, and the
+states are averaged by their numbers of rows: ``SHARDS`` x 2 x ``2**BITS`` floats at a time on the driver, whatever the size of the corpus.
 Scoring is one pass over the texts without a shuffle.
 
 Defined cases: a null or empty text has no features and gets the logistic of the intercept; null labels and ids without a
-document teach nothing; without labelled rows every score is 0.5; rows that repeat an id are scored each for itself; other
+document teach nothing; equal rows teach once; rows of one hash are taught in the order of their ids and labels; without labelled rows every score is 0.5; rows that repeat an id are scored each for itself; other
 columns are ignored.
 """
 
@@ -23,7 +23,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from audience_engine.llm.common import mixed, utf8
+from audience_engine.llm.common import mixed, sliced, utf8
+from audience_engine.session import cut_lineage
 
 BITS = 18
 MAX_ROWS = 20_000
@@ -102,12 +103,21 @@ def held_out(doc_id: str, parts: int = 5, part: int = 0) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS) -> np.ndarray:
-    """Weights (the intercept last) from rows of ``docs`` (``doc_id``, ``text``) and ``labels`` (``doc_id``, ``label``)."""
+    """Weights (the intercept last) from rows of ``docs`` (``doc_id``, ``text``) and ``labels`` (``doc_id``, ``label``).
+
+    Of the labelled ids that ``docs`` holds, ``max_rows`` may teach, and of their different rows as many, those with the
+    least hashes; equal rows teach once. Each goes to one of ``SHARDS`` even shards by its hash.
+    """
     spark = docs.sparkSession
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("double").alias("_label"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "_label").limit(max_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # max_rows rows
-    rows = rows.repartition(SHARDS, F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(SHARDS))).sortWithinPartitions(F.xxhash64("doc_id", F.lit(11)), "doc_id", "text", "_label")
+    there = known.join(docs.select("doc_id"), "doc_id", "left_semi")
+    chosen = cut_lineage(there.orderBy(F.xxhash64("doc_id"), "doc_id", "_label").limit(max_rows))
+    taught = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("_hash", F.xxhash64("doc_id", "text"))  # max_rows ids
+    taught = cut_lineage(taught.dropDuplicates(["_hash", "doc_id", "_label"]))
+    first = taught.select("_hash").distinct().orderBy("_hash").limit(max_rows)
+    shard = F.pmod(F.xxhash64("_hash"), F.lit(SHARDS)).cast("int")
+    rows = cut_lineage(taught.join(F.broadcast(first), "_hash", "left_semi").withColumn("_shard", shard))  # max_rows hashes
+    rows = rows.repartitionById(SHARDS, "_shard").sortWithinPartitions("_hash", "doc_id", "_label")
     size = (1 << BITS) + 1
     z, n = np.zeros(size), np.zeros(size)
     for _ in range(ROUNDS):
@@ -116,17 +126,18 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows:
         def run(batches, state=state):
             own_z, own_n = (x.astype(np.float64) for x in state.value)
             seen = 0
-            for batch in batches:
+            for batch in sliced(batches, 256):
                 texts, marks = utf8(batch.column("text")), batch.column("_label").to_pylist()
                 ftrl_pass([(*_sparse(t), y) for t, y in zip(texts, marks, strict=True)], own_z, own_n)
                 seen += len(texts)
             if seen:
-                yield pa.RecordBatch.from_pydict({"z": [own_z.astype(np.float32).tobytes()], "n": [own_n.astype(np.float32).tobytes()]})
+                yield pa.RecordBatch.from_pydict({"z": [own_z.astype(np.float32).tobytes()], "n": [own_n.astype(np.float32).tobytes()], "rows": [seen]})
 
-        states = rows.mapInArrow(run, "z binary, n binary").collect()
+        states = rows.mapInArrow(run, "z binary, n binary, rows long").collect()
         if not states:
             break
-        z, n = (np.mean([np.frombuffer(s[k], np.float32) for s in states], axis=0, dtype=np.float64) for k in ("z", "n"))
+        share = np.array([s["rows"] for s in states]) / sum(s["rows"] for s in states)
+        z, n = (sum(w * np.frombuffer(s[k], np.float32).astype(np.float64) for w, s in zip(share, states, strict=True)) for k in ("z", "n"))
         state.unpersist()
     return weights_of(z, n)
 

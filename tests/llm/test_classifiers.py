@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from audience_engine.llm import language, quality_classifier as qc
 
@@ -44,6 +45,24 @@ def labelled(spark, n=120):
     return docs, labels
 
 
+def test_shards_are_even_and_a_hot_id_does_not_crowd_out_others(spark, monkeypatch):
+    docs, labels = labelled(spark, 400)
+    rows = []
+    monkeypatch.setattr(qc, "ROUNDS", 1)
+    kept = qc.cut_lineage
+    monkeypatch.setattr(qc, "cut_lineage", lambda df: rows.append(kept(df)) or rows[-1])
+    alike = spark.createDataFrame([(7, "one text of one id, very often")] * 10_000, "doc_id long, text string")
+    weights = qc.train(docs.unionByName(alike), labels, max_rows=300)
+    taught = rows[-1].groupBy("_shard").count().collect()
+    assert len(taught) == qc.SHARDS and max(r["count"] for r in taught) <= 3 * min(r["count"] for r in taught)
+    assert sum(r["count"] for r in taught) <= 300 and rows[-1].filter("doc_id = 7").count() <= 2
+    dealt = rows[-1].repartitionById(qc.SHARDS, "_shard").rdd.glom().map(len).collect()
+    assert sorted(dealt) == sorted(r["count"] for r in taught)
+    assert np.count_nonzero(weights)
+    clash = docs.withColumns({"_label": F.lit("x"), "_hash": F.lit(1), "quality": F.lit(0), "score": F.lit("y")})
+    assert (qc.train(clash, labels) == qc.train(docs, labels)).all() and qc.score(clash, weights).columns == ["doc_id", "score"]
+
+
 def test_classifier_learns_and_scores_every_row(spark):
     docs, labels = labelled(spark)
     weights = qc.train(docs, labels)
