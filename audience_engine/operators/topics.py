@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from audience_engine.functions.drafts import topic_label
 from audience_engine.functions.scoring import cosine_distance, magnitude_bin
 from audience_engine.functions.text import evaluate_once, normalise_text, not_removed, tokens, with_bigrams
+from audience_engine.operators.density import density_clusters
 from audience_engine.operators.joining import dense_index, lookup_join, top_per_group
 from audience_engine.session import cut_lineage, laid_out
 from audience_engine.settings import Settings
@@ -584,6 +585,22 @@ def _center_distances(centers: np.ndarray) -> Column:
     return F.pandas_udf(measure, "array<double>")
 
 
+def _named_topics(assigned: DataFrame, source: str, text: str, key: str, settings: Settings) -> Topics:
+    """Members and summary of rows with ``topic`` (-1: outlier) and ``topic_prob``; a name is the seven most distinctive words."""
+    termed = document_terms(assigned.filter("topic >= 0").select("topic", text), text, settings.stop_words, bigrams=False)
+    words = class_tfidf(termed, "topic").groupBy("topic").agg(F.sort_array(F.collect_list(F.struct("rank", "term"))).alias("_w"))
+    names = cut_lineage(words.select("topic", F.array_join(F.transform("_w", lambda w: w["term"]), ", ").alias("_name")))
+    name = F.when(F.col("topic") < 0, F.lit("outlier")).otherwise(F.coalesce("_name", F.col("topic").cast("string")))
+    members = lookup_join(assigned, names, "topic").select(
+        key, "topic", F.round(F.when(F.col("topic") < 0, F.lit(0.0)).otherwise(F.col("topic_prob")), 6).alias("topic_prob"),
+        name.alias("topic_name"), F.col(text).alias("document"), F.lit(source).alias("source"),
+    )
+    summary = members.groupBy("topic", "topic_name", "source").agg(F.count("*").alias("Count")).select(
+        F.col("topic").alias("Topic"), "Count", F.col("topic_name").alias("Name"), "source"
+    )
+    return Topics(members, summary)
+
+
 def embedding_topics(
     df: DataFrame,
     source: str,
@@ -621,18 +638,24 @@ def embedding_topics(
     assigned = lookup_join(measured, cut_lineage(limits), "_cluster", "inner").withColumn(
         "topic", F.when(outlier, F.lit(-1)).otherwise(F.col("_cluster"))
     )
-    termed = document_terms(assigned.filter("topic >= 0").select("topic", text), text, settings.stop_words, bigrams=False)
-    words = class_tfidf(termed, "topic").groupBy("topic").agg(F.sort_array(F.collect_list(F.struct("rank", "term"))).alias("_w"))
-    names = cut_lineage(words.select("topic", F.array_join(F.transform("_w", lambda w: w["term"]), ", ").alias("_name")))
-    name = F.when(F.col("topic") < 0, F.lit("outlier")).otherwise(F.coalesce("_name", F.col("topic").cast("string")))
-    members = lookup_join(assigned, names, "topic").select(
-        key, "topic", F.round(F.when(F.col("topic") < 0, F.lit(0.0)).otherwise(F.col("topic_prob")), 6).alias("topic_prob"),
-        name.alias("topic_name"), F.col(text).alias("document"), F.lit(source).alias("source"),
-    )
-    summary = members.groupBy("topic", "topic_name", "source").agg(F.count("*").alias("Count")).select(
-        F.col("topic").alias("Topic"), "Count", F.col("topic_name").alias("Name"), "source"
-    )
-    return Topics(members, summary)
+    return _named_topics(assigned, source, text, key, settings)
+
+
+def density_topics(
+    df: DataFrame, source: str, vec: str, text: str, key: str, settings: Settings, min_size: int = 50, **options
+) -> Topics:
+    """Topics of one source from the places where its embeddings lie densely; all other rows are the outlier topic -1.
+
+    The number of topics follows from the data (``density_clusters``, which takes ``options``); they are named as in
+    ``embedding_topics``. A row's probability is its strength in its cluster.
+    """
+    assigned = density_clusters(df.select(key, text, vec), vec, min_size=min_size, **options)
+    return _named_topics(cut_lineage(assigned), source, text, key, settings)
+
+
+def build_density_topics(sources: dict[str, DataFrame], vec: str, text: str, key: str, settings: Settings, **options) -> Topics:
+    """Density topics of each source on its own, united."""
+    return _united([density_topics(df, name, vec, text, key, settings, **options) for name, df in sources.items() if not df.isEmpty()])
 
 
 def build_embedding_topics(sources: dict[str, DataFrame], vec: str, text: str, key: str, k: int, settings: Settings, **options) -> Topics:

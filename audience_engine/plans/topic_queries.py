@@ -306,9 +306,12 @@ def topic_members(t: Inputs):
     return found.join(faults[0], "source", "left").join(faults[1], "source", "left").fillna(0)
 
 
+def embedded_rows(df):
+    return df.withColumn("source", F.when(F.col("doc_id") % 2 == 0, "youtube").otherwise("reddit"))
+
+
 def embedded(t: Inputs):
-    source = F.when(F.col("doc_id") % 2 == 0, "youtube").otherwise("reddit")
-    return by_source(t.embedded_docs.withColumn("source", source))
+    return by_source(embedded_rows(t.embedded_docs))
 
 
 @query("embedding_topics")
@@ -328,6 +331,38 @@ def embedding_members(t: Inputs):
     return members.join(built.summary.groupBy("source").agg(F.sum("Count").alias("summed")), "source")
 
 
+def spread_out(t: Inputs):
+    """The embeddings of each label moved to a place of their own, and every seventeenth one thrown far out."""
+    moved = F.transform("embedding", lambda v, i: F.when(i == F.col("label") % 64, v.cast("double") + 4).otherwise(v.cast("double")))
+    thrown = F.transform("embedding", lambda v: v.cast("double") * 6)
+    return t.embedded_docs.withColumn("place", F.when(F.col("doc_id") % 17 == 0, thrown).otherwise(moved))
+
+
+@query(
+    "density_topics",
+    """SELECT doc_id, CASE WHEN n >= 10 THEN first ELSE -1 END AS first_of_topic, CASE WHEN n >= 10 THEN n ELSE -1 END AS size FROM (
+      SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN -1 ELSE count(*) OVER w END AS n, min(doc_id) OVER w AS first
+      FROM embedded_docs WINDOW w AS (PARTITION BY doc_id % 2, CASE WHEN doc_id % 17 = 0 THEN -1 ELSE label END))""",
+    ["embedded_docs"],
+)
+def planted_density_topics(t: Inputs):
+    """Labels that lie apart are the topics of each source, rows thrown out are outliers; the number of topics is not given."""
+    built = topics.build_density_topics(by_source(embedded_rows(spread_out(t))), "place", "text", "doc_id", CFG, min_size=10)
+    members = cut_lineage(built.members.select("source", "topic", "doc_id"))
+    found = members.groupBy("source", "topic").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    outlier = F.col("topic") < 0
+    return members.join(found, ["source", "topic"]).select(
+        "doc_id", F.when(outlier, F.lit(-1)).otherwise(F.col("first")).cast("long").alias("first_of_topic"),
+        F.when(outlier, F.lit(-1)).otherwise(F.col("n")).cast("long").alias("size"),
+    )
+
+
+@query("density_members")
+def density_members(t: Inputs):
+    """The embeddings as they are, every row, with their topic by density."""
+    return topics.build_density_topics(embedded(t), "embedding", "text", "doc_id", CFG, min_size=10).members.drop("document")
+
+
 def virality(t: Inputs, rounds: int):
     rows = t.lineitem.withColumnRenamed("l_extendedprice", "target")
     fitted, error = model.train_virality(rows.drop("l_orderkey", "l_linenumber"), rounds=rounds)

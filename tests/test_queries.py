@@ -4,7 +4,7 @@ import __spark_entry__ as contract
 from tools.check import compare
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"topics", "topics_summary", "embedding_topics", "virality_scores"}
+ROWS_ONLY = {"topics", "topics_summary", "embedding_topics", "virality_scores", "density_members"}
 #: This library's own queries; those of the optional folder have their own tests.
 OWN = {n for n, f in contract.queries().items() if not f.__module__.startswith(("audience_engine.llm", "corpus_pipeline"))}
 CHECKED = sorted(OWN & set(contract.oracle_sql()))
@@ -40,7 +40,7 @@ def test_caps_cut_before_the_shuffle(spark, name):
 
 
 #: Their plans are those of the tables that they have written.
-WRITERS = {"topic_members", "embedding_members", "virality_fit"}
+WRITERS = {"density_topics", "topic_members", "embedding_members", "virality_fit"}
 
 
 @pytest.mark.parametrize("name", [n for n in CHECKED if n not in WRITERS])
