@@ -8,6 +8,7 @@ from audience_engine.functions import clock, scoring, text
 from audience_engine.operators import conform, kpis, quality, selection
 from audience_engine.plans import expected
 from audience_engine.plans.registry import Inputs, any_in, query, sql_list, stripped
+from audience_engine.session import cut_lineage
 from audience_engine.settings import Settings
 from audience_engine.sources import sinks
 
@@ -392,7 +393,27 @@ def recent_comments(t: Inputs):
     DEDUPED,
 )
 def stage_counts(t: Inputs):
-    raw = united(t)
-    kept = selection.keep_last_n_days(conform.dedupe_comments(raw, [F.col("pull_no")]), CFG.as_of, CFG.window_days)
-    before = raw.select("pull_no").agg(F.count("*").alias("before"))
-    return before.select(F.lit("merged").alias("stage"), "before", kept.agg(F.count("*")).scalar().alias("after"))
+    """Both counts are taken while the merged rows are written."""
+    raw, before = quality.observe_counts(united(t), "before")
+    first = conform.dedupe_comments(raw, [F.col("pull_no")])
+    kept, after = quality.observe_counts(selection.keep_last_n_days(first, CFG.as_of, CFG.window_days), "after")
+    cut_lineage(kept)
+    row = ("merged", before.get["rows"], after.get["rows"])
+    return t.spark.createDataFrame([row], "stage string, before long, after long")
+
+
+@query(
+    "observed_dq_log",
+    f"""SELECT p.platform, r.reason, CAST(count(f.reason) AS BIGINT) AS count, any_value((SELECT count(*) FROM cleaned)) AS kept
+    FROM (VALUES ('youtube'), ('reddit')) p(platform)
+    CROSS JOIN (SELECT unnest([{sql_list(expected.DQ_REASONS)}]) AS reason) r
+    LEFT JOIN failed f ON f.platform = p.platform AND f.reason = r.reason GROUP BY 1, 2""",
+    ["comments"],
+    SCORED + FAILED,
+)
+def observed_dq_log(t: Inputs):
+    """The quality log that a run counts while it writes its cleaned rows, and the number of those."""
+    rows, log = quality.observe_dq(t.comments, CFG, PLATFORMS, platform="source")
+    kept = cut_lineage(rows.select("comment_id")).agg(F.count("*").alias("kept"))
+    counts = [(*name.split("|"), n) for name, n in log.get.items() if "|" in name]
+    return t.spark.createDataFrame(counts, "platform string, reason string, count long").withColumn("kept", kept.scalar())

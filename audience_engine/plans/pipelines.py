@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from audience_engine import vocabulary as voc
 from audience_engine.functions import clock, drafts
+from audience_engine.functions.text import is_english
 from audience_engine.operators import conform, experiments, kpis, quality, selection, sentiment, topics, variants
 from audience_engine.schemas import DQ_LOG, KPI, RAW_SCHEMAS
 from audience_engine.session import cut_lineage
@@ -49,8 +50,11 @@ def collect_video_comments(
 ) -> DataFrame:
     """Comments of the selected videos in listing order, capped by the video's stream, with the video's details.
 
+    With ``settings.english_only`` other comments are passed over and don't count towards the cap.
     ``selected`` is bounded by ``settings.max_videos``; it is computed once and joined once.
     """
+    if settings.english_only:
+        comments = comments.filter(is_english("text"))
     marketing = settings.comments_per_marketing_video
     cap = F.when(F.col("stream") == "marketing", marketing).otherwise(settings.comments_per_popular_video)
     detailed = selection.attach_video_meta(comments, selected, how="inner", keep=("stream",))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from dataclasses import replace
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from audience_engine.functions import clock
 from audience_engine.operators import conform, selection
 from audience_engine.plans import pipelines
+from audience_engine.plans.comment_queries import ENGLISH
 from audience_engine.plans.registry import Inputs, query
 from audience_engine.settings import Settings
 from audience_engine.sources import payloads
@@ -256,11 +259,17 @@ placed AS (SELECT comment_id, CAST(comment_id % 7 + 1 AS BIGINT) AS group_id, cr
   row_number() OVER (PARTITION BY comment_id % 7 ORDER BY (comment_id * 7919) % 10007, comment_id) AS place FROM comments)"""
 
 
-def listing(t: Inputs):
-    """Comments in few groups, with a place in their group's listing that is not the order of their ids."""
-    place = Window.partitionBy(F.col("comment_id") % 7).orderBy((F.col("comment_id") * 7919) % 10007, "comment_id")
-    group = (F.col("comment_id") % 7 + 1).cast("long")
-    return t.comments.withColumns({"group_id": group, "place": F.row_number().over(place)})
+def comment_pages(t: Inputs, shown: Column):
+    """A payload page for each comment of a video's listing; the page's number follows the listing's order, not the ids'."""
+    item = F.struct(
+        F.col("comment_id").cast("string").alias("id"),
+        F.struct(F.struct(F.struct(shown.alias("textDisplay")).alias("snippet")).alias("topLevelComment")).alias("snippet"),
+    )
+    number = (F.col("comment_id") * 7919) % 10007 * 10_000_000_000 + F.col("comment_id")
+    return t.comments.select(
+        (F.col("comment_id") % 7 + 1).cast("long").alias("video_id"), number.alias("page"),
+        F.to_json(F.struct(F.array(item).alias("items"))).alias("payload"),
+    )
 
 
 @query(
@@ -271,22 +280,29 @@ def listing(t: Inputs):
     SHUFFLED,
 )
 def comments_capped(t: Inputs):
-    item = F.struct(
-        F.col("comment_id").cast("string").alias("id"),
-        F.struct(F.struct(F.struct(F.md5("text").alias("textDisplay")).alias("snippet")).alias("topLevelComment")).alias("snippet"),
-    )
-    # a page holds 50 comments of one video, in listing order
-    pages = (
-        listing(t).groupBy(F.col("group_id").alias("video_id"), F.floor((F.col("place") - 1) / 50).alias("page"))
-        .agg(F.sort_array(F.collect_list(F.struct("place", item.alias("it")))).alias("rows"))
-        .select("video_id", "page", F.to_json(F.struct(F.transform("rows", lambda r: r["it"]).alias("items"))).alias("payload"))
-    )
-    flat = payloads.flatten_comment_threads(pages)
+    flat = payloads.flatten_comment_threads(comment_pages(t, F.md5("text")))
     return pipelines.collect_video_comments(flat, t.videos, CFG).select(
         F.col("comment_id").cast("long").alias("comment_id"), "video_id", "category"
     )
 
 
+@query(
+    "english_comments_capped",
+    """SELECT comment_id, group_id AS video_id FROM (SELECT c.comment_id, c.group_id,
+      row_number() OVER (PARTITION BY c.group_id ORDER BY c.place) AS place
+      FROM placed c JOIN comments t ON t.comment_id = c.comment_id AND """ + ENGLISH + """) c
+    JOIN videos v ON v.video_id = c.group_id WHERE c.place <= CASE WHEN v.stream = 'marketing' THEN 50 ELSE 20 END""",
+    ["comments", "videos"],
+    SHUFFLED,
+)
+def english_comments_capped(t: Inputs):
+    """A run that collects English comments only: the others don't use up a video's cap."""
+    flat = payloads.flatten_comment_threads(comment_pages(t, F.col("text")))
+    return pipelines.collect_video_comments(flat, t.videos, replace(CFG, english_only=True)).select(
+        F.col("comment_id").cast("long").alias("comment_id"), "video_id"
+    )
+
+
 @query(
     "post_comments_capped",
     """SELECT post_id, comment_id FROM (SELECT comment_id % 3 AS post_id, comment_id,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from audience_engine import vocabulary as voc
@@ -284,9 +286,6 @@ def topics_summary(t: Inputs):
     return source_topics(t).summary
 
 
-SMALL = Settings(topic_min_size=1, topic_dims=10, topic_vocabulary=5000, topic_starts=1)
-
-
 @query(
     "topic_members",
     f"""SELECT source, count(*) AS n, count(DISTINCT comment_id) AS ids, CAST(0 AS BIGINT) AS wrong_counts, CAST(0 AS BIGINT) AS strangers
@@ -294,8 +293,11 @@ SMALL = Settings(topic_min_size=1, topic_dims=10, topic_vocabulary=5000, topic_s
     ["comments"],
 )
 def topic_members(t: Inputs):
-    """Every kept document is in one topic; the summary's counts are the members'; representatives are members of their topic."""
-    built = source_topics(t, SMALL)
+    """Every kept document is in one topic; the summary's counts are the members'; representatives are members of their topic.
+
+    The settings are those of a run, but that clusters of any size stay, so that no document is left out.
+    """
+    built = source_topics(t, replace(CFG, topic_min_size=1))
     members, summary = cut_lineage(built.members), cut_lineage(built.summary)
     sizes = members.groupBy("source", F.col("topic").alias("Topic")).agg(F.count("*").alias("n"))
     wrong = summary.join(sizes, ["source", "Topic"], "full").filter(~F.col("n").eqNullSafe(F.col("Count")))
@@ -363,6 +365,9 @@ def density_members(t: Inputs):
     return topics.build_density_topics(embedded(t), "embedding", "text", "doc_id", CFG, min_size=10).members.drop("document")
 
 
+ROUNDS = 50
+
+
 def virality(t: Inputs, rounds: int):
     rows = t.lineitem.withColumnRenamed("l_extendedprice", "target")
     fitted, error = model.train_virality(rows.drop("l_orderkey", "l_linenumber"), rounds=rounds)
@@ -371,7 +376,7 @@ def virality(t: Inputs, rounds: int):
 
 @query("virality_scores")
 def virality_scores(t: Inputs):
-    scored, _ = virality(t, 50)
+    scored, _ = virality(t, ROUNDS)
     return scored.select("l_orderkey", "l_linenumber", "target", F.round("prediction", 2).alias("prediction"))
 
 
@@ -380,7 +385,7 @@ def virality_scores(t: Inputs):
     """SELECT count(*) AS n, count(DISTINCT l_orderkey) AS ids, CAST(round(sum(l_extendedprice)) AS BIGINT) AS target, true AS better_than_mean FROM lineitem""",
 )
 def virality_fit(t: Inputs):
-    scored, error = virality(t, 5)
+    scored, error = virality(t, ROUNDS)
     return scored.agg(
         F.count("*").alias("n"), F.count_distinct("l_orderkey").alias("ids"), F.round(F.sum("target")).cast("long").alias("target"),
         (F.stddev_pop("target") > error).alias("better_than_mean"),

@@ -20,6 +20,8 @@ class Settings:
     positive_above: float = 0.2
     window_days: int = 60
     report_days: int = 7
+    #: Collect only comments that are English.
+    english_only: bool = False
     videos_per_channel: int = 2
     max_videos: int = 120
     videos_per_category: int = 80
