@@ -5,7 +5,9 @@ its pre-tokens. The leaves of a document's tree are blocks of ``BLOCK`` pre-toke
 tokens below it. An edit (characters ``start`` to ``stop`` become ``new``) goes down the tree by character sums to its first
 block, cuts pre-tokens anew from a little before the edit (``CONTEXT`` characters, which is more than the pattern can look
 ahead) until a cut falls on an old cut behind the edit, encodes only these, puts them into the first touched block, and
-adds the differences to the sums above. The tree keeps its shape; all else stays as it was.
+adds the differences to the sums above. The tree keeps its shape; all else stays as it was. While edits are applied the text
+is held by blocks, so an edit copies the blocks that it touches and not the text: time grows with the edits, not with
+edits times text.
 
 Defined cases: a null text counts as empty (0 tokens); edits are applied in order, each to the text that the ones before it
 left, and are cut to that text's ends; null edits are none; rows that repeat an id are counted each for itself; an empty
@@ -135,49 +137,89 @@ class SegmentTree:
 
     def edit(self, text: str, start: int, stop: int, new: str, count: Callable[[str], int]) -> tuple[str, int]:
         """The text after the edit and how many pre-tokens were encoded anew."""
-        start = min(max(start, 0), len(text))
-        stop = min(max(stop, start), len(text))
-        edited = text[:start] + new + text[stop:]
-        shift = len(edited) - len(text)
-        first, at = self.find(max(0, start - CONTEXT - 1))
-        keep = 0
-        while keep < len(self.chars[first]) and at + self.chars[first][keep] + CONTEXT <= start:
-            at += self.chars[first][keep]
-            keep += 1
+        self.hold(text)
+        fresh = self.replace(start, stop, new, count)
+        return self.text, fresh
+
+    def hold(self, text: str) -> None:
+        """Take the text in, cut by blocks, so that ``replace`` copies only the blocks it touches."""
+        self.texts, at = [], 0
+        for block in range(len(self.chars)):
+            size = self.char_sums[block + self.width]
+            self.texts.append(text[at : at + size])
+            at += size
+
+    @property
+    def text(self) -> str:
+        return "".join(self.texts)
+
+    def replace(self, start: int, stop: int, new: str, count: Callable[[str], int]) -> int:
+        """Edit the text that is held; how many pre-tokens were encoded anew."""
+        start = min(max(start, 0), self.n_chars)
+        stop = min(max(stop, start), self.n_chars)
+        shift = len(new) - (stop - start)
+        first, base = self.find(max(0, start - CONTEXT - 1))
+        at, keep = self._kept(first, base, start)
         if keep == 0 and first and at + CONTEXT > start:  # the cut before the edit lies in an earlier block
-            first, at = self._back(first, at, start)
-            keep = 0
-            while keep < len(self.chars[first]) and at + self.chars[first][keep] + CONTEXT <= start:
-                at += self.chars[first][keep]
-                keep += 1
-        new_chars, new_tokens = self.chars[first][:keep], self.tokens[first][:keep]
-        fresh = 0
-        block, place, old = first, keep, at  # the old cut that is looked at
-        for match in _FIND.finditer(edited, at):
-            if match.start() >= stop + shift:
-                while block < len(self.chars) and old < match.start() - shift:
-                    if place < len(self.chars[block]):
-                        old += self.chars[block][place]
-                        place += 1
-                    else:
-                        block, place = block + 1, 0
-                if old == match.start() - shift:
-                    break
-            new_chars.append(len(match[0]))
-            new_tokens.append(count(match[0]))
-            fresh += 1
-        else:
-            block, place = len(self.chars), 0
+            first, base = self._back(first, base, start)
+            at, keep = self._kept(first, base, start)
+        upto, more = max(first, self.find(max(0, stop - 1))[0]) + 1, 1
+        while (cut := self._cut(first, base, at, keep, upto, start, stop, new, count)) is None:
+            upto, more = upto + more, more * 2  # no old cut was met in these blocks
+        window, end, new_chars, new_tokens, block, place = cut
         tail = (self.chars[block][place:], self.tokens[block][place:]) if block < len(self.chars) else ([], [])
+        rest = self.texts[block][sum(self.chars[block][:place]) :] if block < len(self.chars) else ""
+        kept = self.chars[first][:keep], self.tokens[first][:keep]
         if block == first:
-            self._set(first, new_chars + tail[0], new_tokens + tail[1])
+            self._set(first, kept[0] + new_chars + tail[0], kept[1] + new_tokens + tail[1])
+            self.texts[first] = window[:end] + rest
         else:
-            self._set(first, new_chars, new_tokens)
+            self._set(first, kept[0] + new_chars, kept[1] + new_tokens)
+            self.texts[first] = window[:end]
             for gone in range(first + 1, min(block, len(self.chars))):
                 self._set(gone, [], [])
+                self.texts[gone] = ""
             if block < len(self.chars):
                 self._set(block, *tail)
-        return edited, fresh
+                self.texts[block] = rest
+        return len(new_chars)
+
+    def _kept(self, block: int, at: int, start: int) -> tuple[int, int]:
+        """The last cut of the block far enough before ``start``: its character, and the pre-tokens before it."""
+        keep = 0
+        while keep < len(self.chars[block]) and at + self.chars[block][keep] + CONTEXT <= start:
+            at += self.chars[block][keep]
+            keep += 1
+        return at, keep
+
+    def _cut(self, first: int, base: int, at: int, keep: int, upto: int, start: int, stop: int, new: str, count: Callable[[str], int]):
+        """Cut pre-tokens from ``at`` to an old cut behind the edit, inside the blocks ``first`` to ``upto``.
+
+        Returns the blocks' text after the edit, where in it the cutting ended, the new characters and tokens, and the old
+        block and place of that cut; None if a pre-token comes so near the end of the blocks that what follows may change it.
+        """
+        whole = upto >= len(self.chars)
+        before = "".join(self.texts[first:upto])
+        window = before[: start - base] + new + before[stop - base :]
+        shift = len(new) - (stop - start)
+        chars, tokens = [], []
+        block, place, old = first, keep, at  # the old cut that is looked at
+        for match in _FIND.finditer(window, at - base):
+            here = base + match.start()
+            if here >= stop + shift:
+                while block < len(self.chars) and old < here - shift:
+                    if place < len(self.chars[block]):
+                        old += self.chars[block][place]
+                        place += 1
+                    else:
+                        block, place = block + 1, 0
+                if old == here - shift:
+                    return window, match.start(), chars, tokens, block, place
+            if not whole and match.end() + CONTEXT > len(window):
+                return None
+            chars.append(len(match[0]))
+            tokens.append(count(match[0]))
+        return (window, len(window), chars, tokens, len(self.chars), 0) if whole else None
 
     def _back(self, block: int, at: int, start: int) -> tuple[int, int]:
         """The nearest earlier block that has a cut far enough before ``start``, or the first block."""
@@ -197,11 +239,9 @@ class SegmentTree:
 
 def _edited(text: str, tree: SegmentTree, edits: list[dict], count: Callable[[str], int]) -> tuple[str, int]:
     """The text after all edits, which the tree follows, and how many pre-tokens were encoded anew."""
-    encoded = 0
-    for e in edits:
-        text, fresh = tree.edit(text, e["start"] or 0, e["stop"] or 0, e["new"] or "", count)
-        encoded += fresh
-    return text, encoded
+    tree.hold(text)
+    encoded = sum(tree.replace(e["start"] or 0, e["stop"] or 0, e["new"] or "", count) for e in edits)
+    return tree.text, encoded
 
 
 def _carried(docs: DataFrame, names: tuple[str, ...]) -> DataFrame:

@@ -61,3 +61,26 @@ def test_build_and_apply(spark, count):
     at_once = sorted(((r.doc_id, r.text, r.n_tokens_edited, r.n_edits, r.n_encoded) for r in tc.counts_after(docs).collect()), key=repr)
     assert at_once == sorted(((r.doc_id, r.text, r.n_tokens, r.n_edits, r.n_encoded) for r in out), key=repr)
     assert tc.counts_after(docs.limit(0)).count() == 0
+
+
+def test_many_edits_of_one_long_text():
+    """Edits from either end, with pieces that shrink to nothing and grow over blocks, agree with a fresh count."""
+    count = tc.counter(tc.rank_bytes()).__getitem__
+    text = "call 030 1234567 or  write to a@b.org\n\n   now " * 4000
+    for edits in (tc.scrubbing(text), [{"start": i * 7, "stop": i * 7 + 3, "new": " " * (i % 9) + "x" * (i % 4)} for i in range(3000)]):
+        tree, want = tc.SegmentTree(*tc.leaves(text, count)), text
+        for e in edits:
+            want = want[: e["start"]] + e["new"] + want[e["stop"] :]
+        got, _ = tc._edited(text, tree, edits, count)
+        assert got == want and tree.n_tokens == int(tc.leaves(want, count)[1].sum()) and tree.n_chars == len(want)
+        assert "".join(tree.texts) == want and [len(x) for x in tree.texts] == [sum(c) for c in tree.chars]
+
+
+def test_a_run_of_blanks_longer_than_the_blocks():
+    count = tc.counter(tc.rank_bytes()).__getitem__
+    text = "word " * 200 + " " * 5000 + "end " * 200
+    tree = tc.SegmentTree(*tc.leaves(text, count))
+    for start, stop, new in ((999, 1003, "x"), (900, 5990, ""), (0, 0, "  "), (905, 905, " " * 3000), (0, 10**6, "")):
+        want = text[:start] + new + text[stop:]
+        text, _ = tree.edit(text, start, stop, new, count)
+        assert text == want and tree.n_tokens == int(tc.leaves(text, count)[1].sum())
