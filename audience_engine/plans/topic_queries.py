@@ -342,13 +342,16 @@ def spread_out(t: Inputs):
 
 @query(
     "density_topics",
-    """SELECT doc_id, CASE WHEN n >= 10 THEN first ELSE -1 END AS first_of_topic, CASE WHEN n >= 10 THEN n ELSE -1 END AS size FROM (
+    """SELECT doc_id, CASE WHEN n > 10 THEN first ELSE -1 END AS first_of_topic, CASE WHEN n > 10 THEN n ELSE -1 END AS size FROM (
       SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN -1 ELSE count(*) OVER w END AS n, min(doc_id) OVER w AS first
       FROM embedded_docs WINDOW w AS (PARTITION BY doc_id % 2, CASE WHEN doc_id % 17 = 0 THEN -1 ELSE label END))""",
     ["embedded_docs"],
 )
 def planted_density_topics(t: Inputs):
-    """Labels that lie apart are the topics of each source, rows thrown out are outliers; the number of topics is not given."""
+    """Labels that lie apart are the topics of each source, rows thrown out are outliers; the number of topics is not given.
+
+    A row is dense by its tenth nearest other row, so a label with ten rows or fewer in a source has no dense place.
+    """
     built = topics.build_density_topics(by_source(embedded_rows(spread_out(t))), "place", "text", "doc_id", CFG, min_size=10)
     members = cut_lineage(built.members.select("source", "topic", "doc_id"))
     found = members.groupBy("source", "topic").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
