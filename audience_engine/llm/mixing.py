@@ -11,11 +11,14 @@ Rates become copies without chance: a source's documents are lined up by size, a
 copies, rounded, says how many of each size get one copy more; a hash of id and text says which. So a source's words miss
 its target by at most one document's words, and reruns agree.
 
-Hot groups: sums come from (source, words) counts, which are aggregated before the shuffle; documents of one size are
-numbered in 256 hashed parts, so no task sorts all documents of a source or a size.
+Hot groups: sums come from (source, words) counts, which are aggregated before the shuffle. Rows of one id and text are
+one class with a count, however many they are: the class takes its share of the extra copies at once. Classes of one size
+are numbered in hashed parts of at most about a million rows, so no task sorts all documents of a source or a size; rows
+without words are not numbered. A class becomes rows again in blocks of ``BLOCK``, each of which may go to its own task.
 
 Defined cases: a null text has 0 words and no copies; a null source is a source of its own; a source without words has
-target 0; rows that repeat an id are documents of their own; an empty table gives an empty result; other columns are
+target 0; rows that repeat an id are documents of their own; of equal rows,
+which are alike, any take the extra copies; a very long text is a document with a large size; an empty table gives an empty result; other columns are
 ignored (``mix``) or carried along (``apply_mix``).
 """
 
@@ -30,7 +33,8 @@ from audience_engine.session import cut_lineage
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CAP = 2.0
-PARTS = 256
+PARTS, PART_ROWS = 256, 1_000_000
+BLOCK = 100_000
 TOLERANCE = 1e-9
 _STEPS = 60
 
@@ -107,26 +111,40 @@ def balance(sizes: DataFrame, sources: DataFrame, cap: float = CAP) -> DataFrame
     return classes.join(F.broadcast(solved), "_s", "left").withColumn("rate", F.coalesce(solution, at_cap))
 
 
-def _copies(docs: DataFrame, weights, share: float, cap: float) -> DataFrame:
-    """``docs`` (with ``size`` and ``_s``) plus ``copies``, ``source_size`` and ``target``."""
-    rows = docs.withColumn("_part", F.pmod(F.xxhash64("_d", "_t"), F.lit(PARTS)).cast("int"))
-    cells = cut_lineage(rows.groupBy("_s", "size", "_part").agg(F.count("*").alias("n")))
+def _copies(rows: DataFrame, carry: tuple[str, ...], weights, share: float, cap: float) -> tuple[DataFrame, DataFrame]:
+    """(classes, sources): each class of equal ``rows`` has ``n`` rows with ``whole`` copies, ``extra`` of which have one more."""
+    counted = cut_lineage(rows.groupBy(*carry, "_d", "_t", "_s", "size").agg(F.count("*").alias("n")))
+    parts = max(PARTS, -(-(counted.agg(F.sum("n")).first()[0] or 0) // PART_ROWS))
+    counted = counted.withColumn("_part", F.pmod(F.xxhash64("_d", "_t"), F.lit(parts)).cast("int"))
+    cells = cut_lineage(counted.groupBy("_s", "size", "_part").agg(F.sum("n").alias("n")))
     sizes = cells.groupBy("_s", "size").agg(F.sum("n").alias("n"))
     sources = _sources(sizes, weights, share, cap)
     classes = balance(sizes, sources, cap)
     rate = F.round("rate", 10)
-    parts = F.col("n") * (rate - F.floor(rate))
+    fraction = F.col("n") * (rate - F.floor(rate))
     run = Window.partitionBy("_s").orderBy("size")
-    upto = F.floor(F.sum(parts).over(run) + 0.5)
-    before = F.floor(F.coalesce(F.sum(parts).over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) + 0.5)
+    upto = F.floor(F.sum(fraction).over(run) + 0.5)
+    before = F.floor(F.coalesce(F.sum(fraction).over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) + 0.5)
     quota = classes.select("_s", "size", F.floor(rate).alias("whole"), (upto - before).cast("long").alias("more"))
     within = Window.partitionBy("_s", "size").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = cells.withColumn("start", F.coalesce(F.sum("n").over(within), F.lit(0)))
-    plan = cut_lineage(starts.join(quota, ["_s", "size"], "left").drop("n"))
-    place = F.row_number().over(Window.partitionBy("_s", "size", "_part").orderBy(F.xxhash64("_t", "_d"), "_d", "_t"))
-    numbered = rows.withColumn("_place", place).join(plan, ["_s", "size", "_part"], "left")
-    extra = F.when(F.col("start") + F.col("_place") <= F.col("more"), 1).otherwise(0)
-    return numbered.withColumn("copies", F.coalesce(F.col("whole") + extra, F.lit(0)).cast("int")), sources
+    starts = cells.filter("size > 0").withColumn("start", F.coalesce(F.sum("n").over(within), F.lit(0)))
+    plan = cut_lineage(starts.join(quota, ["_s", "size"]).drop("n"))
+    ahead = Window.partitionBy("_s", "size", "_part").orderBy(F.xxhash64("_t", "_d"), "_d", "_t").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = counted.filter("size > 0").withColumn("_ahead", F.coalesce(F.sum("n").over(ahead), F.lit(0))).join(plan, ["_s", "size", "_part"])
+    extra = F.greatest(F.least(F.col("more") - F.col("start") - F.col("_ahead"), F.col("n")), F.lit(0))
+    names = [*carry, "_d", "_t", "_s", "size", "n"]
+    empty = counted.filter("size = 0").select(*names, F.lit(0).cast("long").alias("whole"), F.lit(0).cast("long").alias("extra"))
+    return cut_lineage(numbered.select(*names, F.col("whole").cast("long"), extra.cast("long").alias("extra")).unionByName(empty)), sources
+
+
+def _unfolded(classes: DataFrame, times: str) -> DataFrame:
+    """Each row ``times`` (at least 1) times, numbered from 1 by ``_i``; long series are dealt over tasks by blocks."""
+    n = F.col(times)
+    few = classes.filter(n <= BLOCK).withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), n)))
+    blocks = classes.filter(n > BLOCK).withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / BLOCK))))
+    first, last = F.col("_b") * BLOCK + 1, F.least((F.col("_b") + 1) * BLOCK, n)
+    many = blocks.repartition("_d", "_t", "_b").withColumn("_i", F.explode(F.sequence(first, last))).drop("_b")
+    return few.unionByName(many)
 
 
 def _source_key() -> F.Column:
@@ -138,8 +156,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     sized = docs.select(
         "doc_id", id_key("doc_id").alias("_d"), text_key("text").cast("long").alias("_t"), _source_key().alias("_s"), word_count("text").alias("size")
     )
-    out, sources = _copies(cut_lineage(sized), weights, share, cap)
-    out = out.join(F.broadcast(sources), "_s")  # one row per source, checked
+    out, sources = _copies(sized, ("doc_id",), weights, share, cap)
+    copies = (F.col("whole") + F.when(F.col("_i") <= F.col("extra"), 1).otherwise(0)).cast("int")
+    out = _unfolded(out.join(F.broadcast(sources), "_s"), "n").withColumn("copies", copies)  # one row per source, checked
     return out.select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
@@ -152,9 +171,9 @@ def apply_mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
     sized = docs.select(
         id_key("doc_id").alias("_d"), F.xxhash64(*[F.col(f"`{c}`") for c in names]).alias("_t"), _source_key().alias("_s"), word_count("text").alias("size")
     )
-    out, _ = _copies(cut_lineage(sized), weights, share, cap)
-    copies = cut_lineage(out.groupBy("_d", "_t").agg(F.sum("copies").alias("_n"), F.count("*").alias("_rows")).filter("_n > 0"))
-    equal = F.row_number().over(Window.partitionBy("_d", "_t").orderBy("_n"))  # rows of one key are equal in all columns
-    share_of_row = F.floor(F.col("_n") / F.col("_rows")) + F.when(equal <= F.col("_n") % F.col("_rows"), 1).otherwise(0)
-    taken = held.join(copies, ["_d", "_t"]).withColumn("_times", share_of_row.cast("int")).filter("_times > 0")
-    return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("_row.*")
+    out, _ = _copies(sized, (), weights, share, cap)
+    taken = out.select("_d", "_t", "n", (F.col("n") * F.col("whole") + F.col("extra")).alias("_n")).filter("_n > 0")
+    single = held.join(taken.filter("n = 1"), ["_d", "_t"])
+    equal = held.join(taken.filter("n > 1"), ["_d", "_t"]).dropDuplicates(["_d", "_t"])  # equal in all columns: one stands for all
+    each = single.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), "_n")))  # the cap of copies at most
+    return each.unionByName(_unfolded(cut_lineage(equal), "_n")).select("_row.*")

@@ -72,3 +72,18 @@ def test_rows_as_often_as_taken(spark):
     assert words == sum(r.taken for r in report)
     empty = docs.limit(0)
     assert mixing.mix(empty).count() == 0 and mixing.apply_mix(empty).count() == 0
+
+
+def test_equal_rows_are_one_class(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 64)
+    monkeypatch.setattr(mixing, "PART_ROWS", 1)
+    rows = [(i, "some words in here " * (i % 7 + 1), "a" if i % 2 else "b", "x") for i in range(400)] + [(None, "hot row of five words", "a", "x")] * 300
+    docs = docs_of(spark, rows)
+    report = mixing.mix(docs).collect()
+    assert len(report) == len(rows) and sum(r.doc_id is None for r in report) == 300
+    hot = [r.copies for r in report if r.doc_id is None]
+    assert max(hot) - min(hot) <= 1
+    out = mixing.apply_mix(docs).collect()
+    assert sum(r.doc_id is None for r in out) == sum(hot) and len(out) == sum(r.copies for r in report)
+    classes, _ = mixing._copies(docs.selectExpr("doc_id", "coalesce(doc_id, -1L) _d", "crc32(text) _t", "source _s", "5L size"), ("doc_id",), mixing.WEIGHTS, 1.5, 2.0)
+    assert classes.filter("doc_id is null").count() == 1 and classes.filter("doc_id is null").first().n == 300
