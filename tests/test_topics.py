@@ -192,6 +192,27 @@ def test_virality_beats_the_mean(spark, tmp_path):
     assert "prediction" in scored.columns and "_features" not in scored.columns
 
 
+def test_trees_read_few_partitions(spark, monkeypatch):
+    """Each level of each tree is a job over all partitions: their number must not follow the rows one for 50,000."""
+    seen = []
+    laid = model.laid_out
+
+    def counted(*args, **options):
+        seen.append(laid(*args, **options))
+        return seen[-1]
+
+    monkeypatch.setattr(model, "laid_out", counted)
+    # the widths a run would have, in thousandths of its rows
+    monkeypatch.setattr(model, "ROWS_PER_PART", 50)
+    monkeypatch.setattr(model, "MOST_ROWS_PER_PART", 1000)
+    df = spark.range(6000).select((F.col("id") % 20).cast("double").alias("a"), (F.col("id") % 20 * 3).cast("double").alias("target"))
+    _, rmse = model.train_virality(df, rounds=2)
+    assert rmse < df.agg(F.stddev_pop("target")).first()[0]
+    assert seen[0].rdd.getNumPartitions() == 64
+    assert model.rows_per_part(400) == 50 and model.rows_per_part(36_000) == 563 and model.rows_per_part(216_000) == 1000
+    assert not spark._jsparkSession.sharedState().cacheManager().lookupCachedData(seen[0]._jdf).isDefined()
+
+
 def test_clusters_are_found_whatever_the_partitions(spark):
     draw = np.random.default_rng(3)
     middles = draw.normal(size=(6, 5)) * 20
