@@ -27,8 +27,10 @@ from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from audience_engine.llm.common import utf8
@@ -344,6 +346,25 @@ def swapped(ids, swaps) -> list[int]:
     return [*out, *ids[at:]]
 
 
+def whole_alternatives(pieces: str = "pieces") -> Column:
+    """The whole id list of each alternative in a column of ``encode``, as ``swapped`` gives it; null for a null text."""
+    ids = F.col(f"{pieces}.ids")
+    empty = F.array().cast("array<int>")
+
+    def from_place(at: Column, n: Column) -> Column:
+        return F.slice(ids, at + 1, F.greatest(n, F.lit(0)))
+
+    def swap(done: Column, s: Column) -> Column:
+        upto = F.concat(done["out"], from_place(done["at"], s["first"] - done["at"]), s["ids"])
+        return F.struct(upto.alias("out"), (s["first"] + s["replaced"]).alias("at"))
+
+    def whole(done: Column) -> Column:
+        return F.concat(done["out"], from_place(done["at"], F.size(ids) - done["at"]))
+
+    start = F.struct(empty.alias("out"), F.lit(0).alias("at"))
+    return F.transform(F.col(f"{pieces}.alternatives"), lambda way: F.aggregate(F.array_sort(way["swaps"]), start, swap, whole))
+
+
 def _ragged(parts: list, kind: pa.DataType) -> pa.Array:
     lengths = [-1 if p is None else len(p) for p in parts]
     flat = np.concatenate([p for p in parts if p is not None]) if any(n > 0 for n in lengths) else np.empty(0, np.int32)
@@ -391,10 +412,17 @@ def encode(docs: DataFrame, model: str = MODEL, n_best: int = N_BEST, text: str
 
 
 def decode(coded: DataFrame, ids: str, model: str = MODEL, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``carry`` and ``decoded``, the text of the id lists in the column ``ids``."""
+    """The columns ``carry`` and ``decoded``, the text of the id lists in the column ``ids`` (an array of texts for an array of lists)."""
     shared = coded.sparkSession.sparkContext.broadcast(model_bytes(model))
     plain = coded.select(*carry, coded[ids].alias("_ids"))
-    schema = T.StructType([*plain.schema.fields[:-1], T.StructField("decoded", T.StringType())])
+    many = isinstance(plain.schema["_ids"].dataType.elementType, T.ArrayType)
+    schema = T.StructType([*plain.schema.fields[:-1], T.StructField("decoded", T.ArrayType(T.StringType()) if many else T.StringType())])
+
+    def texts_of(own: Lattice, column: pa.ListArray) -> pa.Array:
+        flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_pylist()
+        # one text at a time as Python numbers
+        texts = [own.decode(flat[a:b].tolist()) if ok else None for a, b, ok in zip(ends, ends[1:], column.is_valid().to_pylist(), strict=False)]
+        return pa.array(texts, pa.binary()).cast(pa.string())
 
     def run(batches):
         own = lattice(shared.value)
@@ -402,10 +430,13 @@ def decode(coded: DataFrame, ids: str, model: str = MODEL, carry: tuple[str, ...
             for at in range(0, whole.num_rows, _ROWS):
                 batch = whole.slice(at, _ROWS)
                 column = batch.column("_ids")
-                flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_pylist()
-                # one text at a time as Python numbers
-                texts = [own.decode(flat[a:b].tolist()) if ok else None for a, b, ok in zip(ends, ends[1:], column.is_valid().to_pylist(), strict=False)]
-                decoded = pa.array(texts, pa.binary()).cast(pa.string())
+                if many:
+                    lists = texts_of(own, column.flatten())
+                    sizes = [0 if n is None else n for n in pc.list_value_length(column).to_pylist()]
+                    ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32(), mask=np.append(~np.asarray(column.is_valid()), False))
+                    decoded = pa.ListArray.from_arrays(ends, lists)
+                else:
+                    decoded = texts_of(own, column)
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], decoded], names=schema.names)
 
     return plain.mapInArrow(run, schema)

@@ -129,14 +129,20 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", digest.alias("digest"))
     coded = pieces.encode(docs, carry=("doc_id", "digest"))
     second = F.element_at(F.col("pieces.alternatives"), 1)["score"]
+    best = F.when(F.col("pieces.ids").isNotNull(), F.array("pieces.ids"))
     plain = coded.select(
         "doc_id", "digest", F.size("pieces.ids").cast("long").alias("n_pieces"), F.col("pieces.score").alias("score"),
-        F.when(F.size("pieces.alternatives") > 0, second).alias("second_score"), F.xxhash64("pieces.ids").alias("ids_hash"), F.col("pieces.ids").alias("ids"),
+        F.when(F.size("pieces.alternatives") > 0, second).alias("second_score"), F.xxhash64("pieces.ids").alias("ids_hash"),
+        F.col("pieces.alternatives.score").alias("other_scores"), F.concat(best, pieces.whole_alternatives()).alias("ids"),
     )
-    carried = ("doc_id", "digest", "n_pieces", "score", "second_score", "ids_hash")
-    back = pieces.decode(plain, "ids", carry=carried)
-    same = F.sha2(F.col("decoded").cast("binary"), 256).eqNullSafe(F.col("digest"))
-    return back.select(*[c for c in carried if c != "digest"], same.alias("round_trip"))
+    hashes = F.transform(F.slice("ids", 2, pieces.N_BEST), lambda own: F.xxhash64(own)).alias("other_hashes")
+    carried = ("doc_id", "digest", "n_pieces", "score", "second_score", "ids_hash", "other_scores", "other_hashes")
+    back = pieces.decode(plain.select("*", hashes), "ids", carry=carried)
+    # every one of the N best segmentations has to give the text back
+    same = F.when(F.col("digest").isNull(), F.col("decoded").isNull()).otherwise(
+        F.forall("decoded", lambda text: F.sha2(text.cast("binary"), 256) == F.col("digest"))
+    )
+    return back.select(*[c for c in carried if c != "digest"], F.coalesce(same, F.lit(False)).alias("round_trip"))
 
 
 @registered("op7_embeddings")

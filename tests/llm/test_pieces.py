@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from audience_engine.llm import pieces
+from audience_engine.llm import pieces, queries
 
 
 @pytest.fixture(scope="module")
@@ -65,3 +65,21 @@ def test_frames(spark):
     assert len(back) == 5 and all(r.text == r.decoded for r in back)
     assert pieces.encode(docs.limit(0)).count() == 0
     assert list(itertools.islice(pieces.lattice(pieces.model_bytes()).paths(" a"), 1))
+
+
+def test_query_returns_and_decodes_all_of_the_n_best(spark, tmp_path, own):
+    texts = ["the cat sat on the mat", None, "", "a", "été 😀\n x▁y", "onon on " * 40]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in queries.QUERIES["op6_pieces"](spark, str(tmp_path)).collect()}
+    assert len(got) == len(texts) and all(r.round_trip for r in got.values())
+    assert got[1].other_scores is None and got[1].other_hashes is None and got[2].other_hashes == []
+    lists = [(i, [pieces.swapped(ids.tolist(), swaps) for _, swaps in ways]) for i, (ids, _, ways) in zip((0, 3, 4, 5), own.encode([texts[i] for i in (0, 3, 4, 5)]))]
+    want = spark.createDataFrame(lists, "i long, w array<array<int>>").selectExpr("i", "transform(w, x -> xxhash64(x)) AS h", "w").collect()
+    for r in want:
+        assert got[r.i].other_hashes == r.h and len(got[r.i].other_scores) == len(r.h) and (not r.h or got[r.i].second_score == got[r.i].other_scores[0])
+        assert all(own.decode(w).decode() == texts[r.i] for w in r.w)
+    assert len(want[0].h) == pieces.N_BEST - 1
+    # a wrong list among the alternatives shows
+    docs = spark.createDataFrame([(1, [[5, 6], [7]]), (2, None), (3, [])], "doc_id long, ids array<array<int>>")
+    back = {r.doc_id: r.decoded for r in pieces.decode(docs, "ids").collect()}
+    assert back[2] is None and back[3] == [] and len(back[1]) == 2 and back[1][0].encode() == own.decode([5, 6])
