@@ -1,9 +1,11 @@
 """Near copies by word shingles: texts whose sets of ``SHINGLE`` words have a Jaccard similarity of ``THRESHOLD`` or more.
 
-Candidates come from min-hashing: a set's ``BANDS`` keys each hash ``ROWS`` minima, and sets that share a key fall into one
-candidate group (no pair is formed for that). At a similarity of exactly 0.8 two sets share a key with probability 0.9993,
-above it more often. A fingerprint of 64 bits can't give that: at 0.8 two fingerprints differ in 10 bits on average and
-up to 17 bits are needed for a recall of 0.99, where a join by blocks of equal bits compares almost all pairs.
+Candidates come in two ways. Each set has the SimHash fingerprint of ``simhash``, and the binary tries of that module link
+fingerprints of at most ``BUDGET`` differing bits. That alone misses most pairs: at a similarity of 0.8 two fingerprints differ
+in 10 bits on average and up to 17 bits are needed for a recall of 0.99, where a join by blocks of equal bits compares almost
+all pairs. So sets that share a min-hash key are candidates too: a set's ``BANDS`` keys each hash ``ROWS`` minima. At a
+similarity of exactly 0.8 two sets share a key with probability 0.9993, above it more often. Both kinds of links make up the
+candidate groups (no pair is formed for that).
 
 Inside a group every pair is decided by the exact similarity of the two sets; pairs that are linked already are left out.
 A group of more than ``CHUNK`` sets is cut by hash, and each part is linked together with the group's smallest set. What is
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from audience_engine.llm.common import components, id_key, mixed, sliced, utf8
 from audience_engine.llm.groups import Labels, group_starts, parts_for, whole_groups
-from audience_engine.llm.simhash import shingle_hashes
+from audience_engine.llm.simhash import BUDGET, fingerprint, forest, shingle_hashes
 from audience_engine.session import cut_lineage
 
 SHINGLE = 5
@@ -79,21 +81,22 @@ def linked(sets: list[np.ndarray], threshold: float = THRESHOLD) -> np.ndarray:
 
 
 def _sketched(keyed: DataFrame, shingle: int) -> DataFrame:
-    """``node`` (128-bit hash of a text's set), ``c`` (its first half) and ``bands``, with the row's keys."""
+    """``node`` (128-bit hash of a text's set), ``c`` (its first half), ``bands`` and ``fp`` of the set, with the row's keys."""
     carried = ["no_id", "_d", "_h"]
 
     def run(batches):
         for batch in sliced(batches):
-            nodes, bands = [], []
+            nodes, bands, prints = [], [], []
             for text in utf8(batch.column("text")):
                 own = shingle_set(text, shingle)
                 nodes.append(xxhash.xxh3_128_digest(own.tobytes()))
                 bands.append(band_keys(own).view(np.int64))
+                prints.append(fingerprint(own))
             halves = np.frombuffer(b"".join(n[:8] for n in nodes), np.int64)
-            columns = [pa.array(nodes, pa.binary()), pa.array(halves), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), *columns], names=[*carried, "node", "c", "bands"])
+            columns = [pa.array(nodes, pa.binary()), pa.array(halves), pa.array(bands, pa.list_(pa.int64())), pa.array(prints, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), *columns], names=[*carried, "node", "c", "bands", "fp"])
 
-    return keyed.select(*carried, "text").mapInArrow(run, "no_id boolean, _d long, _h long, node binary, c long, bands array<long>")
+    return keyed.select(*carried, "text").mapInArrow(run, "no_id boolean, _d long, _h long, node binary, c long, bands array<long>, fp long")
 
 
 def _sets(texts: DataFrame, shingle: int) -> DataFrame:
@@ -124,11 +127,21 @@ def _linked_in(tasks: DataFrame, keys: list[str], parts: int, threshold: float)
     return laid.mapInArrow(run, "a binary, b binary")
 
 
+def fingerprint_links(classes: DataFrame, budget: int = BUDGET) -> DataFrame:
+    """``a``, ``b``: links (as ``c``) that connect the sets whose fingerprints differ in at most ``budget`` bits."""
+    prints = cut_lineage(classes.groupBy("fp").agg(F.min("c").alias("m")))
+    equal = classes.join(prints, "fp").filter("c <> m").select(F.col("c").alias("a"), F.col("m").alias("b"))
+    near = cut_lineage(forest(prints.select("fp"), budget))
+    one, other = (prints.select(F.col("fp").alias(side), F.col("m").alias(f"_{side}")) for side in ("a", "b"))
+    return equal.unionByName(near.join(one, "a").join(other, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+
+
 def candidate_groups(classes: DataFrame) -> DataFrame:
-    """``c``, ``g``: the group of each set that shares a key with another one."""
+    """``c``, ``g``: the group of each set that shares a key with another one, or whose fingerprint lies near another one's."""
     each = classes.select("c", F.explode("bands").alias("key"))
     least = each.groupBy("key").agg(F.min("c").alias("m"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    edges = cut_lineage(each.join(cut_lineage(least), "key").filter("c <> m").select(F.col("c").alias("a"), F.col("m").alias("b")).distinct())
+    keyed = each.join(cut_lineage(least), "key").filter("c <> m").select(F.col("c").alias("a"), F.col("m").alias("b"))
+    edges = cut_lineage(keyed.unionByName(fingerprint_links(classes)).distinct())
     return cut_lineage(components(edges)).select(F.col("node").alias("c"), F.col("root").alias("g"))
 
 
@@ -162,7 +175,7 @@ def apply_dedup(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRE
     keyed = docs.select(id_key("doc_id").alias("_d"), F.xxhash64(*[F.col(f"`{c}`") for c in names]).alias("_h"), F.col("text"), row.alias("_row"))
     rows = _sketched(keyed.withColumn("no_id", F.col("_row.doc_id").isNull()), shingle)
     first = F.min(F.struct("no_id", "_d", "_h")).alias("first")
-    classes = cut_lineage(rows.groupBy("node", "c").agg(first, F.first("bands").alias("bands")))
+    classes = cut_lineage(rows.groupBy("node", "c").agg(first, F.first("bands").alias("bands"), F.first("fp").alias("fp")))
     members = cut_lineage(classes.join(candidate_groups(classes), "c").select("g", "node", "first._d", "first._h"))
     sets = cut_lineage(_sets(keyed.select("_d", "_h", "text").join(members, ["_d", "_h"]), shingle).dropDuplicates(["g", "node"]))
     roots = cut_lineage(components(cut_lineage(links(sets, threshold, chunk))))

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from audience_engine.llm import near_texts
@@ -74,3 +75,16 @@ def test_bands_recall_at_the_threshold():
         a, b = np.concatenate([both, left]), np.concatenate([both, right])
         met += bool((near_texts.band_keys(a) == near_texts.band_keys(b)).any())  # 400 of 500 are common
     assert met >= 398
+
+
+def test_near_fingerprints_are_candidates(spark, monkeypatch):
+    """The tries propose pairs of their own: without any min-hash key, copies that differ in few bits are still found."""
+    words = [f"w{i}" for i in range(400)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-1])), (3, " ".join(f"x{i}" for i in range(300))), (4, None), (5, "")]
+    prints = [near_texts.fingerprint(near_texts.shingle_set((t or "").encode())) for _, t in rows[:2]]
+    assert 0 < ((prints[0] ^ prints[1]) & (2**64 - 1)).bit_count() <= 4 or prints[0] == prints[1]
+    sketched = near_texts._sketched
+    bare = lambda keyed, n: sketched(keyed, n).withColumn("bands", F.array().cast("array<long>"))
+    monkeypatch.setattr(near_texts, "_sketched", bare)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in near_texts.apply_dedup(docs).collect()} == {1, 3, 4}
