@@ -172,8 +172,7 @@ def apply_mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
         id_key("doc_id").alias("_d"), F.xxhash64(*[F.col(f"`{c}`") for c in names]).alias("_t"), _source_key().alias("_s"), word_count("text").alias("size")
     )
     out, _ = _copies(sized, (), weights, share, cap)
-    taken = out.select("_d", "_t", "n", (F.col("n") * F.col("whole") + F.col("extra")).alias("_n")).filter("_n > 0")
-    single = held.join(taken.filter("n = 1"), ["_d", "_t"])
-    equal = held.join(taken.filter("n > 1"), ["_d", "_t"]).dropDuplicates(["_d", "_t"])  # equal in all columns: one stands for all
-    each = single.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), "_n")))  # the cap of copies at most
-    return each.unionByName(_unfolded(cut_lineage(equal), "_n")).select("_row.*")
+    taken = cut_lineage(out.select("_d", "_t", (F.col("n") * F.col("whole") + F.col("extra")).alias("_n")).filter("_n > 0"))
+    # equal in all columns: one stands for all; they meet in the map tasks, and the texts are shuffled once, for this and the join
+    one = held.groupBy("_d", "_t").agg(F.first("_row").alias("_row"))
+    return _unfolded(one.join(taken, ["_d", "_t"]), "_n").select("_row.*")

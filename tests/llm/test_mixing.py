@@ -87,3 +87,15 @@ def test_equal_rows_are_one_class(spark, monkeypatch):
     assert sum(r.doc_id is None for r in out) == sum(hot) and len(out) == sum(r.copies for r in report)
     classes, _ = mixing._copies(docs.selectExpr("doc_id", "coalesce(doc_id, -1L) _d", "crc32(text) _t", "source _s", "5L size"), ("doc_id",), mixing.WEIGHTS, 1.5, 2.0)
     assert classes.filter("doc_id is null").count() == 1 and classes.filter("doc_id is null").first().n == 300
+
+
+def test_texts_are_not_staged_for_the_mix(spark, monkeypatch):
+    """Single and repeated rows meet the plan in one join, so their texts are shuffled once and not written besides."""
+    staged, cut = [], mixing.cut_lineage
+    monkeypatch.setattr(mixing, "cut_lineage", lambda df: staged.append(df.columns) or cut(df))
+    rows = [(i % 40, f"text {i % 40} " + "w " * (i % 40 % 7 + 1), "ab"[i % 2], None) for i in range(120)] + [(None, "n n", None, None)] * 3
+    docs = docs_of(spark, rows)
+    got = mixing.apply_mix(docs).collect()
+    taken = mixing.mix(docs).groupBy("doc_id").sum("copies").collect()
+    assert {r[0]: r[1] for r in taken if r[1]} == {d: sum(r.doc_id == d for r in got) for d in {r.doc_id for r in got}}
+    assert staged and not any("_row" in columns for columns in staged)
