@@ -28,6 +28,9 @@ from audience_engine.settings import Settings
 
 # --- terms -----------------------------------------------------------------------------------------------------------
 
+#: Vocabularies up to this size are so few rows of each task that one task can order them.
+TAKEN_AT_ONCE = 10_000
+
 
 def document_terms(df: DataFrame, text: str, stop: Sequence[str], bigrams: bool = True) -> DataFrame:
     """Add ``terms``: the words of each text, with neighbouring pairs."""
@@ -63,7 +66,10 @@ def term_idf(
     documents = F.coalesce(df.select(F.lit(1)).agg(F.count("*")).scalar(), F.lit(0).cast("long"))
     counted = term_counts(df, terms).withColumn("_n", documents)
     kept = counted.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_share) * F.col("_n")))
-    if vocabulary is not None:
+    if vocabulary is not None and vocabulary <= TAKEN_AT_ONCE:
+        # each task keeps its first rows, and only those meet: nothing is staged and the terms are counted in one go
+        kept = kept.orderBy(F.col("tf").desc(), F.md5("term"), "term").limit(vocabulary)
+    elif vocabulary is not None:
         kept = most_frequent(cut_lineage(kept), vocabulary)
     return kept.select("term", "tf", "df", (F.log((F.col("_n") + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
 

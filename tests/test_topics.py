@@ -113,6 +113,22 @@ def test_most_frequent_narrows_ties(spark):
         assert sorted(r["term"] for r in topics.most_frequent(df, n).collect()) == sorted(t for t, _ in ranked[:n])
 
 
+def test_few_terms_are_taken_without_a_staged_table(spark, monkeypatch):
+    """All distinct terms were written and passed four more times for a vocabulary of a few rows."""
+    docs = [[f"w{i % 50}", f"w{i % 7}", f"x{i}"] for i in range(400)] + [[], None]
+    df = spark.createDataFrame([(d,) for d in docs], "terms array<string>").repartition(5)
+    counted = Counter(w for d in docs for w in d or [])
+    ranked = sorted(counted.items(), key=lambda r: (-r[1], hashlib.md5(r[0].encode()).hexdigest()))
+    staged, stage = [], topics.cut_lineage
+    monkeypatch.setattr(topics, "cut_lineage", lambda rows: staged.append(rows) or stage(rows))
+    for n in (1, 7, 53, 200, 1000):
+        assert sorted((r["term"], r["tf"]) for r in topics.term_idf(df, max_share=1.0, vocabulary=n).collect()) == sorted(ranked[:n])
+    assert not staged
+    monkeypatch.setattr(topics, "TAKEN_AT_ONCE", 100)
+    assert sorted((r["term"], r["tf"]) for r in topics.term_idf(df, max_share=1.0, vocabulary=200).collect()) == sorted(ranked[:200])
+    assert len(staged) == 1
+
+
 def test_keep_clusters(spark):
     sizes = spark.createDataFrame([(0, 3), (1, 9), (2, 5), (3, 4)], "topic int, size long")
     assert sorted(r["topic"] for r in topics.keep_clusters(sizes, 5).collect()) == [1, 2]
