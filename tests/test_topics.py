@@ -71,6 +71,27 @@ def test_singular_vectors_match_numpy(spark):
         assert abs(np.dot(latent[:, k], want[:, k])) == pytest.approx(s[k] ** 2, rel=1e-2)
 
 
+def test_products_are_dense_blocks_of_short_slices():
+    """Each value was spread over all columns of the basis by itself, some 0.7 ms a document."""
+    draw = np.random.default_rng(5)
+    sizes = [0, 3, 0, 700, 5000, 1, *draw.integers(0, 40, 200).tolist(), 0]
+    terms = [np.sort(draw.choice(6000, n, replace=False)) for n in sizes]
+    values = [draw.normal(size=n) for n in sizes]
+    right = draw.normal(size=(6000, 7)).astype("float32")
+    want = np.stack([v @ right[t].astype("float64") for t, v in zip(terms, values, strict=True)])
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    parts = list(topics._products(offsets, np.concatenate(terms), np.concatenate(values), right))
+    assert np.allclose(np.concatenate([product for *_, product in parts]), want)
+    back, sums = np.zeros((6000, 7)), np.zeros((6000, 7))
+    for unique, block, product in parts:
+        assert block.shape == (len(product), len(unique)) and len(product) <= 32 and (len(product) == 1 or block.astype(bool).sum() <= 4096)
+        back[unique] += block.T @ product
+    for t, v, y in zip(terms, values, want, strict=True):
+        sums[t] += v[:, None] * y
+    assert np.allclose(back, sums)
+    assert list(topics._products(np.zeros(1, int), np.empty(0, int), np.empty(0), right)) == []
+
+
 def test_topics_find_themes(spark):
     docs = documents(spark)
     built = topics.build_topics({"src": docs, "none": docs.limit(0)}, "comment_id", "text", CFG)
@@ -92,6 +113,23 @@ def test_topics_find_themes(spark):
     assert {r["comment_id"]: r["topic"] for r in again.members.collect()} == {r["comment_id"]: r["topic"] for r in members}
 
 
+def test_texts_are_spread_over_more_tasks(spark, monkeypatch):
+    """Up to 400,000 texts were eight partitions, whatever the cores."""
+    seen, laid = [], topics.laid_out
+
+    def counted(*args, **options):
+        seen.append(laid(*args, **options))
+        return seen[-1]
+
+    monkeypatch.setattr(topics, "laid_out", counted)
+    # the width a run would have, in two-thousandths of its rows
+    monkeypatch.setattr("audience_engine.session.ROWS_PER_PART", 25)
+    monkeypatch.setattr(topics, "TEXTS_PER_PART", topics.TEXTS_PER_PART // 2000)
+    built = topics.build_topics({"src": documents(spark, 40)}, "comment_id", "text", CFG)
+    assert built.members.count() == 120
+    assert [rows.rdd.getNumPartitions() for rows in seen] == [12, 12]
+
+
 def test_every_document_stays_one_row(spark):
     docs = documents(spark)
     odd = spark.createDataFrame([(1, "x", "recipe oven flour"), (1, "x", "recipe oven flour"), (None, "x", "goal striker match"), (950, "x", "the and of")], docs.schema)
