@@ -123,7 +123,6 @@ def test_texts_are_spread_over_more_tasks(spark, monkeypatch):
 
     monkeypatch.setattr(topics, "laid_out", counted)
     # the width a run would have, in two-thousandths of its rows
-    monkeypatch.setattr("audience_engine.session.ROWS_PER_PART", 25)
     monkeypatch.setattr(topics, "TEXTS_PER_PART", topics.TEXTS_PER_PART // 2000)
     built = topics.build_topics({"src": documents(spark, 40)}, "comment_id", "text", CFG)
     assert built.members.count() == 120
@@ -289,6 +288,23 @@ def test_clusters_are_found_whatever_the_partitions(spark):
     assert len({r["topic"] for r in few.filter("id < 3").collect()}) == 1 and few.count() == 3
 
 
+def test_dictionary_numbers_terms_as_they_are_written(spark, monkeypatch):
+    """All terms were shuffled by a bucket of their md5 and sorted there to be numbered."""
+    seen, stage = [], topics.cut_lineage
+    monkeypatch.setattr(topics, "cut_lineage", lambda rows: seen.append(stage(rows)) or seen[-1])
+    weights = spark.range(1000).select(F.concat(F.lit("w"), "id").alias("term"), (F.col("id") / 7).alias("idf")).filter("idf > 3")
+    for rows in (weights.repartition(9), weights.repartition(3, F.col("idf") > 100), weights.limit(0), weights.coalesce(1)):
+        found = topics.term_dictionary(rows)
+        assert found.columns == ["term", "idf", "index"] and dict(found.dtypes)["index"] == "bigint"
+        got = found.collect()
+        assert sorted(r["index"] for r in got) == list(range(len(got)))
+        assert sorted((r["term"], r["idf"]) for r in got) == sorted((r["term"], r["idf"]) for r in rows.collect())
+        assert {r["term"]: r["index"] for r in found.collect()} == {r["term"]: r["index"] for r in got}
+    assert len(seen) == 4
+    plan = topics.term_dictionary(weights.repartition(9))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and "hashpartitioning(term" not in plan
+
+
 def test_weights_of_more_terms_than_the_vocabulary(spark):
     texts = ["apple banana cherry apple", "banana durian", "cherry", None, "elder fig grape " * 3]
     rows = topics.document_terms(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), "text", ())
