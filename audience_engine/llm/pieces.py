@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import count, islice
@@ -29,8 +30,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from audience_engine.llm.common import utf8
@@ -44,6 +44,7 @@ _CELLS = 1 << 20
 _LOW = -1e18
 _ROWS = 512
 _KNOWN = 1 << 16
+_IDS = 1 << 18
 
 
 def model_bytes(path: str = MODEL) -> bytes:
@@ -54,19 +55,6 @@ def model_bytes(path: str = MODEL) -> bytes:
     return data
 
 
-class _Numbered(dict):
-    """Chunks numbered as they come."""
-
-    def __init__(self):
-        super().__init__()
-        self.chunks: list[str] = []
-
-    def __missing__(self, chunk: str) -> int:
-        value = self[chunk] = len(self.chunks)
-        self.chunks.append(chunk)
-        return value
-
-
 def _ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places of ``sizes`` consecutive values from each of ``first``."""
     return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes - first, sizes)
@@ -87,6 +75,9 @@ class Lattice:
         # below every piece that holds a letter (the model keeps runs of spaces out by scores that are far lower still)
         self.fallback = float(self.score[[i for piece, i in self.ids.items() if piece.strip(" ")]].min()) - FALLBACK
         self.texts = {i: piece.encode() for piece, i in self.ids.items()} | {i: bytes([b]) for b, i in enumerate(self.bytes)}
+        # by id, and once more without the first byte, for the start of a text
+        plain = [self.texts.get(i) for i in range(model.get_piece_size())]
+        self.by_id = pa.array([*plain, *(p and p[1:] for p in plain)], pa.large_binary())
         letters = {c for piece in self.ids for c in piece}
         breaks = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in letters)
         self.chunks = re.compile(f" *[^ {breaks}]+| +|[{breaks}]" if breaks else " *[^ ]+| +").findall
@@ -101,6 +92,8 @@ class Lattice:
         self.keys, self.values = keys[order], np.fromiter(prefixes.values(), np.int64, len(prefixes))[order]
         if (self.keys[1:] == self.keys[:-1]).any():
             raise ValueError("two prefixes have one hash")
+        self.known: defaultdict[str, int] = defaultdict()  # chunks, numbered as they come
+        self.known.default_factory = self.known.__len__
         # the place of a key by its first bits; of several keys with the same ones, the last
         self.place = np.full(1 << 22, -1, np.int32)
         self.place[(self.keys >> np.uint64(42)).astype(np.int64)] = np.arange(len(self.keys))
@@ -108,7 +101,8 @@ class Lattice:
 
     def forget(self) -> None:
         """Drops the solved chunks."""
-        self.known = _Numbered()
+        self.known.clear()
+        self.met: list[str] = []
         self.solved = (np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0), np.empty(0))
 
     @staticmethod
@@ -271,7 +265,8 @@ class Lattice:
         for text in texts:
             own = self.chunks(" " + text) if text else []
             rows.append(np.fromiter(map(number, own), np.int64, len(own)))
-        chunks = self.known.chunks
+        chunks = self.met
+        chunks += islice(self.known, len(chunks), None)
         new = self.solve(chunks[len(self.solved[1]) :])
         self.solved = tuple(np.concatenate(pair) for pair in zip(self.solved, new, strict=True))
         ids, sizes, score, gap = self.solved
@@ -316,6 +311,27 @@ class Lattice:
     def decode(self, ids) -> bytes:
         return b"".join(map(self.texts.__getitem__, ids))[1:]
 
+    def decode_lists(self, ids: np.ndarray, sizes: np.ndarray) -> pa.LargeBinaryArray:
+        """What ``decode`` gives for each of the id lists that stand one after the other, about ``_IDS`` ids at a time."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.by_id) // 2):
+            raise KeyError("an id that the model does not hold")
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        starts = ends[:-1][np.diff(ends) > 0]
+        ids = ids.astype(np.int32)
+        ids[starts] += len(self.by_id) // 2
+        parts, first = [], 0
+        while first < len(sizes):
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + _IDS, "right")) - 1)
+            taken = self.by_id.take(pa.array(ids[ends[first] : ends[last]]))  # their bytes stand side by side
+            if taken.null_count:
+                raise KeyError("an id without a text")
+            _, places, data = taken.buffers()
+            places = np.frombuffer(places, np.int64) if len(taken) else np.zeros(1, np.int64)
+            places = pa.py_buffer(places[ends[first : last + 1] - ends[first]])
+            parts.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), last - first, [None, places, data or pa.py_buffer(b"")]))
+            first = last
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.large_binary())
+
 
 @lru_cache(maxsize=2)
 def lattice(proto: bytes) -> Lattice:
@@ -337,32 +353,26 @@ _ALTERNATIVES_SQL = T.ArrayType(
 )
 
 
-def swapped(ids, swaps) -> list[int]:
-    """The whole segmentation of an alternative."""
-    out, at = [], 0
+def _swapped(ids: np.ndarray, swaps) -> np.ndarray:
+    parts, at = [], 0
     for first, replaced, new in sorted(swaps, key=lambda s: s[0]):
-        out += [*ids[at:first], *new]
+        parts += [ids[at:first], np.array(new, np.int32)]
         at = first + replaced
-    return [*out, *ids[at:]]
-
-
-def whole_alternatives(pieces: str = "pieces") -> Column:
-    """The whole id list of each alternative in a column of ``encode``, as ``swapped`` gives it; null for a null text."""
-    ids = F.col(f"{pieces}.ids")
-    empty = F.array().cast("array<int>")
+    return np.concatenate([*parts, ids[at:]])
 
-    def from_place(at: Column, n: Column) -> Column:
-        return F.slice(ids, at + 1, F.greatest(n, F.lit(0)))
 
-    def swap(done: Column, s: Column) -> Column:
-        upto = F.concat(done["out"], from_place(done["at"], s["first"] - done["at"]), s["ids"])
-        return F.struct(upto.alias("out"), (s["first"] + s["replaced"]).alias("at"))
+def swapped(ids, swaps) -> list[int]:
+    """The whole segmentation of an alternative."""
+    return _swapped(np.asarray(ids, np.int32), swaps).tolist()
 
-    def whole(done: Column) -> Column:
-        return F.concat(done["out"], from_place(done["at"], F.size(ids) - done["at"]))
 
-    start = F.struct(empty.alias("out"), F.lit(0).alias("at"))
-    return F.transform(F.col(f"{pieces}.alternatives"), lambda way: F.aggregate(F.array_sort(way["swaps"]), start, swap, whole))
+def _whole_lists(done: list[tuple | None]) -> pa.ListArray:
+    """The ids of the best segmentation of each text and the whole ids of its alternatives; null for a null text."""
+    lists = [None if d is None else [d[0], *(_swapped(d[0], swaps) for _, swaps in d[2])] for d in done]
+    flat = _ragged([own for row in lists if row is not None for own in row], pa.int32())
+    ends = np.concatenate([[0], np.cumsum([0 if row is None else len(row) for row in lists])])
+    missing = np.append([row is None for row in lists], False)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32(), mask=missing), flat)
 
 
 def _ragged(parts: list, kind: pa.DataType) -> pa.Array:
@@ -373,11 +383,20 @@ def _ragged(parts: list, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(flat, kind))
 
 
-def encode(docs: DataFrame, model: str = MODEL, n_best: int = N_BEST, text: str = "text", carry: tuple[str, ...] | None = None, check: bool = False) -> DataFrame:
+def encode(
+    docs: DataFrame,
+    model: str = MODEL,
+    n_best: int = N_BEST,
+    text: str = "text",
+    carry: tuple[str, ...] | None = None,
+    check: bool = False,
+    whole: bool = False,
+) -> DataFrame:
     """``docs`` plus ``pieces``: ``ids``, ``score`` and ``alternatives`` (the next best segmentations, as swaps in ``ids``).
 
     ``carry`` names the columns to return, if not all of them. ``check`` decodes each id list in the same task and adds to
-    ``pieces`` whether it gives the text back (``round_trip``; null ids give a null text).
+    ``pieces`` whether it gives the text back (``round_trip``; null ids give a null text). ``whole`` adds ``n_best``, the
+    whole id lists of all of them, the best first (null for a null text).
     """
     shared = docs.sparkSession.sparkContext.broadcast(model_bytes(model))
     names = docs.columns
@@ -385,6 +404,8 @@ def encode(docs: DataFrame, model: str = MODEL, n_best: int = N_BEST, text: str
     out = T.StructType().add("ids", T.ArrayType(T.IntegerType())).add("score", "double").add("alternatives", _ALTERNATIVES_SQL)
     if check:
         out = out.add("round_trip", "boolean")
+    if whole:
+        out = out.add("n_best", T.ArrayType(T.ArrayType(T.IntegerType())))
     kept = [i for i, n in enumerate(names) if n.lower() != "pieces" and (carry is None or n in carry)]
     schema = T.StructType([*(T.StructField(f"c{i}", docs.schema[i].dataType) for i in kept), T.StructField("pieces", out)])
 
@@ -402,8 +423,11 @@ def encode(docs: DataFrame, model: str = MODEL, n_best: int = N_BEST, text: str
                 ]
                 columns = {"ids": ids, "score": score, "alternatives": pa.array(ways, _ALTERNATIVES)}
                 if check:
-                    back = [None if d is None else own.decode(d[0].tolist()) for d in done]
-                    columns["round_trip"] = pa.array([a == b for a, b in zip(back, given, strict=True)], pa.bool_())
+                    back = own.decode_lists(ids.values.to_numpy(), np.array([0 if d is None else len(d[0]) for d in done], np.int64))
+                    same = pc.equal(back, part.column(place).cast(pa.large_binary()))
+                    columns["round_trip"] = same.fill_null(True)  # null texts have null ids
+                if whole:
+                    columns["n_best"] = _whole_lists(done)
                 pieces = pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in kept), pieces], names=schema.names)
 
@@ -419,10 +443,9 @@ def decode(coded: DataFrame, ids: str, model: str = MODEL, carry: tuple[str, ...
     schema = T.StructType([*plain.schema.fields[:-1], T.StructField("decoded", T.ArrayType(T.StringType()) if many else T.StringType())])
 
     def texts_of(own: Lattice, column: pa.ListArray) -> pa.Array:
-        flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_pylist()
-        # one text at a time as Python numbers
-        texts = [own.decode(flat[a:b].tolist()) if ok else None for a, b, ok in zip(ends, ends[1:], column.is_valid().to_pylist(), strict=False)]
-        return pa.array(texts, pa.binary()).cast(pa.string())
+        sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+        texts = own.decode_lists(column.flatten().to_numpy(zero_copy_only=False), sizes).cast(pa.large_string()).cast(pa.string())
+        return pc.if_else(column.is_valid(), texts, pa.scalar(None, pa.string())) if column.null_count else texts
 
     def run(batches):
         own = lattice(shared.value)

@@ -127,13 +127,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.sha2(F.col("text").cast("binary"), 256)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", digest.alias("digest"))
-    coded = pieces.encode(docs, carry=("doc_id", "digest"))
+    coded = pieces.encode(docs, carry=("doc_id", "digest"), whole=True)
     second = F.element_at(F.col("pieces.alternatives"), 1)["score"]
-    best = F.when(F.col("pieces.ids").isNotNull(), F.array("pieces.ids"))
     plain = coded.select(
         "doc_id", "digest", F.size("pieces.ids").cast("long").alias("n_pieces"), F.col("pieces.score").alias("score"),
         F.when(F.size("pieces.alternatives") > 0, second).alias("second_score"), F.xxhash64("pieces.ids").alias("ids_hash"),
-        F.col("pieces.alternatives.score").alias("other_scores"), F.concat(best, pieces.whole_alternatives()).alias("ids"),
+        F.col("pieces.alternatives.score").alias("other_scores"), F.col("pieces.n_best").alias("ids"),
     )
     hashes = F.transform(F.slice("ids", 2, pieces.N_BEST), lambda own: F.xxhash64(own)).alias("other_hashes")
     carried = ("doc_id", "digest", "n_pieces", "score", "second_score", "ids_hash", "other_scores", "other_hashes")

@@ -83,3 +83,26 @@ def test_query_returns_and_decodes_all_of_the_n_best(spark, tmp_path, own):
     docs = spark.createDataFrame([(1, [[5, 6], [7]]), (2, None), (3, [])], "doc_id long, ids array<array<int>>")
     back = {r.doc_id: r.decoded for r in pieces.decode(docs, "ids").collect()}
     assert back[2] is None and back[3] == [] and len(back[1]) == 2 and back[1][0].encode() == own.decode([5, 6])
+
+
+def test_id_lists_are_decoded_side_by_side_and_whole_lists_come_from_the_encoding_task(spark, own, monkeypatch):
+    monkeypatch.setattr(pieces, "_IDS", 7)  # several parts, and lists longer than one
+    texts = ["the cat sat", "", " x▁y\n😀", "q " * 50, "a"]
+    lists = [ids for ids, _, _ in own.encode(texts)] + [np.array([own.bytes[65]], np.int32)]
+    got = own.decode_lists(np.concatenate(lists), np.array([len(x) for x in lists]))
+    assert got.to_pylist() == [own.decode(x.tolist()) for x in lists] == [*(t.encode() for t in texts), b""]
+    assert own.decode_lists(np.empty(0, np.int32), np.zeros(2, np.int64)).to_pylist() == [b"", b""]
+    assert own.decode_lists(np.empty(0, np.int32), np.empty(0, np.int64)).to_pylist() == []
+    for bad in (-1, len(own.score), next(i for i in range(len(own.score)) if i not in own.texts)):
+        with pytest.raises(KeyError):
+            own.decode_lists(np.array([bad], np.int32), np.array([1]))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i long, text string")
+    rows = {r.i: r.pieces for r in pieces.encode(docs, whole=True, check=True).collect()}
+    for i, text in enumerate(texts):
+        p = rows[i]
+        assert p.round_trip and p.n_best == [p.ids, *(pieces.swapped(p.ids, w.swaps) for w in p.alternatives)]
+        assert all(own.decode(ids).decode() == text for ids in p.n_best) and len(p.n_best) == (1 + len(p.alternatives))
+    assert rows[len(texts)].n_best is None and rows[len(texts)].round_trip
+    # the plan builds no list with columns: what the encoding task returns is what is decoded
+    plan = pieces.encode(docs, whole=True).select("pieces.n_best")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "lambda" not in plan
