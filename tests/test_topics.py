@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter
 import math
 import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from audience_engine.operators import model, topics
+from audience_engine.plans import topic_queries
 from audience_engine.session import laid_out
 from audience_engine.settings import Settings
 
@@ -324,3 +326,22 @@ def test_weights_of_more_terms_than_the_vocabulary(spark):
         if plain:
             assert found[i]["indices"] == sorted(plain)
             assert np.allclose(found[i]["values"], [plain[k] / norm for k in sorted(plain)])
+
+
+def test_weights_read_words_that_are_written_once(spark):
+    texts = [(1, "de", "alpha beta alpha gamma"), (2, "en", "beta beta delta"), (2, "en", "alpha"), (None, None, "gamma delta epsilon"), (3, "de", None), (4, "en", "zeta")]
+    docs = spark.createDataFrame(texts, "doc_id long, lang string, text string").withColumn("source", F.lit("s"))
+    rows, weights = topic_queries.every_weight(SimpleNamespace(documents=docs))
+    assert rows.columns == ["doc_id", "lang", "terms"] and weights.columns == ["term", "idf"]
+    for reader in (rows, weights):  # neither normalises the texts again, and no occurrences are counted for the weights
+        plan = reader._jdf.queryExecution().optimizedPlan().toString()
+        assert "regexp_replace" not in plan and "text#" not in plan and "sort_array" not in plan
+    plain = topics.document_terms(docs, "text", topic_queries.CFG.stop_words).select("doc_id", "lang", "terms")
+    assert sorted(map(repr, rows.collect())) == sorted(map(repr, plain.collect()))
+    want = {r["term"]: r["idf"] for r in topics.term_idf(plain, max_share=0.98).collect()}
+    assert {r["term"]: r["idf"] for r in weights.collect()} == want and "alpha beta" in want
+    counted = {r["term"]: (r["tf"], r["df"]) for r in topics.term_counts(plain).collect()}
+    assert {r["term"]: r["df"] for r in topics.term_counts(plain, tf=False).collect()} == {t: df for t, (_, df) in counted.items()}
+    assert any(tf > df for tf, df in counted.values())
+    with pytest.raises(ValueError):
+        topics.term_idf(plain, vocabulary=3, tf=False)
