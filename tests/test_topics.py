@@ -1,6 +1,8 @@
 import hashlib
 from collections import Counter
 import math
+import os
+import time
 import tracemalloc
 from types import SimpleNamespace
 
@@ -345,3 +347,30 @@ def test_weights_read_words_that_are_written_once(spark):
     assert any(tf > df for tf, df in counted.values())
     with pytest.raises(ValueError):
         topics.term_idf(plain, vocabulary=3, tf=False)
+
+
+def shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = manager.getAllBlocks().mkString("\n").split("\n")
+    return {n.split("_")[1] for n in names if n.startswith("shuffle_")}
+
+
+def test_topics_leave_few_tables_and_no_shuffles(spark, monkeypatch):
+    """Every step's tables and shuffles lay on disk until the run was over, all with the texts and term weights."""
+    staged, stage = [], topics.cut_lineage
+    monkeypatch.setattr(topics, "cut_lineage", lambda rows: staged.append(stage(rows)) or staged[-1])
+    monkeypatch.setattr(topics, "TAKEN_AT_ONCE", 5)
+    docs = documents(spark)
+    before = shuffle_files(spark)
+    built = topics.build_topics({"a": docs, "b": docs.filter("comment_id % 2 = 0")}, "comment_id", "text", CFG)
+    until = time.time() + 20
+    while len(left := shuffle_files(spark) - before) > 2 and time.time() < until:
+        time.sleep(0.2)
+    assert len(left) <= 2  # a stage that a query no longer needed may still write a few rows when it ends
+    kept = [t for t in staged if any(os.path.exists(f.removeprefix("file:").replace("//", "/")) for f in t.inputFiles())]
+    texts = [t for t in kept if "document" in t.columns]
+    # each source's texts with their latent vectors, not with their terms or term weights
+    assert len(texts) == 2 and all({"lsa", "document"} <= set(t.columns) for t in texts)
+    assert not [t.columns for t in kept if {"terms", "tfidf", "tf", "_features"} & set(t.columns)]
+    assert built.members.count() == 54
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
