@@ -374,3 +374,39 @@ def test_topics_leave_few_tables_and_no_shuffles(spark, monkeypatch):
     assert not [t.columns for t in kept if {"terms", "tfidf", "tf", "_features"} & set(t.columns)]
     assert built.members.count() == 54
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
+def test_weights_by_slices_of_the_terms(spark, monkeypatch):
+    """All pairs of documents and terms were shuffled three times in one go, 19 times the input on disk."""
+    monkeypatch.setattr(topics, "ROWS_PER_SLICE", 3)
+    texts = [(i if i % 7 else None, "de" if i % 3 else None, " ".join(f"w{(i * j) % 23:03d}" for j in range(i % 11))) for i in range(40)]
+    docs = spark.createDataFrame([*texts, texts[5], (3, "en", "w001 w002 w001")], "doc_id long, lang string, text string")
+    given = SimpleNamespace(documents=docs.withColumn("source", F.lit("s")))
+    plain = topics.document_terms(docs, "text", topic_queries.CFG.stop_words)
+    n, held, counts = docs.count(), Counter(), {}
+    for r in plain.collect():
+        held.update(set(r["terms"]))
+        counts.setdefault(r["doc_id"], []).append((r["lang"], Counter(r["terms"])))
+    idf = {t: math.log((1 + n) / (1 + k)) + 1 for t, k in held.items() if k <= 0.98 * n}
+    sums, want = Counter(), {}
+    for key, rows in counts.items():
+        own = [(lang, t, k * idf[t]) for lang, c in rows for t, k in c.items() if t in idf]
+        norm = math.sqrt(sum(w * w for *_, w in own))
+        for lang, t, w in own:
+            sums[lang, t] += w / norm
+        if own:
+            want[key] = (len(own), sum(w for *_, w in own) / norm, max(w for *_, w in own) / norm)
+    staged, stage = [], topics.staged_by
+    monkeypatch.setattr(topics, "staged_by", lambda *given: staged.append(stage(*given)) or staged[-1])
+    got = {r["doc_id"]: r for r in topic_queries.tfidf_of_documents(given).collect()}
+    assert set(got) == set(want) and None in got
+    for key, (terms, total, largest) in want.items():
+        assert got[key]["terms"] == terms
+        assert (got[key]["total"], got[key]["largest"]) == pytest.approx((total, largest), abs=2e-6)
+    assert len(staged) == 1 and len(got) == len(want)
+    slices = {r["_slice"] for r in staged[0].select("_slice").distinct().collect()}
+    assert 4 < len(slices) <= 15
+    best = {r["lang"]: r["terms"].split("|") for r in topic_queries.language_terms(given).collect()}
+    for lang in (None, "de", "en"):
+        ranked = sorted(((-round(v, 9), t) for (g, t), v in sums.items() if g == lang))[:6]
+        assert best[lang] == [t for _, t in ranked]
