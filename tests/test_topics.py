@@ -410,3 +410,17 @@ def test_weights_by_slices_of_the_terms(spark, monkeypatch):
     for lang in (None, "de", "en"):
         ranked = sorted(((-round(v, 9), t) for (g, t), v in sums.items() if g == lang))[:6]
         assert best[lang] == [t for _, t in ranked]
+
+
+def test_members_are_checked_without_the_tables_they_came_from(spark, monkeypatch):
+    """The texts lay on disk a second time, with their latent vectors, while the members were compared with the summary."""
+    staged = []
+    for module in (topics, topic_queries):
+        monkeypatch.setattr(module, "cut_lineage", lambda rows, stage=module.cut_lineage: staged.append(stage(rows)) or staged[-1])
+    monkeypatch.setattr(topic_queries, "CFG", CFG)
+    docs = documents(spark).withColumn("source", F.when(F.col("comment_id") % 2 == 0, "youtube").otherwise("reddit"))
+    found = topic_queries.topic_members(SimpleNamespace(comments=docs))
+    kept = [t for t in staged if any(os.path.exists(f.removeprefix("file:").replace("//", "/")) for f in t.inputFiles())]
+    assert [t.columns for t in kept if "document" in t.columns] == [["topic", "topic_prob", "topic_name", "document", "source", "comment_id"]]
+    rows = {r["source"]: (r["n"], r["ids"], r["wrong_counts"], r["strangers"]) for r in found.collect()}
+    assert rows == {"youtube": (18, 18, 0, 0), "reddit": (18, 18, 0, 0)}
